@@ -43,8 +43,13 @@ def has_dimension(vector: Column, dim: int) -> Column:
 
 def _six_digits(x: Column) -> Column:
     """A number with six significant digits, no trailing zeros, and an exponent
-    only below 1e-4 and from 1e6 on."""
-    scientific = F.format_string("%.5e", x.cast("double"))
+    only below 1e-4 and from 1e6 on. Exact halves go to the even digit, whereas
+    ``format_string`` rounds them up."""
+    x = x.cast("double")
+    scientific = let(F.format_string("%.6e", x), lambda seven: F.when(
+        seven.rlike("[02468]5e") & (seven.cast("double") == x),
+        F.regexp_replace(seven, "5e", "e"),
+    ).otherwise(F.format_string("%.5e", x)))
 
     def pick(s: Column) -> Column:
         rounded = s.cast("double")

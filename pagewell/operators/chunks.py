@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pagewell.functions import select_once
 from pagewell.functions.text import page_chunks
 from pagewell.schemas import CHUNK_COLUMNS
 from pagewell.settings import (
@@ -91,11 +92,8 @@ def chunk_pages(
 ) -> DataFrame:
     """Kept chunks of each page as one array: ``document_id, page_number,
     chunks``. No shuffle."""
-    return pages.select(
-        "document_id",
-        "page_number",
-        page_chunks(F.col("text"), size, overlap, min_chars).alias("chunks"),
-    )
+    chunks = page_chunks(F.col("text"), size, overlap, min_chars)
+    return select_once(pages, ["document_id", "page_number"], chunks.alias("chunks"))
 
 
 def number_chunks(page_chunk_arrays: DataFrame, model: str, block: int = PAGE_BLOCK) -> DataFrame:

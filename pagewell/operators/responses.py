@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pagewell.functions import let, select_once
 from pagewell.functions.messages import rejection_reason, response_vectors
 from pagewell.functions.vectors import has_dimension
 from pagewell.settings import EMBEDDING_DIM
@@ -13,17 +14,29 @@ PAGE = ["document_id", "page_number"]
 
 
 def parse_responses(responses: DataFrame, dim: int = EMBEDDING_DIM) -> DataFrame:
-    """Add ``vectors`` and ``reason`` to rows with ``status, expected, body``.
-    A batch with a reason keeps no vectors at all."""
-    parsed = responses.withColumn("vectors", response_vectors(F.col("body")))
-    judged = parsed.withColumn(
-        "reason",
-        rejection_reason(F.col("status"), F.col("vectors"), F.col("expected"), dim),
-    )
+    """Replace ``body`` in rows with ``status, expected, body`` by ``vectors``,
+    ``received`` (their number) and ``reason``. A batch with a reason keeps no
+    vectors at all.
+
+    The checks below read only the counts, so where several of them follow,
+    write these rows first: bodies are then parsed once.
+    """
     empty = F.array().cast("array<array<float>>")
-    return judged.withColumn(
-        "vectors", F.when(F.col("reason").isNull(), F.col("vectors")).otherwise(empty)
-    ).drop("body")
+
+    def judge(found: Column) -> Column:
+        def row(reason: Column) -> Column:
+            good = reason.isNull()
+            return F.struct(
+                F.when(good, found).otherwise(empty).alias("vectors"),
+                F.when(good, F.size(found)).otherwise(0).alias("received"),
+                reason.alias("reason"),
+            )
+
+        return let(rejection_reason(F.col("status"), found, F.col("expected"), dim), row)
+
+    kept = [c for c in responses.columns if c != "body"]
+    judged = let(response_vectors(F.col("body")), judge).alias("_judged")
+    return select_once(responses, kept, judged).select(*kept, "_judged.*")
 
 
 def accepted(parsed: DataFrame) -> DataFrame:
@@ -54,7 +67,7 @@ def incomplete_batches(requests: DataFrame, parsed: DataFrame) -> DataFrame:
     """Batches whose number of received vectors differs from the number of
     chunks sent: ``document_id, page_number, batch_no, sent, received``."""
     sent = requests.select(*PAGE, "batch_no", F.size("chunk_ids").alias("sent"))
-    received = parsed.select(*PAGE, "batch_no", F.size("vectors").alias("received"))
+    received = parsed.select(*PAGE, "batch_no", "received")
     return (
         sent.join(received, [*PAGE, "batch_no"], "left")
         .withColumn("received", F.coalesce("received", F.lit(0)))
@@ -65,7 +78,7 @@ def incomplete_batches(requests: DataFrame, parsed: DataFrame) -> DataFrame:
 def page_completeness(requests: DataFrame, parsed: DataFrame) -> DataFrame:
     """Per page: chunks sent, vectors received, and whether they agree."""
     sent = requests.select(*PAGE, F.size("chunk_ids").alias("sent"), F.lit(0).alias("received"))
-    received = parsed.select(*PAGE, F.lit(0).alias("sent"), F.size("vectors").alias("received"))
+    received = parsed.select(*PAGE, F.lit(0).alias("sent"), "received")
     totals = sent.unionByName(received).groupBy(*PAGE).agg(
         F.sum("sent").alias("sent"), F.sum("received").alias("received")
     )

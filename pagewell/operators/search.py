@@ -229,18 +229,12 @@ def _merge_hits(partial: DataFrame, k: int) -> DataFrame:
     )
 
 
-def _cells(
-    vectors: DataFrame, probes: DataFrame, query_count: int, block: int, cell_vectors: int
-) -> DataFrame:
+def _cells(vectors: DataFrame, probes: DataFrame, q_blocks: int) -> DataFrame:
     """Rows of both sides, grouped into cells and sorted for :func:`_cell_search`.
-    ``vectors``: list_id, id, unit. ``probes``: list_id, query_id, unit."""
-    q_blocks = max(1, -(-query_count // block))
-    sizes = vectors.groupBy("list_id").agg(
-        F.ceil(F.count(F.lit(1)) / cell_vectors).cast("int").alias("v_blocks")
-    )
+    ``vectors``: list_id, v_blocks, id, unit. ``probes``: list_id, v_blocks,
+    query_id, unit. ``v_blocks`` is the number of vector blocks of the list."""
     query_side = (
         probes.withColumn("q_block", F.pmod(F.xxhash64("query_id"), F.lit(q_blocks)).cast("int"))
-        .join(sizes, "list_id")
         .withColumn("v_block", F.explode(F.sequence(F.lit(0), F.col("v_blocks") - 1)))
         .select(
             "list_id", "q_block", "v_block", F.lit(0).alias("is_vector"),
@@ -248,8 +242,7 @@ def _cells(
         )
     )
     vector_side = (
-        vectors.join(sizes, "list_id")
-        .withColumn("v_block", F.pmod(F.xxhash64("id"), F.col("v_blocks")).cast("int"))
+        vectors.withColumn("v_block", F.pmod(F.xxhash64("id"), F.col("v_blocks")).cast("int"))
         .withColumn("q_block", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))))
         .select("list_id", "q_block", "v_block", F.lit(1).alias("is_vector"), "id", "unit")
     )
@@ -261,13 +254,18 @@ def _cells(
     )
 
 
+def _blocks(rows: int, size: int) -> int:
+    return max(1, -(-rows // size))
+
+
 def _scan(index, queries, collector, schema, block, cell_vectors) -> DataFrame:
     """Score all queries against all vectors; partial results per task."""
     vectors = index.select(F.lit(0).alias("list_id"), "id", "unit")
     held = held_queries(queries, block)
     if held is None:
-        probes = queries.select(F.lit(0).alias("list_id"), "query_id", "unit")
-        runs = _cells(vectors, probes, queries.count(), block, cell_vectors)
+        v_blocks = F.lit(_blocks(index.count(), cell_vectors)).alias("v_blocks")
+        probes = queries.select(F.lit(0).alias("list_id"), v_blocks, "query_id", "unit")
+        runs = _cells(vectors.select("*", v_blocks), probes, _blocks(queries.count(), block))
         return runs.mapInArrow(_cell_search(collector), schema)
     query_ids, units = held
     if not len(query_ids):
@@ -406,10 +404,17 @@ def search_lists(
     collector = lambda n: _Best(n, k)
     held = held_queries(queries, block)
     if held is None:
+        # One row per list, of which there are at most MAX_LISTS.
+        sizes = F.broadcast(
+            listed_index.groupBy("list_id").agg(
+                F.ceil(F.count(F.lit(1)) / cell_vectors).cast("int").alias("v_blocks")
+            )
+        )
+        probes = nearest_lists(queries, centroids, nprobe, "query_id")
         runs = _cells(
-            listed_index.select("list_id", "id", "unit"),
-            nearest_lists(queries, centroids, nprobe, "query_id"),
-            queries.count(), block, cell_vectors,
+            listed_index.select("list_id", "id", "unit").join(sizes, "list_id"),
+            probes.join(sizes, "list_id"),
+            _blocks(queries.count(), block),
         )
         return _merge_hits(runs.mapInArrow(_cell_search(collector), _HITS), k)
     query_ids, units = held

@@ -35,6 +35,8 @@ QUERY_BLOCK_BYTES = 64 * 1024 * 1024
 CELL_VECTORS = 1_000_000
 # Most inverted lists an index may have; their centroids are held by every task.
 MAX_LISTS = 65_536
+# Most batches whose names are put into a reader's folder filter.
+LISTED_BATCHES = 10_000
 # Rows a caller may declare as an upper bound for a broadcast side.
 BROADCAST_ROWS = 100_000
 # Pages of one document that are numbered by one task on the flat route.

@@ -12,6 +12,7 @@ from pagewell.settings import PDF_MAGIC
 
 Extractor = Callable[[bytes], Iterable["str | None"]]
 
+GROUP_CHARS = 16_000_000
 _EXTRACTED = "document_id long, page_number int, text string, reason string"
 
 
@@ -38,6 +39,20 @@ def split_landed(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     return files.where(is_pdf(F.col("content"))), bad
 
 
+def match_landed(papers: DataFrame, files: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Payloads of papers (``id, pdf_url``) by url: ``document_id, content``, and
+    ``document_id, reason`` for the papers that have none that is usable. Spark
+    lists no empty files, so a paper with an empty file counts as not landed.
+    Finding the missing ones reads no payloads.
+    """
+    wanted = papers.select(F.col("id").alias("document_id"), F.col("pdf_url").alias("url"))
+    good, bad = split_landed(files.join(wanted, "url"))
+    missing = wanted.join(files.select("url"), "url", "left_anti").select(
+        "document_id", F.concat(F.lit("not landed: "), F.col("url")).alias("reason")
+    )
+    return good.select("document_id", "content"), missing.unionByName(bad.select("document_id", "reason"))
+
+
 def form_feed_pages(content: bytes) -> list[str]:
     """Extractor for payloads whose body after the first line is Latin-1 text
     with a form feed between pages, the plain-text form PDF tools print."""
@@ -45,7 +60,38 @@ def form_feed_pages(content: bytes) -> list[str]:
     return body.decode("latin-1").split("\f")
 
 
-def extract_pages(documents: DataFrame, extractor: Extractor = form_feed_pages) -> DataFrame:
+def _extracted(batches: Iterator[pd.DataFrame], extractor: Extractor):
+    """``document_id, [(page_number, text), ...], reason`` per document."""
+    for batch in batches:
+        for document_id, content in zip(batch["document_id"], batch["content"]):
+            try:
+                pages = [
+                    (number, text)
+                    for number, text in enumerate(extractor(bytes(content)), 1)
+                    if text is not None
+                ]
+                yield document_id, pages, None
+            except Exception as error:
+                yield document_id, [], f"unreadable: {error}"
+
+
+def _groups(found, max_chars: int):
+    """Lists of extracted documents with about ``max_chars`` of text, so that a
+    task never holds the pages of a whole batch of large documents."""
+    group, chars = [], 0
+    for document_id, pages, reason in found:
+        group.append((document_id, pages, reason))
+        chars += sum(len(text) for _, text in pages)
+        if chars >= max_chars or len(group) >= 10_000:
+            yield group
+            group, chars = [], 0
+    if group:
+        yield group
+
+
+def extract_pages(
+    documents: DataFrame, extractor: Extractor = form_feed_pages, group_chars: int = GROUP_CHARS
+) -> DataFrame:
     """``document_id long, content binary`` to ``document_id, page_number, text,
     reason``, one row per page.
 
@@ -55,18 +101,12 @@ def extract_pages(documents: DataFrame, extractor: Extractor = form_feed_pages)
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for group in _groups(_extracted(batches, extractor), group_chars):
             rows = []
-            for document_id, content in zip(batch["document_id"], batch["content"]):
-                try:
-                    pages = [
-                        (document_id, number, text, None)
-                        for number, text in enumerate(extractor(bytes(content)), 1)
-                        if text is not None
-                    ]
-                except Exception as error:
-                    pages = [(document_id, None, None, f"unreadable: {error}")]
-                rows.extend(pages)
+            for document_id, pages, reason in group:
+                if reason is not None:
+                    rows.append((document_id, None, None, reason))
+                rows.extend((document_id, number, text, None) for number, text in pages)
             frame = pd.DataFrame(rows, columns=["document_id", "page_number", "text", "reason"])
             yield frame.astype({"document_id": "int64", "page_number": "Int32"})
 
@@ -81,27 +121,22 @@ def unreadable_documents(extracted: DataFrame) -> DataFrame:
     return extracted.where(F.col("reason").isNotNull()).select("document_id", "reason")
 
 
-def extract_documents(documents: DataFrame, extractor: Extractor = form_feed_pages) -> DataFrame:
+def extract_documents(
+    documents: DataFrame, extractor: Extractor = form_feed_pages, group_chars: int = GROUP_CHARS
+) -> DataFrame:
     """The nested form the chunker takes: ``document_id, pages array<struct<
     page_number, text>>, reason``, one row per document and no shuffle."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            ids, pages, reasons = [], [], []
-            for document_id, content in zip(batch["document_id"], batch["content"]):
-                found, reason = [], None
-                try:
-                    found = [
-                        {"page_number": number, "text": text}
-                        for number, text in enumerate(extractor(bytes(content)), 1)
-                        if text is not None
-                    ]
-                except Exception as error:
-                    reason = f"unreadable: {error}"
-                ids.append(document_id)
-                pages.append(found)
-                reasons.append(reason)
-            yield pd.DataFrame({"document_id": ids, "pages": pages, "reason": reasons})
+        for group in _groups(_extracted(batches, extractor), group_chars):
+            yield pd.DataFrame({
+                "document_id": [document_id for document_id, _, _ in group],
+                "pages": [
+                    [{"page_number": number, "text": text} for number, text in pages]
+                    for _, pages, _ in group
+                ],
+                "reason": [reason for _, _, reason in group],
+            })
 
     return documents.select("document_id", "content").mapInPandas(
         run,

@@ -2,9 +2,9 @@
 
 Parquet folders have neither transactions nor updates. Instead every unit of
 work writes its rows under a ``batch_id``, and its ledger rows after all other
-rows are complete. Readers see the rows of (batch, document) pairs the ledger
-lists as ``done``; whatever a lost or repeated attempt leaves behind stays
-invisible and is replaced when the batch runs again.
+rows are complete. Readers see the rows of committed batches, less those of the
+documents the ledger lists as incomplete; whatever a lost or repeated attempt
+leaves behind stays invisible and is replaced when the batch runs again.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagewell.schemas import CHUNK_COLUMNS
+from pagewell.settings import BROADCAST_ROWS, LISTED_BATCHES
 from pagewell.sources.tables import replace_batch
 
 LEDGER = (
@@ -58,7 +59,7 @@ def read_paged(spark: SparkSession, root: str) -> DataFrame:
 
 def settled(ledger: DataFrame) -> DataFrame:
     """Documents that need no further work."""
-    return ledger.where(F.col("status").isin(*SETTLED)).select("document_id").distinct()
+    return ledger.where(F.col("status").isin(*SETTLED)).select("document_id")
 
 
 def is_committed(spark: SparkSession, root: str, batch_id: str) -> bool:
@@ -76,9 +77,23 @@ def commit(status: DataFrame, root: str, batch_id: str) -> None:
 
 
 def visible(rows: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Rows of documents that were finished in the batch that wrote them."""
-    done = ledger.where(F.col("status") == "done").select("batch_id", "document_id")
-    return rows.join(done, ["batch_id", "document_id"], "left_semi")
+    """Rows of finished documents of committed batches.
+
+    Batches are few and the incomplete documents in them rare, so both are
+    fetched or broadcast within a checked size: the rows are then filtered where
+    they are read, by folder and by a small anti join. Past those sizes the same
+    conditions run as ordinary joins.
+    """
+    batches = ledger.select("batch_id").distinct()
+    names = [row.batch_id for row in batches.limit(LISTED_BATCHES + 1).collect()]
+    if len(names) <= LISTED_BATCHES:
+        committed = rows.where(F.col("batch_id").isin(names))
+    else:
+        committed = rows.join(batches, "batch_id", "left_semi")
+    incomplete = ledger.where(F.col("status") == "incomplete").select("batch_id", "document_id")
+    if incomplete.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        incomplete = F.broadcast(incomplete)
+    return committed.join(incomplete, ["batch_id", "document_id"], "left_anti")
 
 
 def visible_chunks(spark: SparkSession, root: str) -> DataFrame:

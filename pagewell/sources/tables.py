@@ -143,4 +143,7 @@ def write_listed_index(listed_index: DataFrame, path: str, max_file_rows: int =
 
 def append_chunk_dump(chunks: DataFrame, path: str) -> None:
     """Append the readable form of chunks as text files."""
-    dump_text(chunks).write.mode("append").option("lineSep", "").text(path)
+    # The writer ends each value with a line break of its own.
+    dump_text(chunks).select(F.expr("left(value, length(value) - 1)").alias("value")).write.mode(
+        "append"
+    ).text(path)

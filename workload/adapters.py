@@ -58,16 +58,19 @@ def _slices(text: str):
 
 def nested_documents(spark, sf_dir) -> DataFrame:
     """``document_id, pages``: the text in pages of ``PAGE_CHARS`` characters."""
-    pages = F.transform(
+    return documents(spark, sf_dir).select(F.col("doc_id").alias("document_id"), _pages().alias("pages"))
+
+
+def _pages():
+    return F.transform(
         _slices("text"),
         lambda text, i: F.struct((i + 1).alias("page_number"), text.alias("text")),
     )
-    return documents(spark, sf_dir).select(F.col("doc_id").alias("document_id"), pages.alias("pages"))
 
 
 def pages(spark, sf_dir) -> DataFrame:
     """``document_id, page_number, text``: the same pages, one per row."""
-    return nested_documents(spark, sf_dir).select("document_id", F.inline("pages"))
+    return documents(spark, sf_dir).select(F.col("doc_id").alias("document_id"), F.inline(_pages()))
 
 
 def whole_documents(spark, sf_dir) -> DataFrame:

@@ -206,7 +206,7 @@ def f4(spark, sf):
 
 
 @query("f4_authors_from_json", f"""WITH {sql.PAPERS},
-kept AS (SELECT id, coalesce(TRY_CAST(CASE WHEN json_valid(authors) THEN authors END AS JSON)::VARCHAR[], []) AS p FROM papers)
+kept AS (SELECT id, coalesce((CASE WHEN authors NOT LIKE '%,]' THEN authors END)::JSON::VARCHAR[], []) AS p FROM papers)
 SELECT id, len(p)::INTEGER AS n_authors,
   array_to_string(['<' || x || '>' for x in p], '') AS authors FROM kept""")
 def f4_json(spark, sf):
@@ -236,15 +236,15 @@ def j1(spark, sf):
 
 
 @query("l1_ordered_page", f"WITH {sql.PAPERS} SELECT id, title FROM papers "
-       "WHERE topic = 'en' AND NOT embedding_processed ORDER BY id LIMIT 128 OFFSET 128")
+       "WHERE topic = 'en' AND NOT embedding_processed ORDER BY id LIMIT 128 OFFSET 32")
 def l1(spark, sf):
-    return pp.page_by_offset(pp.pending_papers(ad.papers(spark, sf), "en"), 128, 128).select("id", "title")
+    return pp.page_by_offset(pp.pending_papers(ad.papers(spark, sf), "en"), 32, 128).select("id", "title")
 
 
 @query("l1_keyset_page", f"WITH {sql.PAPERS} SELECT id, title FROM papers "
-       "WHERE topic = 'en' AND NOT embedding_processed AND id > 200 ORDER BY id LIMIT 128")
+       "WHERE topic = 'en' AND NOT embedding_processed AND id > 50 ORDER BY id LIMIT 128")
 def l1_keyset(spark, sf):
-    return pp.page_after(pp.pending_papers(ad.papers(spark, sf), "en"), 200, 128).select("id", "title")
+    return pp.page_after(pp.pending_papers(ad.papers(spark, sf), "en"), 50, 128).select("id", "title")
 
 
 @query("w2_even_split", "SELECT doc_id AS id, ntile(4) OVER (ORDER BY doc_id)::INTEGER - 1 AS part FROM documents")
@@ -454,7 +454,7 @@ SELECT batch_id, batch_no, expected AS kept FROM batches LEFT JOIN f USING (docu
 WHERE failed IS NULL OR batch_no < failed""")
 def f10(spark, sf):
     kept = rs.keep_prefix(rs.parse_responses(ad.responses(spark, sf), ad.VECTOR_DIM))
-    return kept.select("batch_id", "batch_no", F.size("vectors").alias("kept"))
+    return kept.select("batch_id", "batch_no", F.col("received").alias("kept"))
 
 
 @query("a4_incomplete_batches", f"""WITH {sql.BATCHES}
