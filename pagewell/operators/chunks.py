@@ -12,12 +12,14 @@ Two routes lead to the same chunk rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from pagewell.functions import select_once
 from pagewell.functions.text import page_chunks
+from pagewell.operators.numbering import with_start
 from pagewell.schemas import CHUNK_COLUMNS
+from pagewell.session import write_and_read
 from pagewell.settings import (
     BATCH_SIZE,
     CHUNK_OVERLAP,
@@ -96,55 +98,64 @@ def chunk_pages(
     return select_once(pages, ["document_id", "page_number"], chunks.alias("chunks"))
 
 
-def number_chunks(page_chunk_arrays: DataFrame, model: str, block: int = PAGE_BLOCK) -> DataFrame:
+def largest_page(pages: DataFrame) -> int:
+    """The highest page number of all documents; reads one column."""
+    return pages.agg(F.max("page_number").alias("n")).first().n or 0
+
+
+def number_chunks(
+    page_chunk_arrays: DataFrame,
+    model: str,
+    block: int = PAGE_BLOCK,
+    max_page: int | None = None,
+) -> DataFrame:
     """Flat route, over the rows of :func:`chunk_pages`.
 
     A chunk's number is the count of kept chunks on earlier pages plus its place
     on the page. Counts are summed inside blocks of ``block`` pages, and block
     totals inside each document, so no task ever holds a whole document.
     Page numbers are unique within a document.
+
+    Block totals need the chunks a second time. ``max_page``, see
+    :func:`largest_page`, spares that where every document fits one block.
     """
+    before = (Window.unboundedPreceding, -1)
     per_page = page_chunk_arrays.withColumn(
         "_block", F.floor(F.col("page_number") / block)
     )
-    before = (Window.unboundedPreceding, -1)
-    in_document = Window.partitionBy("document_id").orderBy("_block").rowsBetween(*before)
-    block_start = (
-        per_page.groupBy("document_id", "_block")
-        .agg(F.sum(F.size("chunks")).alias("_n"))
-        .select(
-            "document_id",
-            "_block",
-            F.coalesce(F.sum("_n").over(in_document), F.lit(0)).alias("_block_start"),
-        )
-    )
     in_block = (
         Window.partitionBy("document_id", "_block").orderBy("page_number").rowsBetween(*before)
     )
-    placed = (
-        per_page.withColumn(
-            "_page_start", F.coalesce(F.sum(F.size("chunks")).over(in_block), F.lit(0))
+    placed = per_page.withColumn(
+        "_start", F.coalesce(F.sum(F.size("chunks")).over(in_block), F.lit(0))
+    )
+    if max_page is None or max_page >= block:
+        in_document = Window.partitionBy("document_id").orderBy("_block").rowsBetween(*before)
+        totals = per_page.groupBy("document_id", "_block").agg(
+            F.sum(F.size("chunks")).alias("_n")
         )
-        .join(block_start, ["document_id", "_block"])
-        .select(
+        block_start = totals.select(
             "document_id",
-            "page_number",
-            (F.col("_block_start") + F.col("_page_start")).alias("_start"),
-            F.posexplode("chunks").alias("page_pos", "chunk_text"),
+            "_block",
+            F.coalesce(F.sum("_n").over(in_document), F.lit(0)).alias("_block_start"),
         )
+        placed = placed.join(block_start, ["document_id", "_block"]).withColumn(
+            "_start", F.col("_start") + F.col("_block_start")
+        )
+    numbered = placed.select(
+        "document_id", "page_number", "_start", F.posexplode("chunks").alias("page_pos", "chunk_text")
     )
     return _chunk_rows(
-        placed.withColumn("chunk_index", (F.col("_start") + F.col("page_pos")).cast("int")), model
+        numbered.withColumn("chunk_index", (F.col("_start") + F.col("page_pos")).cast("int")), model
     )
 
 
 def with_sequence_ids(chunks: DataFrame, first: int = 1) -> DataFrame:
     """Dense ids from ``first`` on in (document, chunk) order, like a database
-    sequence. Per-document counts are numbered, not the chunks themselves."""
-    from pagewell.operators.numbering import with_position
-
+    sequence. Documents are numbered by their chunk counts, which are written to
+    the shared folder first: the numbering reads them several times."""
     counts = chunks.groupBy("document_id").agg(F.count(F.lit(1)).alias("_n"))
-    starts = _running_start(with_position(counts, "document_id", "_place"), "_place", "_n")
+    starts = with_start(write_and_read(counts, "counts"), F.col("_n"), "document_id", "_start")
     return (
         chunks.join(starts.select("document_id", "_start"), "document_id")
         .withColumn("id", F.col("_start") + F.col("chunk_index") + first)
@@ -152,26 +163,6 @@ def with_sequence_ids(chunks: DataFrame, first: int = 1) -> DataFrame:
     )
 
 
-def _running_start(df: DataFrame, place: str, n: str, bits: int = 20) -> DataFrame:
-    """Add ``_start``, the sum of ``n`` over rows of a smaller dense ``place``;
-    sums run inside blocks of ``2**bits`` places."""
-    before = (Window.unboundedPreceding, -1)
-    blocked = df.withColumn("_block", F.shiftright(F.col(place), bits))
-    totals = blocked.groupBy("_block").agg(F.sum(n).alias("_t"))
-    block_start = totals.select(
-        "_block",
-        F.coalesce(F.sum("_t").over(Window.orderBy("_block").rowsBetween(*before)), F.lit(0))
-        .alias("_base"),
-    )
-    in_block = Window.partitionBy("_block").orderBy(place).rowsBetween(*before)
-    return (
-        blocked.withColumn("_inside", F.coalesce(F.sum(n).over(in_block), F.lit(0)))
-        .join(block_start, "_block")
-        .withColumn("_start", F.col("_base") + F.col("_inside"))
-        .drop("_block", "_inside", "_base")
-    )
-
-
 def request_batches(chunks: DataFrame, batch_size: int = BATCH_SIZE) -> DataFrame:
     """Groups of ``batch_size`` consecutive chunks of a page, last one short.
 
@@ -236,3 +227,29 @@ def document_outcome(page_chunk_arrays: DataFrame) -> DataFrame:
     return page_chunk_arrays.groupBy("document_id").agg(
         F.bool_or(F.size("chunks") > 0).alias("has_chunks")
     )
+
+
+def with_run_totals(chunks: DataFrame, observation: Observation) -> DataFrame:
+    """``chunks`` unchanged; after its next action ``observation.get`` holds the
+    totals ``chunks`` and ``characters`` of that run, without another pass."""
+    return chunks.observe(
+        observation,
+        F.count(F.lit(1)).alias("chunks"),
+        F.sum(F.length("chunk_text")).alias("characters"),
+    )
+
+
+def run_totals(chunks: DataFrame) -> DataFrame:
+    """The same totals of a chunk table, with its documents and pages."""
+    per_page = chunks.groupBy("document_id", "page_number").agg(
+        F.count(F.lit(1)).alias("chunks"), F.sum(F.length("chunk_text")).alias("characters")
+    )
+    per_document = per_page.groupBy("document_id").agg(
+        F.count(F.lit(1)).alias("pages"),
+        F.sum("chunks").alias("chunks"),
+        F.sum("characters").alias("characters"),
+    )
+    return per_document.agg(
+        F.count(F.lit(1)).alias("documents"),
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("pages", "chunks", "characters")],
+    )

@@ -15,44 +15,56 @@ from pyspark.sql import functions as F
 from pagewell.settings import ID_RANGE_BITS, SLICE_SIZE, WORKERS
 
 
-def with_position(
-    df: DataFrame, id_col: str = "id", out: str = "position", bits: int = ID_RANGE_BITS
+def with_start(
+    df: DataFrame,
+    weight: Column,
+    id_col: str = "id",
+    out: str = "start",
+    bits: int = ID_RANGE_BITS,
 ) -> DataFrame:
-    """Add the 0-based position of each row in id order. Ids must be unique."""
+    """Add the sum of ``weight`` over all rows of smaller id. Ids must be unique.
+
+    ``df`` is read three times, so it should be a table rather than a long plan.
+    """
     inner = F.shiftright(F.col(id_col), bits)
     outer = F.shiftright(F.col("_inner"), bits)
+    before = (Window.unboundedPreceding, -1)
+
+    def sum_before(column: str, window) -> Column:
+        return F.coalesce(F.sum(column).over(window.rowsBetween(*before)), F.lit(0))
 
     per_inner = (
-        df.select(inner.alias("_inner"))
-        .groupBy("_inner").agg(F.count(F.lit(1)).alias("_n"))
+        df.select(inner.alias("_inner"), weight.alias("_w"))
+        .groupBy("_inner").agg(F.sum("_w").alias("_n"))
         .withColumn("_outer", outer)
     )
     per_outer = per_inner.groupBy("_outer").agg(F.sum("_n").alias("_n"))
-
-    before = (Window.unboundedPreceding, -1)
     outer_start = per_outer.select(
-        "_outer",
-        F.coalesce(F.sum("_n").over(Window.orderBy("_outer").rowsBetween(*before)), F.lit(0))
-        .alias("_outer_start"),
+        "_outer", sum_before("_n", Window.orderBy("_outer")).alias("_outer_start")
     )
-    in_outer = Window.partitionBy("_outer").orderBy("_inner").rowsBetween(*before)
+    in_outer = Window.partitionBy("_outer").orderBy("_inner")
     inner_start = (
-        per_inner.select(
-            "_inner", "_outer", F.coalesce(F.sum("_n").over(in_outer), F.lit(0)).alias("_shift")
-        )
+        per_inner.select("_inner", "_outer", sum_before("_n", in_outer).alias("_shift"))
         .join(outer_start, "_outer")
-        .select("_inner", (F.col("_outer_start") + F.col("_shift")).alias("_start"))
+        .select("_inner", (F.col("_outer_start") + F.col("_shift")).alias("_range_start"))
     )
     in_inner = Window.partitionBy("_inner").orderBy(id_col)
     return (
-        df.withColumn("_inner", inner)
-        .withColumn("_rank", F.row_number().over(in_inner))
+        df.withColumns({"_inner": inner, "_w": weight})
+        .withColumn("_inside", sum_before("_w", in_inner))
         .join(inner_start, "_inner")
-        .withColumn(out, F.col("_start") + F.col("_rank") - 1)
-        .drop("_inner", "_rank", "_start")
+        .withColumn(out, F.col("_range_start") + F.col("_inside"))
+        .drop("_inner", "_w", "_inside", "_range_start")
     )
 
 
+def with_position(
+    df: DataFrame, id_col: str = "id", out: str = "position", bits: int = ID_RANGE_BITS
+) -> DataFrame:
+    """Add the 0-based position of each row in id order. Ids must be unique."""
+    return with_start(df, F.lit(1), id_col, out, bits)
+
+
 def even_split(df: DataFrame, parts: int, id_col: str = "id", out: str = "part") -> DataFrame:
     """Number ``parts`` contiguous id ranges of nearly equal size from 0 on; the
     first ``total % parts`` ranges have one row more."""

@@ -85,6 +85,10 @@ def page_completeness(requests: DataFrame, parsed: DataFrame) -> DataFrame:
     return totals.withColumn("complete", F.col("sent") == F.col("received"))
 
 
+def vectors_per_page(parsed: DataFrame) -> DataFrame:
+    return parsed.groupBy(*PAGE).agg(F.sum("received").alias("vectors"))
+
+
 def pair_vectors(
     requests: DataFrame, parsed: DataFrame, dim: int = EMBEDDING_DIM
 ) -> DataFrame:

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app_name: str = "pagewell", master: str | None = None, **conf) -> SparkSession:
@@ -40,3 +40,11 @@ def work_folder(spark: SparkSession, name: str) -> str:
         root = tempfile.mkdtemp(prefix="pagewell-")
         spark.conf.set("spark.pagewell.scratch", root)
     return os.path.join(root, f"{name}-{uuid.uuid4().hex}")
+
+
+def write_and_read(df: DataFrame, name: str) -> DataFrame:
+    """The rows of ``df``, from a table written to the shared folder: computed
+    once, and not again when an executor is lost."""
+    folder = work_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

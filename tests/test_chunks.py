@@ -1,5 +1,6 @@
 import models
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from pagewell.operators import chunks as ch
@@ -50,12 +51,32 @@ def test_nested_route(spark, corpus):
     assert rows(ch.chunk_documents(nested(spark, corpus), "m")) == expected(corpus)
 
 
-@pytest.mark.parametrize("block", [3, 8, 1024])
-def test_flat_route(spark, corpus, block):
-    numbered = ch.number_chunks(ch.chunk_pages(flat(spark, corpus)), "m", block)
+@pytest.mark.parametrize("block,known", [(3, False), (8, True), (1024, False), (1024, True)])
+def test_flat_route(spark, corpus, block, known):
+    pages = flat(spark, corpus)
+    max_page = ch.largest_page(pages) if known else None
+    numbered = ch.number_chunks(ch.chunk_pages(pages), "m", block, max_page)
     assert rows(numbered) == expected(corpus)
 
 
+def test_largest_page(spark, corpus):
+    assert ch.largest_page(flat(spark, corpus)) == 80
+    assert ch.largest_page(flat(spark, corpus).limit(0)) == 0
+
+
+def test_run_totals(spark, corpus):
+    chunks = ch.chunk_documents(nested(spark, corpus), "m")
+    seen = Observation("totals")
+    count = ch.with_run_totals(chunks, seen).count()
+    wanted = expected(corpus)
+    characters = sum(len(row[-1]) for row in wanted)
+    assert seen.get == {"chunks": count, "characters": characters}
+    totals = ch.run_totals(chunks).first()
+    assert (totals.chunks, totals.characters) == (len(wanted), characters)
+    assert totals.documents == len({row[1] for row in wanted})
+    assert ch.run_totals(chunks.limit(0)).first().chunks == 0
+
+
 def test_nested_route_does_not_shuffle(spark, corpus):
     plan = ch.chunk_documents(nested(spark, corpus), "m")._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan

@@ -138,7 +138,16 @@ def w1(spark, sf):
 @query("w1_chunk_index_flat_pages", f"WITH {sql.PAGED_CHUNKS} "
        "SELECT document_id, page_number, page_pos, chunk_index, chunk_text FROM chunks")
 def w1_flat(spark, sf):
-    numbered = ch.number_chunks(ch.chunk_pages(ad.pages(spark, sf)), MODEL)
+    pages = ad.pages(spark, sf)
+    numbered = ch.number_chunks(ch.chunk_pages(pages), MODEL, max_page=ch.largest_page(pages))
+    return numbered.select("document_id", "page_number", "page_pos", "chunk_index", "chunk_text")
+
+
+@query("w1_chunk_index_page_blocks", f"WITH {sql.PAGED_CHUNKS} "
+       "SELECT document_id, page_number, page_pos, chunk_index, chunk_text FROM chunks")
+def w1_blocks(spark, sf):
+    """The route of documents with very many pages, forced by blocks of 4 pages."""
+    numbered = ch.number_chunks(ch.chunk_pages(ad.pages(spark, sf)), MODEL, block=4)
     return numbered.select("document_id", "page_number", "page_pos", "chunk_index", "chunk_text")
 
 
@@ -731,6 +740,19 @@ def a2(spark, sf):
     )
 
 
+@query("a2_run_totals", f"""WITH {sql.PAGED_CHUNKS} SELECT count(DISTINCT document_id) AS documents,
+count(DISTINCT (document_id, page_number)) AS pages, count(*) AS chunks, sum(length(chunk_text))::BIGINT AS characters FROM chunks""")
+def a2_totals(spark, sf):
+    return ch.run_totals(_chunks(spark, sf))
+
+
+@query("a2_vectors_per_page", f"""WITH {sql.BATCHES} SELECT document_id, page_number,
+  sum(CASE WHEN reason IS NULL THEN expected ELSE 0 END)::BIGINT AS vectors FROM batches GROUP BY document_id, page_number""")
+def a2_vectors(spark, sf):
+    parsed = rs.parse_responses(ad.responses(spark, sf), ad.VECTOR_DIM)
+    return rs.vectors_per_page(parsed)
+
+
 @query("a3_document_outcome", f"WITH {sql.PAGED_CHUNKS} SELECT DISTINCT document_id, "
        "document_id IN (SELECT document_id FROM chunks) AS has_chunks FROM pages_")
 def a3(spark, sf):
