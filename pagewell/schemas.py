@@ -11,7 +11,7 @@ PAPERS = T.StructType([
     T.StructField("authors", T.StringType()),
     T.StructField("doi", T.StringType()),
     T.StructField("embedding_processed", T.BooleanType()),
-    T.StructField("created_at", T.TimestampNTZType()),
+    T.StructField("created_at", T.TimestampType()),
     T.StructField("topic", T.StringType()),
 ])
 

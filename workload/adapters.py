@@ -47,7 +47,7 @@ def papers(spark, sf_dir) -> DataFrame:
         authors.alias("authors"),
         F.when(doc % 3 != 0, F.concat(F.lit("10.1000/"), doc.cast("string"))).alias("doi"),
         (doc % 5 == 0).alias("embedding_processed"),
-        F.expr("timestampadd(MINUTE, doc_id, TIMESTAMP_NTZ'2024-01-01 00:00:00')").alias("created_at"),
+        F.expr("timestampadd(MINUTE, doc_id, TIMESTAMP'2024-01-01 00:00:00')").alias("created_at"),
         F.col("lang").alias("topic"),
     )
 
