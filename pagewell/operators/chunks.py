@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from pagewell.functions import select_once
+from pagewell.functions import let, select_once
 from pagewell.functions.text import page_chunks
 from pagewell.operators.numbering import with_start
 from pagewell.schemas import CHUNK_COLUMNS
@@ -59,6 +59,17 @@ def chunk_documents(
     its page. Pages without a kept chunk yield nothing and use up no number.
     """
 
+    chunks = _document_chunks(size, overlap, min_chars)
+    exploded = documents.select("document_id", F.posexplode(chunks).alias("chunk_index", "c"))
+    return _chunk_rows(
+        exploded.select("document_id", "chunk_index", "c.page_number", "c.page_pos", "c.chunk_text"),
+        model,
+    )
+
+
+def _document_chunks(size: int, overlap: int, min_chars: int) -> Column:
+    """All kept chunks of a document's ``pages`` in order, as one array."""
+
     def chunks_of(page: Column) -> Column:
         kept = page_chunks(page["text"], size, overlap, min_chars)
         return F.transform(
@@ -70,12 +81,7 @@ def chunk_documents(
             ),
         )
 
-    chunks = F.flatten(F.transform("pages", chunks_of))
-    exploded = documents.select("document_id", F.posexplode(chunks).alias("chunk_index", "c"))
-    return _chunk_rows(
-        exploded.select("document_id", "chunk_index", "c.page_number", "c.page_pos", "c.chunk_text"),
-        model,
-    )
+    return F.flatten(F.transform("pages", chunks_of))
 
 
 def _chunk_rows(numbered: DataFrame, model: str) -> DataFrame:
@@ -183,6 +189,43 @@ def request_batches(chunks: DataFrame, batch_size: int = BATCH_SIZE) -> DataFram
     )
 
 
+def batch_documents(
+    documents: DataFrame,
+    batch_size: int = BATCH_SIZE,
+    size: int = CHUNK_SIZE,
+    overlap: int = CHUNK_OVERLAP,
+    min_chars: int = MIN_CHUNK_CHARS,
+) -> DataFrame:
+    """The rows of :func:`request_batches` straight from nested documents, as
+    :func:`chunk_documents` takes them, without a shuffle."""
+
+    def batches(chunks: Column) -> Column:
+        first_of_batch = F.transform(
+            chunks, lambda c, i: F.when(c["page_pos"] % batch_size == 0, i)
+        )
+
+        def batch(start: Column) -> Column:
+            first = F.get(chunks, start)
+            # The next batch of the page is a whole batch away, so only the
+            # chunks of another page can be too many here.
+            members = F.filter(
+                F.slice(chunks, start + 1, F.lit(batch_size)),
+                lambda c: c["page_number"] == first["page_number"],
+            )
+            ids = F.transform(members, lambda _, i: chunk_id(F.col("document_id"), start + i))
+            return F.struct(
+                first["page_number"].alias("page_number"),
+                F.floor(first["page_pos"] / batch_size).cast("int").alias("batch_no"),
+                ids.alias("chunk_ids"),
+                F.transform(members, lambda c: c["chunk_text"]).alias("texts"),
+            )
+
+        return F.transform(F.filter(first_of_batch, lambda i: i.isNotNull()), batch)
+
+    chunks = _document_chunks(size, overlap, min_chars)
+    return documents.select("document_id", F.inline(let(chunks, batches)))
+
+
 def batch_page_arrays(page_chunk_arrays: DataFrame, batch_size: int = BATCH_SIZE) -> DataFrame:
     """The same groups cut from each page's chunk array, without a shuffle:
     ``document_id, page_number, batch_no, texts``."""

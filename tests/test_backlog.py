@@ -153,3 +153,18 @@ def test_drain_restart_and_later_files(spark, tmp_path):
     land(paper(4))
     drain()
     assert visible_documents(spark, root) == [1, 2, 4]
+
+
+def test_chunks_of_a_stream(spark, tmp_path):
+    """The chunker keeps no state, so it runs on a stream as it is."""
+    from pagewell.operators.chunks import chunk_documents
+
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    documents = loader()(papers(spark, paper(1), paper(2))).select("document_id", "pages")
+    documents.write.parquet(source)
+    stream = chunk_documents(spark.readStream.schema(documents.schema).parquet(source), "m")
+    stream.writeStream.format("parquet").option("path", out).option(
+        "checkpointLocation", str(tmp_path / "cp")
+    ).trigger(availableNow=True).start().awaitTermination()
+    assert spark.read.parquet(out).exceptAll(chunk_documents(documents, "m")).isEmpty()
+    assert spark.read.parquet(out).select("document_id").distinct().count() == 2

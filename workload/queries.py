@@ -19,7 +19,7 @@ from pagewell.operators import responses as rs
 from pagewell.operators import search
 from pagewell.plans import ingest, retrieve
 from pagewell.session import work_folder
-from pagewell.settings import EMBEDDING_DIM
+from pagewell.settings import EMBEDDING_DIM, QUERY_TASK
 from pagewell.sources import documents as docs
 from pagewell.sources import ledger as lg
 from pagewell.sources import tables as tb
@@ -418,6 +418,11 @@ def w4_whole(spark, sf):
     return _batch_rows(ch.request_batches(_whole_chunks(spark, sf)))
 
 
+@query("w4_request_batches_nested", ORACLE["w4_request_batches"])
+def w4_nested(spark, sf):
+    return _batch_rows(ch.batch_documents(ad.nested_documents(spark, sf)))
+
+
 def _batch_rows(batches):
     return batches.select(
         "document_id", "page_number", "batch_no", F.size("texts").alias("size"),
@@ -439,6 +444,13 @@ def f7(spark, sf):
     return batches.select("document_id", "page_number", "batch_no", body.alias("body"))
 
 
+@query("f7_query_request", """SELECT item_id AS query_id, '{"requests":[{"content":{"parts":[{"text":' || to_json(text) ||
+  '}]},"model":"models/token-hash","output_dimensionality":768,"task_type":"RETRIEVAL_QUERY"}]}' AS body FROM benchmark""")
+def f7_query(spark, sf):
+    body = messages.embedding_request(F.array("question"), MODEL, EMBEDDING_DIM, QUERY_TASK)
+    return ad.questions(spark, sf).select("query_id", body.alias("body"))
+
+
 @query("f8_response_vectors", f"""WITH {sql.BATCHES}
 SELECT s.batch_id, (s.vec_id % 16)::INTEGER AS pos, round(list_sum(s.embedding::DOUBLE[]), 5) AS total
 FROM sent s JOIN batches b USING (batch_id) WHERE coalesce(b.reason, 'status') = 'status'""")
