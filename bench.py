@@ -26,6 +26,7 @@ HEADLINE = [
     "w1_chunk_index_flat_pages",
     "w3_sequence_ids",
     "w4_request_batches",
+    "w4_request_batches_nested",
     "f7_embedding_request",
     "f9_response_status",
     "j3_positional_zip",

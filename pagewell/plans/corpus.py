@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,18 +17,26 @@ from pagewell.sources.documents import (
 )
 from pagewell.sources.ledger import visible_vectors
 from pagewell.sources.tables import index_rows, write_snapshot
+from pagewell.streaming.backlog import DocumentLoader
 
 NO_PAGES = "array<struct<page_number: int, text: string>>"
 
 
-def landed_loader(files_path: str, extractor: Extractor = form_feed_pages, glob: str | None = None):
-    """A document loader for the backlog drain: papers to pages, by way of the
-    files landed under ``files_path``. Papers without a usable file come out with
-    a ``reason``."""
+def landed_loader(
+    files: str | Callable[[SparkSession], DataFrame], extractor: Extractor = form_feed_pages
+) -> DocumentLoader:
+    """A document loader for the backlog drain: papers to pages, by way of their
+    landed files. Papers without a usable file come out with a ``reason``.
+
+    ``files`` is a folder of files, or a function that reads ``url, content``.
+    Very many small files are better landed as a table: a folder is listed anew
+    in every round.
+    """
 
     def load(papers: DataFrame) -> DataFrame:
-        files = read_landed_files(papers.sparkSession, files_path, glob)
-        found, rejected = match_landed(papers, files)
+        spark = papers.sparkSession
+        landed = read_landed_files(spark, files) if isinstance(files, str) else files(spark)
+        found, rejected = match_landed(papers, landed)
         without_pages = rejected.withColumn("pages", F.lit(None).cast(NO_PAGES))
         return extract_documents(found, extractor).unionByName(without_pages)
 

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagewell.settings import PDF_MAGIC
+from pagewell.settings import BROADCAST_ROWS, PDF_MAGIC
 
 Extractor = Callable[[bytes], Iterable["str | None"]]
 
@@ -43,10 +43,13 @@ def match_landed(papers: DataFrame, files: DataFrame) -> tuple[DataFrame, DataFr
     """Payloads of papers (``id, pdf_url``) by url: ``document_id, content``, and
     ``document_id, reason`` for the papers that have none that is usable. Spark
     lists no empty files, so a paper with an empty file counts as not landed.
-    Finding the missing ones reads no payloads.
+    Finding the missing ones reads no payloads, and a round of up to
+    ``BROADCAST_ROWS`` papers is sent to the files rather than the payloads
+    shuffled.
     """
     wanted = papers.select(F.col("id").alias("document_id"), F.col("pdf_url").alias("url"))
-    good, bad = split_landed(files.join(wanted, "url"))
+    few = wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    good, bad = split_landed(files.join(F.broadcast(wanted) if few else wanted, "url"))
     missing = wanted.join(files.select("url"), "url", "left_anti").select(
         "document_id", F.concat(F.lit("not landed: "), F.col("url")).alias("reason")
     )

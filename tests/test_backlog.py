@@ -168,3 +168,25 @@ def test_chunks_of_a_stream(spark, tmp_path):
     ).trigger(availableNow=True).start().awaitTermination()
     assert spark.read.parquet(out).exceptAll(chunk_documents(documents, "m")).isEmpty()
     assert spark.read.parquet(out).select("document_id").distinct().count() == 2
+
+
+def test_restart_after_a_failed_round(spark, tmp_path, monkeypatch):
+    source, root, checkpoint = (str(tmp_path / n) for n in ("papers", "tables", "checkpoint"))
+    papers(spark, paper(1), paper(2)).coalesce(1).write.parquet(source)
+
+    def drain():
+        backlog.drain_backlog(spark, source, root, checkpoint, loader(), EMBEDDING).awaitTermination()
+
+    def crash(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(backlog, "commit", crash)
+        with pytest.raises(Exception, match="lost"):
+            drain()
+    assert visible_documents(spark, root) == []
+    attempts = {r.batch_id for r in lg.read_embedded(spark, root).collect()}
+    drain()
+    assert visible_documents(spark, root) == [1, 2]
+    assert {r.batch_id for r in lg.read_embedded(spark, root).collect()} == attempts
+    assert lg.read_embedded(spark, root).groupBy("id").count().where("count > 1").isEmpty()

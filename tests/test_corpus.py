@@ -10,6 +10,17 @@ from pagewell.streaming.backlog import drain_backlog
 EMBEDDING = Embedding("m", token_hash_embedder(1024), 1024)
 
 
+def test_payloads_from_a_table(spark):
+    papers = spark.createDataFrame([(1, "a"), (2, "b")], "id long, pdf_url string")
+
+    def payloads(session):
+        return session.createDataFrame([("a", bytearray(b"%PDF\none\x0ctwo"))], "url string, content binary")
+
+    got = {r.document_id: (r.pages, r.reason) for r in landed_loader(payloads)(papers).collect()}
+    assert [p.text for p in got[1][0]] == ["one", "two"]
+    assert got[2] == (None, "not landed: b")
+
+
 def test_files_to_prompts(spark, tmp_path):
     landed = tmp_path / "landed"
     landed.mkdir()
