@@ -91,5 +91,7 @@ def page_chunks(
     overlap: int = CHUNK_OVERLAP,
     min_chars: int = MIN_CHUNK_CHARS,
 ) -> Column:
-    """Raw page text to its kept chunks: clean, cut, drop short ones."""
-    return keep_long(let(clean_text(text), lambda t: chunk_clean_text(t, size, overlap)), min_chars)
+    """Raw page text to its kept chunks: clean, cut, drop short ones. A missing
+    text has none."""
+    cleaned = clean_text(F.coalesce(text, F.lit("")))
+    return keep_long(let(cleaned, lambda t: chunk_clean_text(t, size, overlap)), min_chars)

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pagewell.settings import (
     CELL_VECTORS,
     MAX_LISTS,
+    NLIST,
     NPROBE,
     QUERY_BLOCK_BYTES,
     QUERY_BLOCK_ROWS,
@@ -355,7 +356,7 @@ def score_summary(
 
 
 def train_centroids(
-    index: DataFrame, lists: int, seed: int = 42, max_training_rows: int = 1_000_000
+    index: DataFrame, lists: int = NLIST, seed: int = 42, max_training_rows: int = 1_000_000
 ) -> DataFrame:
     """``list_id int, centroid array<float>`` from k-means over the index, or
     over a sample of it where the index is larger than ``max_training_rows``.

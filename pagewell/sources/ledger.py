@@ -11,13 +11,12 @@ from __future__ import annotations
 
 import os
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagewell.schemas import CHUNK_COLUMNS
 from pagewell.settings import BROADCAST_ROWS, LISTED_BATCHES
-from pagewell.sources.tables import replace_batch
+from pagewell.sources.tables import read_or_empty, replace_batch
 
 LEDGER = (
     "document_id long, status string, chunks long, vectors long, reason string, batch_id string"
@@ -34,16 +33,6 @@ PAGED = (
 SETTLED = ("done", "empty")
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """The table at ``path``, or no rows if nothing was written yet."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
-
-
 def read_ledger(spark: SparkSession, root: str) -> DataFrame:
     return read_or_empty(spark, os.path.join(root, "ledger"), LEDGER)
 

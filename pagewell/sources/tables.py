@@ -62,10 +62,13 @@ def index_rows(vectors: DataFrame) -> DataFrame:
 
 
 def write_snapshot(index: DataFrame, root: str, name: str, dim: int = EMBEDDING_DIM) -> None:
-    """Write a whole index as snapshot ``name`` and make it current."""
+    """Write a whole index as snapshot ``name`` and make it current. What an
+    attempt that was not published left behind is replaced."""
     spark = index.sparkSession
+    if not _pointers(spark, root).where(F.col("snapshot") == name).isEmpty():
+        raise ValueError(f"snapshot {name} is already published")
     folder = os.path.join(root, "snapshots", name)
-    index.select(*INDEX_COLUMNS).write.mode("errorifexists").parquet(folder)
+    index.select(*INDEX_COLUMNS).write.mode("overwrite").parquet(folder)
     count = spark.read.schema(INDEX).parquet(folder).count()
     pointer = spark.createDataFrame([(name, count, dim)], "snapshot string, vectors long, dim int")
     pointer.withColumn("published_at", F.current_timestamp()).coalesce(1).write.mode(
@@ -73,10 +76,24 @@ def write_snapshot(index: DataFrame, root: str, name: str, dim: int = EMBEDDING_
     ).parquet(os.path.join(root, "pointer"))
 
 
+def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The table at ``path``, or no rows if nothing was written yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def _pointers(spark: SparkSession, root: str) -> DataFrame:
+    return read_or_empty(spark, os.path.join(root, "pointer"), POINTER)
+
+
 def current_snapshot(spark: SparkSession, root: str):
     """The newest pointer row, or None."""
-    pointers = spark.read.schema(POINTER).parquet(os.path.join(root, "pointer"))
-    rows = pointers.orderBy(F.desc("published_at"), F.desc("snapshot")).limit(1).collect()
+    newest = [F.desc("published_at"), F.desc("snapshot")]
+    rows = _pointers(spark, root).orderBy(*newest).limit(1).collect()
     return rows[0] if rows else None
 
 

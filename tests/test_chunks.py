@@ -1,7 +1,6 @@
 import models
 import pytest
 from pyspark.sql import Observation
-from pyspark.sql import functions as F
 
 from pagewell.operators import chunks as ch
 
@@ -77,6 +76,18 @@ def test_run_totals(spark, corpus):
     assert ch.run_totals(chunks.limit(0)).first().chunks == 0
 
 
+def test_page_without_text(spark):
+    text = (WORDS * 30)[:900]
+    rows = [(1, [(1, text), (2, None), (3, text)]), (2, None), (3, [])]
+    schema = "document_id long, pages array<struct<page_number int, text string>>"
+    got = ch.chunk_documents(spark.createDataFrame(rows, schema), "m").collect()
+    assert sorted((r.document_id, r.chunk_index, r.page_number) for r in got) == [(1, 0, 1), (1, 1, 3)]
+    flat_rows = [(1, 1, text), (1, 2, None), (1, 3, text)]
+    flat_pages = spark.createDataFrame(flat_rows, "document_id long, page_number int, text string")
+    flat_got = ch.number_chunks(ch.chunk_pages(flat_pages), "m").collect()
+    assert sorted((r.chunk_index, r.page_number) for r in flat_got) == [(0, 1), (1, 3)]
+
+
 def test_nested_route_does_not_shuffle(spark, corpus):
     plan = ch.chunk_documents(nested(spark, corpus), "m")._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan

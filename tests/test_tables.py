@@ -26,6 +26,17 @@ def test_snapshots(spark, root):
         tb.read_snapshot(spark, root, 3)
 
 
+def test_snapshot_attempts(spark, root):
+    index = spark.createDataFrame([(1, [1.0])], INDEX)
+    spark.createDataFrame([(9, [1.0])], INDEX).write.parquet(os.path.join(root, "snapshots", "a"))
+    with pytest.raises(FileNotFoundError):
+        tb.read_snapshot(spark, root, 1)
+    tb.write_snapshot(index, root, "a", 1)
+    assert [r.id for r in tb.read_snapshot(spark, root, 1).collect()] == [1]
+    with pytest.raises(ValueError, match="already published"):
+        tb.write_snapshot(index, root, "a", 1)
+
+
 def test_unpublished_snapshot_is_not_read(spark, root):
     tb.write_snapshot(spark.createDataFrame([(1, [1.0])], INDEX), root, "a", 1)
     spark.createDataFrame([(9, [1.0])], INDEX).write.parquet(os.path.join(root, "snapshots", "b"))
