@@ -191,10 +191,12 @@ def _held_search(query_ids, units, probes, collector):
             lists = batch.column("list_id").to_numpy(zero_copy_only=False)
             ids = batch.column("id").to_numpy(zero_copy_only=False)
             vectors = _matrix(batch.column("unit"))
-            for list_id in np.unique(lists):
+            found = np.unique(lists)
+            for list_id in found:
                 rows = probes.get(int(list_id))
                 if rows is not None:
-                    here = lists == list_id
+                    # A batch of one list, the usual case, is not copied.
+                    here = lists == list_id if len(found) > 1 else slice(None)
                     _score(seen, rows, units[rows], vectors[here], ids[here])
         yield seen.batch(query_ids)
 
@@ -272,10 +274,11 @@ def _merge_hits(partial: DataFrame, k: int) -> DataFrame:
     )
 
 
-def _cells(vectors: DataFrame, probes: DataFrame, q_blocks: int) -> DataFrame:
+def _cells(vectors: DataFrame, probes: DataFrame, q_blocks: int, cells: int) -> DataFrame:
     """Rows of both sides, grouped into cells and sorted for :func:`_cell_search`.
     ``vectors``: list_id, v_blocks, id, unit. ``probes``: list_id, v_blocks,
-    query_id, unit. ``v_blocks`` is the number of vector blocks of the list."""
+    query_id, unit. ``v_blocks`` is the number of vector blocks of the list,
+    ``cells`` the number of cells there can be, each meant for a task of its own."""
     query_side = (
         probes.withColumn("q_block", F.pmod(F.xxhash64("query_id"), F.lit(q_blocks)).cast("int"))
         .withColumn("v_block", F.explode(F.sequence(F.lit(0), F.col("v_blocks") - 1)))
@@ -292,7 +295,7 @@ def _cells(vectors: DataFrame, probes: DataFrame, q_blocks: int) -> DataFrame:
     cell = ["list_id", "q_block", "v_block"]
     return (
         query_side.unionByName(vector_side)
-        .repartition(*cell)
+        .repartition(cells, *cell)
         .sortWithinPartitions(*cell, "is_vector")
     )
 
@@ -306,9 +309,10 @@ def _scan(index, queries, collector, schema, block, cell_vectors) -> DataFrame:
     vectors = index.select(F.lit(0).alias("list_id"), "id", "unit")
     held = held_queries(queries, block)
     if held is None:
-        v_blocks = F.lit(_blocks(index.count(), cell_vectors)).alias("v_blocks")
-        probes = queries.select(F.lit(0).alias("list_id"), v_blocks, "query_id", "unit")
-        runs = _cells(vectors.select("*", v_blocks), probes, _blocks(queries.count(), block))
+        v_blocks, q_blocks = _blocks(index.count(), cell_vectors), _blocks(queries.count(), block)
+        shape = F.lit(v_blocks).alias("v_blocks")
+        probes = queries.select(F.lit(0).alias("list_id"), shape, "query_id", "unit")
+        runs = _cells(vectors.select("*", shape), probes, q_blocks, v_blocks * q_blocks)
         return runs.mapInArrow(_cell_search(collector), schema)
     query_ids, units = held
     if not len(query_ids):
@@ -454,10 +458,13 @@ def search_lists(
             )
         )
         probes = nearest_lists(queries, centroids, nprobe, "query_id")
+        q_blocks = _blocks(queries.count(), block)
+        v_blocks = _blocks(listed_index.count(), cell_vectors) + centroids.count()
         runs = _cells(
             listed_index.select("list_id", "id", "unit").join(sizes, "list_id"),
             probes.join(sizes, "list_id"),
-            _blocks(queries.count(), block),
+            q_blocks,
+            v_blocks * q_blocks,
         )
         return _merge_hits(runs.mapInArrow(_cell_search(collector), _HITS), k)
     query_ids, units = held

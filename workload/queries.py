@@ -617,7 +617,7 @@ def n1_search_cells(spark, sf):
     centroids = _label_centroids(spark, sf)
     listed = search.assign_lists(ad.index(spark, sf), centroids)
     return search.search_lists(
-        listed, centroids, ad.vector_queries(spark, sf), nprobe=3, block=100, cell_vectors=50
+        listed, centroids, ad.vector_queries(spark, sf), nprobe=3, block=250, cell_vectors=50
     )
 
 
