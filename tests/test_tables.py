@@ -3,6 +3,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from pagewell.functions.vectors import unit_vector
 from pagewell.operators import integrity
 from pagewell.operators.hits import assemble_prompts, lookup_chunks
 from pagewell.sources import tables as tb
@@ -126,6 +127,13 @@ def test_lookup_and_prompt(spark, bound):
     assert got[2].context == ""
 
 
+def test_index_rows_are_unit_vectors(spark):
+    rows = [(1, [0.0, 0.0]), (2, [-3.0, 4.0]), (3, [1e-20, 0.0]), (4, [0.1, 0.7])]
+    vectors = spark.createDataFrame(rows, "embedding_chunk_id long, embedding array<float>")
+    wanted = vectors.select("embedding_chunk_id", unit_vector(F.col("embedding")))
+    assert sorted(map(tuple, tb.index_rows(vectors).collect())) == sorted(map(tuple, wanted.collect()))
+
+
 def test_stored_vector_is_not_normalised(spark, root):
     tb.append_vectors(spark.createDataFrame([(5, [3.0, 4.0])], "embedding_chunk_id long, embedding array<float>"), root)
     stored = spark.read.parquet(root)

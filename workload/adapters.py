@@ -175,16 +175,24 @@ def responses(spark, sf_dir) -> DataFrame:
 
 
 def payloads(spark, sf_dir) -> DataFrame:
-    """Landed payloads: every third document is an HTML error page, the others
-    are a header line and Latin-1 pages with form feeds between them."""
+    """Landed payloads: a header line and Latin-1 pages with form feeds between
+    them."""
     header = F.encode(F.lit("%PDF-1.4\n"), "iso-8859-1")
     # Characters outside Latin-1 cannot be part of such a payload.
     latin = F.regexp_replace("text", r"[^\x00-\x{FF}]", "")
     with_pages = documents(spark, sf_dir).withColumn("latin", latin)
     paged = F.encode(F.array_join(_slices("latin"), "\f"), "iso-8859-1")
-    error = F.encode(F.concat(F.lit("<html>"), F.col("latin")), "iso-8859-1")
     return with_pages.select(
         F.col("doc_id").alias("document_id"),
         F.concat(F.lit("doc://"), F.col("doc_id").cast("string")).alias("url"),
-        F.when(F.col("doc_id") % 3 == 0, error).otherwise(F.concat(header, paged)).alias("content"),
+        F.concat(header, paged).alias("content"),
     )
+
+
+def payloads_and_pages(spark, sf_dir) -> DataFrame:
+    """The payloads together with raw web pages, as a crawl would land them."""
+    web = table(spark, sf_dir, "pages").select(
+        F.concat(F.lit("web://"), F.col("page_id").cast("string")).alias("url"),
+        F.col("html").cast("binary").alias("content"),
+    )
+    return payloads(spark, sf_dir).select("url", "content").unionByName(web)

@@ -284,10 +284,10 @@ def w5_limits(spark, sf):
 # --- landed documents ------------------------------------------------------------
 
 
-@query("s2_landing_check", """SELECT 'doc://' || doc_id AS url, doc_id % 3 <> 0 AS accepted,
-CASE WHEN doc_id % 3 = 0 THEN 'not a valid PDF: doc://' || doc_id END AS reason FROM documents""")
+@query("s2_landing_check", """SELECT 'doc://' || doc_id AS url, true AS accepted, NULL::VARCHAR AS reason FROM documents
+UNION ALL SELECT 'web://' || page_id, false, 'not a valid PDF: web://' || page_id FROM pages""")
 def s2(spark, sf):
-    good, bad = docs.split_landed(ad.payloads(spark, sf))
+    good, bad = docs.split_landed(ad.payloads_and_pages(spark, sf))
     return good.select("url", F.lit(True).alias("accepted"), F.lit(None).cast("string").alias("reason")).unionByName(
         bad.select("url", F.lit(False).alias("accepted"), "reason")
     )
@@ -301,7 +301,7 @@ def s2_files(spark, sf):
 
 
 @query("s3_paged_text", r"""WITH src AS (
-  SELECT doc_id AS document_id, regexp_replace(text, '[^\x00-\x{FF}]', '', 'g') AS text FROM documents WHERE doc_id % 3 <> 0)
+  SELECT doc_id AS document_id, regexp_replace(text, '[^\x00-\x{FF}]', '', 'g') AS text FROM documents)
 SELECT document_id, p::INTEGER AS page_number, substr(text, 4000 * (p - 1) + 1, 4000) AS text
 FROM (SELECT *, unnest(range(1, greatest(1, (length(text) + 3999) // 4000) + 1)) AS p FROM src)""")
 def s3(spark, sf):
