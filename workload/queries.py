@@ -371,7 +371,7 @@ def l2(spark, sf):
 @query("l2_exact_topk_cells", f"WITH {sql.UNITS}, {sql.HITS} SELECT query_id, rank, id, score FROM hits")
 def l2_cells(spark, sf):
     """The route of large query sets, forced by small blocks."""
-    return search.exact_topk(ad.index(spark, sf), ad.vector_queries(spark, sf), block=128, cell_vectors=256)
+    return search.exact_topk(ad.index(spark, sf), ad.vector_queries(spark, sf), block=256, cell_vectors=512)
 
 
 @query("w6_rank_hits", f"""WITH {sql.UNITS}, own AS (
