@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagewell.llm import decontamination
+from pagewell.llm import chat, decontamination, licenses, mixing
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -51,3 +51,65 @@ FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)
 @query("op3_benchmark_decontamination", OP3)
 def op3(spark, sf):
     return decontamination.contamination_report(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query("op4_license_scan")
+def op4(spark, sf):
+    return licenses.license_report(table(spark, sf, "documents"))
+
+
+OP1 = r"""
+WITH t AS (SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations),
+s AS (SELECT DISTINCT conv_id, role AS speaker FROM t WHERE role <> 'system'),
+p AS (SELECT t.conv_id, s.speaker, t.turn, t.role, t.text, floor(turn / 64)::BIGINT AS segment,
+  CASE WHEN role = 'system' THEN '<|system|>' || chr(10) WHEN role = speaker THEN '<|assistant|>' || chr(10)
+    ELSE '<|user name="' || role || '"|>' || chr(10) END AS head,
+  replace(text, '<|', '< |') || '<|end|>' AS body
+  FROM t JOIN s ON t.conv_id IS NOT DISTINCT FROM s.conv_id),
+a AS (SELECT *, coalesce(sum(length(head) + length(body) + 1) OVER (PARTITION BY conv_id, speaker, segment
+  ORDER BY turn, role, text ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS at FROM p)
+SELECT conv_id, speaker, segment, count(*)::INTEGER AS n_turns,
+  string_agg(head || body || chr(10), '' ORDER BY turn, role, text) AS text,
+  coalesce(string_agg((at + length(head)) || '-' || (at + length(head) + length(body)), ',' ORDER BY turn, role, text)
+    FILTER (WHERE role = speaker), '') AS mask
+FROM a GROUP BY ALL
+"""
+
+
+@query("op1_perspective_rotation", OP1)
+def op1(spark, sf):
+    return chat.chat_report(table(spark, sf, "conversations"))
+
+
+OP5 = r"""
+WITH z AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
+  md5(coalesce(doc_id::VARCHAR, '')) AS place FROM documents),
+t AS (SELECT source, sum(size)::BIGINT AS source_size FROM z GROUP BY 1),
+r AS (SELECT *, row_number() OVER (ORDER BY source IS NULL, source) AS rank FROM t),
+w AS (SELECT *, [3.0, 1.0, 2.0][((rank - 1) % 3 + 1)::BIGINT]::DOUBLE AS weight, (2 * source_size)::DOUBLE AS cap FROM r),
+f AS (SELECT *, row_number() OVER o AS turn, (1.5 * sum(source_size) OVER () - (sum(cap) OVER o - cap))
+    / (sum(weight) OVER () - (sum(weight) OVER o - weight)) AS level
+  FROM w WINDOW o AS (ORDER BY cap / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+g AS (SELECT *, CASE WHEN cap / weight > level THEN weight * (SELECT arg_min(level, turn) FROM f WHERE cap / weight > level)
+  ELSE cap END AS target FROM f),
+q AS (SELECT z.doc_id, z.source, z.size, g.rank, g.source_size, g.target,
+  coalesce(sum(z.size) OVER (PARTITION BY g.rank ORDER BY place, doc_id, z.size
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before
+  FROM z JOIN g ON z.source IS NOT DISTINCT FROM g.source),
+c AS (SELECT rank, size, target, source_size, unnest([before, before + source_size]) AS f FROM q WHERE size > 0),
+l AS (SELECT *, unnest(range(greatest(0, floor(f * 1024 / target)::BIGINT - 1), floor((f + size) * 1024 / target)::BIGINT + 2)) AS line FROM c),
+k AS (SELECT rank, target, line, least(f + size, ceil((line + 1) * target / 1024)::BIGINT) AS e,
+  greatest(f, ceil(line * target / 1024)::BIGINT) AS b FROM l),
+u AS (SELECT rank, e - b AS words, coalesce(sum(e - b) OVER (ORDER BY line, e / target, rank, e - b
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS upto FROM k WHERE e > b),
+s AS (SELECT rank, sum(greatest(0, least(words, (SELECT floor(1.5 * sum(source_size)) FROM t)::BIGINT - upto)))::BIGINT AS served
+  FROM u GROUP BY 1)
+SELECT doc_id, size, source_size, target,
+  (greatest(0, least(size, coalesce(served, 0) - before)) + greatest(0, least(size, coalesce(served, 0) - before - source_size)))::BIGINT AS taken
+FROM q LEFT JOIN s USING (rank)
+"""
+
+
+@query("op5_weighted_fair_mixing", OP5)
+def op5(spark, sf):
+    return mixing.mixing_report(table(spark, sf, "documents"))
