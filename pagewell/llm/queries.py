@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagewell.llm import chat, decontamination, licenses, mixing
+from pagewell.llm import chat, decontamination, jaccard, licenses, mixing
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -67,10 +67,10 @@ p AS (SELECT t.conv_id, s.speaker, t.turn, t.role, t.text, floor(turn / 64)::BIG
   replace(text, '<|', '< |') || '<|end|>' AS body
   FROM t JOIN s ON t.conv_id IS NOT DISTINCT FROM s.conv_id),
 a AS (SELECT *, coalesce(sum(length(head) + length(body) + 1) OVER (PARTITION BY conv_id, speaker, segment
-  ORDER BY turn, role, text ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS at FROM p)
+  ORDER BY turn, role, text ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS o FROM p)
 SELECT conv_id, speaker, segment, count(*)::INTEGER AS n_turns,
   string_agg(head || body || chr(10), '' ORDER BY turn, role, text) AS text,
-  coalesce(string_agg((at + length(head)) || '-' || (at + length(head) + length(body)), ',' ORDER BY turn, role, text)
+  coalesce(string_agg((o + length(head)) || '-' || (o + length(head) + length(body)), ',' ORDER BY turn, role, text)
     FILTER (WHERE role = speaker), '') AS mask
 FROM a GROUP BY ALL
 """
@@ -113,3 +113,21 @@ FROM q LEFT JOIN s USING (rank)
 @query("op5_weighted_fair_mixing", OP5)
 def op5(spark, sf):
     return mixing.mixing_report(table(spark, sf, "documents"))
+
+
+OP6 = f"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({LOWER}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, md5(array_to_string(w[i:i + 4], ' ')) AS g FROM (
+  SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS m FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * m >= 75 * (x.n + y.n - m)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id, doc_id AS c FROM documents UNION SELECT r.doc_id, e.b FROM r JOIN e ON r.c = e.a)
+SELECT doc_id, coalesce(n.n, 0) AS n_shingles, min(c) AS component_id FROM r LEFT JOIN n USING (doc_id) GROUP BY ALL
+"""
+
+
+@query("op6_ngram_jaccard_join", OP6)
+def op6(spark, sf):
+    return jaccard.near_copies(table(spark, sf, "documents")).drop("class_id")
