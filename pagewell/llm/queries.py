@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagewell.llm import chat, decontamination, jaccard, licenses, mixing
+from pagewell.llm import chat, decontamination, embeddings, jaccard, licenses, mixing
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -131,3 +131,20 @@ SELECT doc_id, coalesce(n.n, 0) AS n_shingles, min(c) AS component_id FROM r LEF
 @query("op6_ngram_jaccard_join", OP6)
 def op6(spark, sf):
     return jaccard.near_copies(table(spark, sf, "documents")).drop("class_id")
+
+
+OP7 = """
+WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+u AS (SELECT vec_id, e, sqrt(list_inner_product(e, e)) AS n FROM v),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id AND a.n > 0 AND b.n > 0
+  AND list_inner_product(a.e, b.e) / (a.n * b.n) >= 0.9),
+r AS (SELECT vec_id, vec_id AS c FROM v UNION SELECT r.vec_id, l.b FROM r JOIN l ON r.c = l.a),
+c AS (SELECT vec_id, min(c) AS component_id FROM r GROUP BY 1)
+SELECT vec_id, count(l.b) AS n_links, component_id, vec_id = component_id AS kept
+FROM c LEFT JOIN l ON l.a = vec_id GROUP BY ALL
+"""
+
+
+@query("op7_embedding_near_dedup", OP7)
+def op7(spark, sf):
+    return embeddings.link_embeddings(table(spark, sf, "embeddings"))
