@@ -36,14 +36,9 @@ def ascii_lowered(data: np.ndarray) -> np.ndarray:
     return data + (((data >= 65) & (data <= 90)) * np.uint8(32))
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words, in order, and for each row where its words begin
-    among them. A word is a longest run of bytes with ``is_word``; runs end
-    with their row.
-
-    The hash of a word is a polynomial of its bytes modulo 2**64, taken as a
-    difference of running sums, then mixed with its length.
-    """
+def word_bounds(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First bytes and ends of all words. A word is a longest run of bytes with
+    ``is_word``; runs end with their row."""
     n = len(data)
     inside = is_word[data]
     starts_row = np.zeros(n + 1, bool)
@@ -52,7 +47,17 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray) -> t
     begin[1:] &= ~inside[:-1] | starts_row[1:n]
     ends = inside.copy()
     ends[:-1] &= ~inside[1:] | starts_row[1:n]
-    first, last = np.flatnonzero(begin), np.flatnonzero(ends) + 1
+    return np.flatnonzero(begin), np.flatnonzero(ends) + 1
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words, in order, and for each row where its words begin
+    among them (see ``word_bounds``).
+
+    The hash of a word is a polynomial of its bytes modulo 2**64, taken as a
+    difference of running sums, then mixed with its length.
+    """
+    first, last = word_bounds(data, offsets, is_word)
     size = last - first
     if not len(first):
         return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)

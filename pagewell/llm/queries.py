@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagewell.llm import chat, decontamination, embeddings, jaccard, licenses, mixing
+from pagewell.llm import chat, decontamination, embeddings, jaccard, language_model, licenses, mixing
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -148,3 +148,8 @@ FROM c LEFT JOIN l ON l.a = vec_id GROUP BY ALL
 @query("op7_embedding_near_dedup", OP7)
 def op7(spark, sf):
     return embeddings.link_embeddings(table(spark, sf, "embeddings"))
+
+
+@query("op8_pseudo_likelihood")
+def op8(spark, sf):
+    return language_model.pseudo_likelihood(table(spark, sf, "documents"))
