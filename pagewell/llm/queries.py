@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagewell.llm import chat, decontamination, embeddings, jaccard, language_model, licenses, mixing
+from pagewell.llm import chat, decontamination, embeddings, jaccard, language_model, licenses, mixing, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -153,3 +153,8 @@ def op7(spark, sf):
 @query("op8_pseudo_likelihood")
 def op8(spark, sf):
     return language_model.pseudo_likelihood(table(spark, sf, "documents"))
+
+
+@query("op2_toxicity_trees")
+def op2(spark, sf):
+    return toxicity.score_toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
