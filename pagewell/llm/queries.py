@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagewell.llm import chat, decontamination, embeddings, jaccard, language_model, licenses, mixing, toxicity
+from pagewell.llm import chat, decontamination, embeddings, html, jaccard, language_model, licenses, mixing, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -158,3 +158,13 @@ def op8(spark, sf):
 @query("op2_toxicity_trees")
 def op2(spark, sf):
     return toxicity.score_toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query("op9_url_filter")
+def op9(spark, sf):
+    return urls.judge_urls(table(spark, sf, "pages"))
+
+
+@query("op10_html_minimum_cut")
+def op10(spark, sf):
+    return html.extract_pages(table(spark, sf, "pages"))
