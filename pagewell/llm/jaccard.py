@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagewell.llm import bytewords as bw
@@ -31,7 +31,7 @@ THRESHOLD = 75  # in hundredths
 # The first fragment of the hash order, in 1/64; above 1/4, or it could settle nothing.
 FRAGMENT = 22
 # Rounds of comparing with hubs before what is left is compared pair by pair.
-HUB_ROUNDS = 3
+HUB_ROUNDS = 2
 
 _IS_WORD = np.ones(256, bool)
 _IS_WORD[[9, 10, 11, 12, 13, 32]] = False
@@ -189,15 +189,22 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return joined.where(100 * F.col("both") >= THRESHOLD * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b")
 
 
-_FITTING = (100 * F.least("na", "nb") >= THRESHOLD * F.greatest("na", "nb"))
+def _fitting() -> Column:
+    """Whether two sets can be similar enough, if the n-gram at places ``pa`` and
+    ``pb`` of their orders is the first they share: what comes from there on must hold the
+    overlap that their sizes ask for. A linked pair passes at its first one."""
+    return (100 + THRESHOLD) * F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) >= THRESHOLD * (F.col("na") + F.col("nb"))
 
 
 def _hub_pairs(lists: DataFrame, seed: int) -> DataFrame:
     """For every document the hub of another component that it shares most prefix n-grams with."""
-    hubs = lists.groupBy("gram").agg(F.min(F.struct(F.xxhash64("doc", F.lit(seed)).alias("o"), "doc", "n", "component")).alias("h"))
-    hubs = written(hubs.select("gram", F.col("h.doc").alias("b"), F.col("h.n").alias("nb"), F.col("h.component").alias("cb")), "hubs")
-    rows = lists.withColumnsRenamed({"doc": "a", "n": "na"}).join(hubs, "gram")
-    counted = rows.where((F.col("component") != F.col("cb")) & _FITTING).groupBy("a", "b").agg(F.count("*").alias("shared"))
+    early = F.when(F.lit(seed) % 2 == 0, F.col("place") / F.col("n")).otherwise(F.lit(0.0)).alias("early")
+    order = F.struct(early, F.xxhash64("doc", F.lit(seed)).alias("o"), "doc", "n", "place", "component")
+    hubs = lists.groupBy("gram").agg(F.min(order).alias("h"))
+    hubs = hubs.select("gram", F.col("h.doc").alias("b"), F.col("h.n").alias("nb"), F.col("h.place").alias("pb"), F.col("h.component").alias("cb"))
+    hubs = written(hubs, "hubs")
+    rows = lists.withColumnsRenamed({"doc": "a", "n": "na", "place": "pa"}).join(hubs, "gram")
+    counted = rows.where((F.col("component") != F.col("cb")) & _fitting()).groupBy("a", "b").agg(F.count("*").alias("shared"))
     return counted.groupBy("a").agg(F.max_by("b", F.struct("shared", "b")).alias("b"))
 
 
@@ -207,17 +214,18 @@ def _open_pairs(lists: DataFrame) -> DataFrame:
     sizes = lists.groupBy("gram", "component").agg(F.count("*").alias("m"))
     most = sizes.groupBy("gram").agg(F.max_by("component", F.struct("m", "component")).alias("most"))
     fewer = written(lists.join(most, "gram").where("component <> most"), "fewer")
-    left = fewer.select("gram", F.col("doc").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-    right = lists.select("gram", F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-    met = left.join(right, "gram").where((F.col("ca") != F.col("cb")) & _FITTING)
+    left = fewer.select("gram", F.col("doc").alias("a"), F.col("n").alias("na"), F.col("place").alias("pa"), F.col("component").alias("ca"))
+    right = lists.select("gram", F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"), F.col("component").alias("cb"))
+    met = left.join(right, "gram").where((F.col("ca") != F.col("cb")) & _fitting())
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _links(shared: DataFrame) -> DataFrame | None:
     """Enough links between sets for their components to be exact."""
-    prefix = written(
-        shared.select("doc", "n", F.explode(F.slice("grams", F.lit(1), F.col("prefix"))).alias("gram"), F.col("doc").alias("component")), "prefixes"
-    )
+    placed = shared.select("doc", "n", "grams", F.posexplode(F.slice("grams", F.lit(1), F.col("prefix"))).alias("at", "gram"))
+    prefix = written(placed.select(
+        "doc", "n", (F.col("n") - F.size("grams") + F.col("at")).alias("place"), "gram", F.col("doc").alias("component"),
+    ), "prefixes")
     links, rounds = None, 0
     while True:
         mixed = prefix.groupBy("gram").agg((F.min("component") != F.max("component")).alias("mixed")).where("mixed").select("gram")
