@@ -35,10 +35,10 @@ def score(left: Column, right: Column) -> Column:
 
 
 def has_dimension(vector: Column, dim: int) -> Column:
-    """False for NULL vectors, wrong sizes and vectors with NULL entries."""
-    return F.coalesce(
-        (F.size(vector) == dim) & F.forall(vector, lambda x: x.isNotNull()), F.lit(False)
-    )
+    """False for NULL vectors, wrong sizes and vectors with an entry that is NULL,
+    not a number or infinite."""
+    finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
+    return F.coalesce((F.size(vector) == dim) & F.forall(vector, finite), F.lit(False))
 
 
 def _six_digits(x: Column) -> Column:

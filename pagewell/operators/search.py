@@ -1,21 +1,16 @@
 """Exact top-k by inner product, and search in inverted lists.
 
 Scoring is a matrix product over Arrow batches; only the best ``k`` candidates
-of each query leave a task, never the scored pairs. Two routes give the same
-rows:
-
-* **Held queries**: up to ``QUERY_BLOCK_ROWS`` queries (and
-  ``QUERY_BLOCK_BYTES``) are sent to every task and the vectors are scored where
-  they are read. The index is not shuffled. The limit is checked by fetching at
-  most one row more than it allows.
-* **Cells**: larger query sets are cut into blocks by a hash of the query id,
-  the vectors into blocks by a hash of the vector id, and each (list, query
-  block, vector block) cell is one sorted run of queries followed by vectors.
-  Both sides are copied once per block of the other; at more than
-  ``QUERY_BLOCK_ROWS`` queries per copy the product outweighs that shuffle by
-  far. Hashing ids keeps cells even, also inside one dominant list.
+of each query leave a task, never the scored pairs. Queries go to where the
+vectors are read: up to ``QUERY_BLOCK_ROWS`` of them (and ``QUERY_BLOCK_BYTES``)
+are held by every task, and a larger set is cut into such blocks by a hash of
+the query id, which search one after another. The index is never shuffled or
+copied, and the driver holds one block at a time. The limits are checked by fetching at
+most one row more than they allow.
 
 Candidates of all tasks meet in a two-step top-k, salted by vector id first.
+Scores are ranked as float64; only the reported column is rounded. A vector with
+an entry that is not finite is no hit, a query with one has no hits.
 """
 
 from __future__ import annotations
@@ -27,8 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pagewell.session import work_folder
 from pagewell.settings import (
-    CELL_VECTORS,
     MAX_LISTS,
     NLIST,
     NPROBE,
@@ -41,6 +36,7 @@ from pagewell.settings import (
 _TILE_SCORES = 4_000_000
 _MERGE_SALTS = 32
 _HITS = "query_id long, id long, score double"
+_RANKED = "query_id long, rank int, id long, score double"
 _SUMMARY = "query_id long, n long, top double, low double, total double"
 
 
@@ -58,10 +54,8 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return flat.reshape(rows, -1)
 
 
-def _round(scores: np.ndarray) -> np.ndarray:
-    """Round half away from zero, as SQL does."""
-    scale = 10.0**SCORE_DECIMALS
-    return np.copysign(np.floor(np.abs(scores) * scale + 0.5) / scale, scores) + 0.0
+def _finite(matrix: np.ndarray) -> np.ndarray:
+    return np.isfinite(matrix).all(axis=1)
 
 
 class _Best:
@@ -93,25 +87,20 @@ class _Best:
         if tile.shape[1] > self.k and not np.all(np.isfinite(bound)):
             kth = np.partition(tile, -self.k, axis=1)[:, -self.k]
             bound = np.maximum(bound, kth)
-        bound = bound - 2 * error - 10.0**-SCORE_DECIMALS
+        bound = bound - 2 * error
 
         # Once the bounds are high, most queries gain nothing from a tile.
         live = np.flatnonzero(tile.max(axis=1, initial=-np.inf) >= bound)
         if not len(live):
             return
         passing = tile[live] >= bound[live, None]
-        # Queries with many near ties are cheaper as a product than pair by pair.
-        many = np.count_nonzero(passing, axis=1) > 8 * self.k
-        at, col = np.nonzero(passing[~many])
-        self._merge(rows[live[~many]], at, ids[col], _pairwise(units[live[~many]], vectors, at, col))
-        if many.any():
-            exact = units[live[many]].astype(np.float64) @ vectors.T.astype(np.float64)
-            at, col = np.nonzero(passing[many])
-            self._merge(rows[live[many]], at, ids[col], exact[at, col])
+        # One way of summing for all pairs: equal vectors get equal scores.
+        at, col = np.nonzero(passing)
+        self._merge(rows[live], at, ids[col], _pairwise(units[live], vectors, at, col))
 
     def _merge(self, rows: np.ndarray, at: np.ndarray, ids: np.ndarray, scores: np.ndarray):
         """Candidates ``i``: query ``rows[at[i]]``, vector ``ids[i]``."""
-        new_rows, new_scores = rows[at], _round(scores)
+        new_rows, new_scores = rows[at], scores
         floor = self.floor[new_rows]
         enters = (new_scores > floor) | ((new_scores == floor) & (ids < self.floor_id[new_rows]))
         if not enters.any():
@@ -172,9 +161,15 @@ class _Summary:
 
 
 def _score(seen, rows: np.ndarray, units: np.ndarray, vectors: np.ndarray, ids: np.ndarray):
-    """Hand a batch to ``seen`` in tiles of bounded size."""
+    """Hand a batch to ``seen`` in tiles of bounded size, without what is not finite."""
+    good = _finite(vectors)
+    if not good.all():
+        vectors, ids = vectors[good], ids[good]
+    good = _finite(units)
+    if not good.all():
+        rows, units = rows[good], units[good]
     step = max(1, _TILE_SCORES // max(1, len(rows)))
-    for start in range(0, len(ids), step):
+    for start in range(0, len(ids) if len(rows) else 0, step):
         seen.add(rows, units, vectors[start : start + step], ids[start : start + step])
 
 
@@ -203,44 +198,6 @@ def _held_search(query_ids, units, probes, collector):
     return run
 
 
-def _cell_search(collector):
-    """Task function over rows sorted by cell, queries before vectors."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cell, query_parts, seen, query_ids, units = None, [], None, None, None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            keys = np.stack([
-                batch.column(name).to_numpy(zero_copy_only=False)
-                for name in ("list_id", "q_block", "v_block", "is_vector")
-            ])
-            edges = np.flatnonzero(np.any(keys[:, 1:] != keys[:, :-1], axis=0)) + 1
-            bounds = [0, *edges.tolist(), batch.num_rows]
-            ids = batch.column("id").to_numpy(zero_copy_only=False)
-            for start, end in zip(bounds[:-1], bounds[1:]):
-                here = tuple(keys[:3, start].tolist())
-                if here != cell:
-                    if seen is not None:
-                        yield seen.batch(query_ids)
-                    cell, query_parts, seen = here, [], None
-                part = _matrix(batch.column("unit").slice(start, end - start))
-                if not keys[3, start]:
-                    query_parts.append((ids[start:end], part))
-                    continue
-                if not query_parts:
-                    continue
-                if seen is None:
-                    query_ids = np.concatenate([i for i, _ in query_parts])
-                    units = np.concatenate([m for _, m in query_parts])
-                    seen = collector(len(query_ids))
-                _score(seen, np.arange(len(query_ids)), units, part, ids[start:end])
-        if seen is not None:
-            yield seen.batch(query_ids)
-
-    return run
-
-
 # --- plans ---------------------------------------------------------------------
 
 
@@ -270,63 +227,50 @@ def _merge_hits(partial: DataFrame, k: int) -> DataFrame:
     return (
         salted.withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= k)
         .withColumn("rank", F.row_number().over(final)).where(F.col("rank") <= k)
-        .select("query_id", "rank", "id", "score")
+        .select("query_id", "rank", "id", (F.round("score", SCORE_DECIMALS) + F.lit(0.0)).alias("score"))
     )
 
 
-def _cells(vectors: DataFrame, probes: DataFrame, q_blocks: int, cells: int) -> DataFrame:
-    """Rows of both sides, grouped into cells and sorted for :func:`_cell_search`.
-    ``vectors``: list_id, v_blocks, id, unit. ``probes``: list_id, v_blocks,
-    query_id, unit. ``v_blocks`` is the number of vector blocks of the list,
-    ``cells`` the number of cells there can be, each meant for a task of its own."""
-    query_side = (
-        probes.withColumn("q_block", F.pmod(F.xxhash64("query_id"), F.lit(q_blocks)).cast("int"))
-        .withColumn("v_block", F.explode(F.sequence(F.lit(0), F.col("v_blocks") - 1)))
-        .select(
-            "list_id", "q_block", "v_block", F.lit(0).alias("is_vector"),
-            F.col("query_id").alias("id"), "unit",
-        )
-    )
-    vector_side = (
-        vectors.withColumn("v_block", F.pmod(F.xxhash64("id"), F.col("v_blocks")).cast("int"))
-        .withColumn("q_block", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))))
-        .select("list_id", "q_block", "v_block", F.lit(1).alias("is_vector"), "id", "unit")
-    )
-    cell = ["list_id", "q_block", "v_block"]
-    return (
-        query_side.unionByName(vector_side)
-        .repartition(cells, *cell)
-        .sortWithinPartitions(*cell, "is_vector")
-    )
-
-
-def _blocks(rows: int, size: int) -> int:
-    return max(1, -(-rows // size))
+def _query_parts(queries: DataFrame, block: int, seed: int = 0) -> Iterator[DataFrame]:
+    """A query set too large to be held, in parts that can be."""
+    parts = max(2, 2 * -(-queries.count() // block))
+    part = F.pmod(F.xxhash64("query_id", F.lit(seed)), F.lit(parts)).alias("_part")
+    folder = work_folder(queries.sparkSession, "queries")
+    queries.select("query_id", "unit", part).write.partitionBy("_part").parquet(folder)
+    placed = queries.sparkSession.read.schema("query_id long, unit array<float>, _part long").parquet(folder)
+    for number in range(parts):
+        one = placed.where(F.col("_part") == number).select("query_id", "unit")
+        if held_queries(one, block) is None:
+            yield from _query_parts(one, block, seed + 1)
+        else:
+            yield one
+
+
+def _by_blocks(queries: DataFrame, block: int, run, schema: str) -> DataFrame:
+    """``run(part, held)`` for a query set that can be held, or for each part of
+    a larger one, whose results are written before the next part is fetched."""
+    held = held_queries(queries, block)
+    if held is not None:
+        return run(queries, held)
+    spark = queries.sparkSession
+    folder = work_folder(spark, "found")
+    for part in _query_parts(queries, block):
+        run(part, held_queries(part, block)).write.mode("append").parquet(folder)
+    return spark.read.schema(schema).parquet(folder)
 
 
-def _scan(index, queries, collector, schema, block, cell_vectors) -> DataFrame:
-    """Score all queries against all vectors; partial results per task."""
-    vectors = index.select(F.lit(0).alias("list_id"), "id", "unit")
-    held = held_queries(queries, block)
-    if held is None:
-        v_blocks, q_blocks = _blocks(index.count(), cell_vectors), _blocks(queries.count(), block)
-        shape = F.lit(v_blocks).alias("v_blocks")
-        probes = queries.select(F.lit(0).alias("list_id"), shape, "query_id", "unit")
-        runs = _cells(vectors.select("*", shape), probes, q_blocks, v_blocks * q_blocks)
-        return runs.mapInArrow(_cell_search(collector), schema)
+def _scan(index: DataFrame, held, collector, schema: str) -> DataFrame:
+    """Score held queries against all vectors; partial results per task."""
     query_ids, units = held
     if not len(query_ids):
         return index.sparkSession.createDataFrame([], schema)
+    vectors = index.select(F.lit(0).alias("list_id"), "id", "unit")
     everything = {0: np.arange(len(query_ids))}
     return vectors.mapInArrow(_held_search(query_ids, units, everything, collector), schema)
 
 
 def exact_topk(
-    index: DataFrame,
-    queries: DataFrame,
-    k: int = TOP_K,
-    block: int = QUERY_BLOCK_ROWS,
-    cell_vectors: int = CELL_VECTORS,
+    index: DataFrame, queries: DataFrame, k: int = TOP_K, block: int = QUERY_BLOCK_ROWS
 ) -> DataFrame:
     """The ``k`` index rows of highest inner product for every query.
 
@@ -335,97 +279,105 @@ def exact_topk(
     score``; equal scores are ordered by id, and a query gets fewer rows only if
     the index has fewer.
     """
-    partial = _scan(index, queries, lambda n: _Best(n, k), _HITS, block, cell_vectors)
-    return _merge_hits(partial, k)
+
+    def run(part, held):
+        return _merge_hits(_scan(index, held, lambda n: _Best(n, k), _HITS), k)
+
+    return _by_blocks(queries, block, run, _RANKED)
 
 
 def score_summary(
-    index: DataFrame,
-    queries: DataFrame,
-    block: int = QUERY_BLOCK_ROWS,
-    cell_vectors: int = CELL_VECTORS,
+    index: DataFrame, queries: DataFrame, block: int = QUERY_BLOCK_ROWS
 ) -> DataFrame:
     """Every query scored against every vector, reported per query: ``scored,
     highest, lowest, mean``."""
-    partial = _scan(index, queries, _Summary, _SUMMARY, block, cell_vectors)
-    return partial.groupBy("query_id").agg(
-        F.sum("n").alias("scored"),
-        F.round(F.max("top"), SCORE_DECIMALS).alias("highest"),
-        F.round(F.min("low"), SCORE_DECIMALS).alias("lowest"),
-        F.round(F.sum("total") / F.sum("n"), SCORE_DECIMALS).alias("mean"),
-    )
+
+    def run(part, held):
+        return _scan(index, held, _Summary, _SUMMARY).groupBy("query_id").agg(
+            F.sum("n").alias("scored"),
+            F.round(F.max("top"), SCORE_DECIMALS).alias("highest"),
+            F.round(F.min("low"), SCORE_DECIMALS).alias("lowest"),
+            F.round(F.sum("total") / F.sum("n"), SCORE_DECIMALS).alias("mean"),
+        )
+
+    return _by_blocks(queries, block, run, "query_id long, scored long, highest double, lowest double, mean double")
 
 
 # --- inverted lists ------------------------------------------------------------
 
 
-def train_centroids(
-    index: DataFrame, lists: int = NLIST, seed: int = 42, max_training_rows: int = 1_000_000
-) -> DataFrame:
-    """``list_id int, centroid array<float>`` from k-means over the index, or
-    over a sample of it where the index is larger than ``max_training_rows``.
-    The sample shapes the lists only; every vector is assigned to one."""
+def train_centroids(index: DataFrame, lists: int = NLIST, seed: int = 42) -> DataFrame:
+    """``list_id int, centroid array<float>`` from k-means over the whole index."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
-    rows = index.count()
-    training = index
-    if rows > max_training_rows:
-        training = index.sample(fraction=max_training_rows / rows, seed=seed)
     model = KMeans(k=lists, seed=seed, featuresCol="features").fit(
-        training.select(array_to_vector("unit").alias("features"))
+        index.select(array_to_vector("unit").alias("features"))
     )
     centers = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
     return index.sparkSession.createDataFrame(centers, "list_id int, centroid array<float>")
 
 
-def _nearest_lists(list_ids: np.ndarray, centroids: np.ndarray, vectors: np.ndarray, n: int):
-    """The ``n`` lists of highest inner product with each vector; equal scores
-    in order of list id."""
-    scores = _round(vectors.astype(np.float64) @ centroids.T.astype(np.float64))
-    by_list = np.argsort(list_ids, kind="stable")
-    order = np.argsort(-scores[:, by_list], axis=1, kind="stable")[:, :n]
-    return list_ids[by_list][order]
-
-
-def _held_centroids(centroids: DataFrame, max_lists: int) -> tuple[np.ndarray, np.ndarray]:
-    table = centroids.select("list_id", "centroid").limit(max_lists + 1).toArrow()
-    if table.num_rows > max_lists:
-        raise ValueError("more than %d lists" % max_lists)
-    return table.column("list_id").to_numpy(), _matrix(table.column("centroid"))
+def _centroid_blocks(centroids: DataFrame, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Ids and vectors of at most ``most`` lists at a time, in order of id."""
+    rows = centroids.select("list_id", "centroid").orderBy("list_id")
+    last = None
+    while True:
+        table = (rows if last is None else rows.where(F.col("list_id") > last)).limit(most).toArrow()
+        if table.num_rows or last is None:
+            yield table.column("list_id").to_numpy(), _matrix(table.column("centroid"))
+        if table.num_rows < most:
+            return
+        last = table.column("list_id")[-1].as_py()
 
 
-def nearest_lists(
-    vectors: DataFrame,
-    centroids: DataFrame,
-    n: int,
-    id_col: str = "id",
-    max_lists: int = MAX_LISTS,
-) -> DataFrame:
-    """``id_col, list_id, unit`` with one row for each of the ``n`` lists nearest
-    to a vector. The number of lists is a tuning value and is checked."""
-    list_ids, matrix = _held_centroids(centroids, max_lists)
-    count = min(n, len(list_ids))
+def _nearer_lists(list_ids, centroids, count, id_col):
+    """Task function: the best ``count`` of the lists found so far and of a block
+    of centroids, for each vector; equal scores in order of list id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             step = max(1, _TILE_SCORES // max(1, len(list_ids)))
             for start in range(0, batch.num_rows, step):
                 part = batch.slice(start, step)
-                found = _nearest_lists(list_ids, matrix, _matrix(part.column("unit")), count)
-                take = pa.array(np.repeat(np.arange(part.num_rows), count))
+                known = len(part.column("lists")[0]) if part.num_rows else 0
+                old = [np.asarray(part.column(c).flatten()).reshape(part.num_rows, known) for c in ("lists", "scores")]
+                fresh = _matrix(part.column("unit")).astype(np.float64) @ centroids.T.astype(np.float64)
+                ids = np.concatenate([old[0], np.broadcast_to(list_ids, fresh.shape)], axis=1)
+                scores = np.concatenate([old[1], fresh], axis=1)
+                order = np.argsort(-scores, axis=1, kind="stable")[:, :count]
+                best = [np.take_along_axis(x, order, axis=1) for x in (ids, scores)]
+                sizes = pa.array(np.arange(part.num_rows + 1) * order.shape[1], pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column(id_col).take(take),
-                        pa.array(found.reshape(-1), pa.int32()),
-                        part.column("unit").take(take),
+                        part.column(id_col), part.column("unit"),
+                        pa.ListArray.from_arrays(sizes, pa.array(best[0].reshape(-1), pa.int32())),
+                        pa.ListArray.from_arrays(sizes, pa.array(best[1].reshape(-1), pa.float64())),
                     ],
-                    names=[id_col, "list_id", "unit"],
+                    names=[id_col, "unit", "lists", "scores"],
                 )
 
-    return vectors.select(id_col, "unit").mapInArrow(
-        run, f"{id_col} long, list_id int, unit array<float>"
+    return run
+
+
+def nearest_lists(
+    vectors: DataFrame,
+    centroids: DataFrame,
+    n: int,
+    id_col: str = "id",
+    max_lists: int = MAX_LISTS,
+) -> DataFrame:
+    """``id_col, list_id, unit`` with one row for each of the ``n`` lists nearest
+    to a vector. Tasks hold ``max_lists`` centroids at a time; more are taken block
+    after block in the same stage, each vector keeping its best so far."""
+    found = vectors.select(
+        id_col, "unit", F.array().cast("array<int>").alias("lists"), F.array().cast("array<double>").alias("scores")
     )
+    schema = f"{id_col} long, unit array<float>, lists array<int>, scores array<double>"
+    for list_ids, matrix in _centroid_blocks(centroids, max_lists):
+        if len(list_ids):
+            found = found.mapInArrow(_nearer_lists(list_ids, matrix, n, id_col), schema)
+    return found.select(id_col, F.explode("lists").alias("list_id"), "unit")
 
 
 def assign_lists(index: DataFrame, centroids: DataFrame) -> DataFrame:
@@ -440,7 +392,6 @@ def search_lists(
     k: int = TOP_K,
     nprobe: int = NPROBE,
     block: int = QUERY_BLOCK_ROWS,
-    cell_vectors: int = CELL_VECTORS,
 ) -> DataFrame:
     """Top-k among the vectors of the ``nprobe`` lists nearest to each query.
 
@@ -448,36 +399,23 @@ def search_lists(
     partitioned by ``list_id`` (``write_listed_index``): the filter on the probed
     lists then selects folders. With every list probed the result is exact.
     """
-    collector = lambda n: _Best(n, k)
-    held = held_queries(queries, block)
-    if held is None:
-        # One row per list, of which there are at most MAX_LISTS.
-        sizes = F.broadcast(
-            listed_index.groupBy("list_id").agg(
-                F.ceil(F.count(F.lit(1)) / cell_vectors).cast("int").alias("v_blocks")
-            )
-        )
-        probes = nearest_lists(queries, centroids, nprobe, "query_id")
-        q_blocks = _blocks(queries.count(), block)
-        v_blocks = _blocks(listed_index.count(), cell_vectors) + centroids.count()
-        runs = _cells(
-            listed_index.select("list_id", "id", "unit").join(sizes, "list_id"),
-            probes.join(sizes, "list_id"),
-            q_blocks,
-            v_blocks * q_blocks,
+
+    def run(part, held):
+        query_ids, units = held
+        # At most ``block`` times ``nprobe`` rows, found by tasks.
+        pairs = nearest_lists(part, centroids, nprobe, "query_id").select("query_id", "list_id").toPandas()
+        row_of = np.argsort(query_ids, kind="stable")
+        rows = row_of[np.searchsorted(query_ids[row_of], pairs.query_id.to_numpy(np.int64))]
+        lists = pairs.list_id.to_numpy(np.int64)
+        order = np.lexsort((rows, lists))
+        names, starts = np.unique(lists[order], return_index=True)
+        probes = dict(zip(names.tolist(), np.split(rows[order], starts[1:])))
+        if not probes:
+            return _merge_hits(listed_index.sparkSession.createDataFrame([], _HITS), k)
+        wanted = listed_index.where(F.col("list_id").isin(sorted(probes)))
+        partial = wanted.select("list_id", "id", "unit").mapInArrow(
+            _held_search(query_ids, units, probes, lambda n: _Best(n, k)), _HITS
         )
-        return _merge_hits(runs.mapInArrow(_cell_search(collector), _HITS), k)
-    query_ids, units = held
-    if not len(query_ids):
-        return _merge_hits(listed_index.sparkSession.createDataFrame([], _HITS), k)
-    list_ids, matrix = _held_centroids(centroids, MAX_LISTS)
-    found = _nearest_lists(list_ids, matrix, units, min(nprobe, len(list_ids)))
-    probes = {
-        int(list_id): np.flatnonzero(np.any(found == list_id, axis=1))
-        for list_id in np.unique(found)
-    }
-    wanted = listed_index.where(F.col("list_id").isin(sorted(probes)))
-    partial = wanted.select("list_id", "id", "unit").mapInArrow(
-        _held_search(query_ids, units, probes, collector), _HITS
-    )
-    return _merge_hits(partial, k)
+        return _merge_hits(partial, k)
+
+    return _by_blocks(queries, block, run, _RANKED)

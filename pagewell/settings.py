@@ -23,17 +23,16 @@ PDF_MAGIC = "%PDF"
 # --- precision ---------------------------------------------------------------
 # Vectors are float32, about seven significant digits. Scores are summed in
 # double, reported at six decimals, and equal scores are ordered by id, so a
-# result does not depend on how the rows were partitioned.
+# result does not depend on how the rows were partitioned. Ranks go by the
+# unrounded score.
 SCORE_DECIMALS = 6
 
 # --- size bounds -------------------------------------------------------------
 # Largest set of query vectors held by every task at once (rows, and bytes as
-# float64). Larger sets take the shuffled route of operators/search.py.
+# float64). Larger sets are searched block after block.
 QUERY_BLOCK_ROWS = 4096
 QUERY_BLOCK_BYTES = 64 * 1024 * 1024
-# Vectors one search cell streams through on the shuffled route.
-CELL_VECTORS = 1_000_000
-# Most inverted lists an index may have; their centroids are held by every task.
+# Centroids of inverted lists held by every task at a time.
 MAX_LISTS = 65_536
 # Most batches whose names are put into a reader's folder filter.
 LISTED_BATCHES = 10_000

@@ -63,13 +63,14 @@ UNITS = f"""normed AS (SELECT vec_id AS id, embedding, {NORM.format('embedding')
 units AS (
   SELECT id, [(x::DOUBLE / nrm)::FLOAT::DOUBLE for x in embedding] AS unit FROM normed)"""
 
+# Twelve decimals hide only the order in which a sum was taken.
 HITS = f"""scored AS (
-  SELECT a.id AS query_id, b.id AS id, round(list_dot_product(a.unit, b.unit), 6) AS score
+  SELECT a.id AS query_id, b.id AS id, round(list_dot_product(a.unit, b.unit), 12) AS score
   FROM units a CROSS JOIN units b),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id)::INTEGER AS rank
   FROM scored),
-hits AS (SELECT query_id, rank, id, score FROM ranked WHERE rank <= 5)"""
+hits AS (SELECT query_id, rank, id, round(score, 6) AS score FROM ranked WHERE rank <= 5)"""
 
 BATCHES = """sent AS (
   SELECT vec_id, embedding, vec_id // 96 AS document_id, (vec_id // 48 % 2 + 1)::INTEGER AS page_number,
@@ -95,6 +96,6 @@ cu AS (SELECT id, slot, (n / sqrt(sum(n * n) OVER (PARTITION BY id)))::FLOAT::DO
 qs AS {slots('benchmark', 'item_id', 'text', dim)},
 qu AS (SELECT item_id AS query_id, slot,
   (n / sqrt(sum(n * n) OVER (PARTITION BY item_id)))::FLOAT::DOUBLE AS u FROM qs),
-pairs AS (SELECT query_id, id, round(sum(qu.u * cu.u), 6) AS score FROM qu JOIN cu USING (slot) GROUP BY ALL),
+pairs AS (SELECT query_id, id, round(sum(qu.u * cu.u), 12) AS score FROM qu JOIN cu USING (slot) GROUP BY ALL),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id)::INTEGER AS rank FROM pairs),
-found AS (SELECT query_id, rank, id, score FROM ranked WHERE rank <= 5)"""
+found AS (SELECT query_id, rank, id, round(score, 6) AS score FROM ranked WHERE rank <= 5)"""

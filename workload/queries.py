@@ -371,7 +371,7 @@ def l2(spark, sf):
 @query("l2_exact_topk_cells", f"WITH {sql.UNITS}, {sql.HITS} SELECT query_id, rank, id, score FROM hits")
 def l2_cells(spark, sf):
     """The route of large query sets, forced by small blocks."""
-    return search.exact_topk(ad.index(spark, sf), ad.vector_queries(spark, sf), block=256, cell_vectors=512)
+    return search.exact_topk(ad.index(spark, sf), ad.vector_queries(spark, sf), block=256)
 
 
 @query("w6_rank_hits", f"""WITH {sql.UNITS}, own AS (
@@ -586,7 +586,7 @@ LISTS = f"""{sql.UNITS},
 means AS (SELECT label, pos, round(avg(x::DOUBLE), 6)::FLOAT::DOUBLE AS m
   FROM (SELECT label, unnest(range(1, 65)) AS pos, unnest(embedding) AS x FROM embeddings) GROUP BY ALL),
 centroids AS (SELECT label AS list_id, list(m ORDER BY pos) AS c FROM means GROUP BY label),
-near AS (SELECT id, list_id, row_number() OVER (PARTITION BY id ORDER BY round(list_dot_product(unit, c), 6) DESC, list_id) AS r
+near AS (SELECT id, list_id, row_number() OVER (PARTITION BY id ORDER BY round(list_dot_product(unit, c), 12) DESC, list_id) AS r
   FROM units CROSS JOIN centroids),
 listed AS (SELECT id, list_id FROM near WHERE r = 1)"""
 
@@ -597,10 +597,10 @@ def n1_assign(spark, sf):
 
 
 N1_HITS = f"""WITH {LISTS}, probes AS (SELECT id AS query_id, list_id FROM near WHERE r <= 3),
-scored AS (SELECT p.query_id, l.id, round(list_dot_product(q.unit, v.unit), 6) AS score FROM probes p
+scored AS (SELECT p.query_id, l.id, round(list_dot_product(q.unit, v.unit), 12) AS score FROM probes p
   JOIN listed l USING (list_id) JOIN units v ON v.id = l.id JOIN units q ON q.id = p.query_id),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id)::INTEGER AS rank FROM scored)
-SELECT query_id, rank, id, score FROM ranked WHERE rank <= 5"""
+SELECT query_id, rank, id, round(score, 6) AS score FROM ranked WHERE rank <= 5"""
 
 
 @query("n1_search_lists", N1_HITS)
@@ -617,7 +617,7 @@ def n1_search_cells(spark, sf):
     centroids = _label_centroids(spark, sf)
     listed = search.assign_lists(ad.index(spark, sf), centroids)
     return search.search_lists(
-        listed, centroids, ad.vector_queries(spark, sf), nprobe=3, block=250, cell_vectors=50
+        listed, centroids, ad.vector_queries(spark, sf), nprobe=3, block=250
     )
 
 
