@@ -41,8 +41,17 @@ def chunk_id(document_id: Column, chunk_index: Column, stride: int = ID_STRIDE)
     ).otherwise(F.raise_error(message))
 
 
-def with_chunk_ids(chunks: DataFrame, stride: int = ID_STRIDE) -> DataFrame:
-    return chunks.withColumn("id", chunk_id(F.col("document_id"), F.col("chunk_index"), stride))
+def chunk_id_or_null(document_id: Column, chunk_index: Column, stride: int = ID_STRIDE) -> Column:
+    """The same, but NULL where the index or the product does not fit, so that one
+    document can be set aside and not fail its round."""
+    most = (2**63 - 1) // stride - 1
+    fits = (chunk_index < stride) & document_id.between(-most, most)
+    return F.when(fits, document_id * F.lit(stride).cast("bigint") + chunk_index)
+
+
+def with_chunk_ids(chunks: DataFrame, stride: int = ID_STRIDE, ids=chunk_id) -> DataFrame:
+    """``ids`` makes an id of document id, chunk index and stride."""
+    return chunks.withColumn("id", ids(F.col("document_id"), F.col("chunk_index"), stride))
 
 
 def chunk_documents(
@@ -51,6 +60,8 @@ def chunk_documents(
     size: int = CHUNK_SIZE,
     overlap: int = CHUNK_OVERLAP,
     min_chars: int = MIN_CHUNK_CHARS,
+    stride: int = ID_STRIDE,
+    ids=chunk_id,
 ) -> DataFrame:
     """Nested route. ``documents``: ``document_id long, pages array<struct<
     page_number int, text string>>`` with pages in order. No shuffle.
@@ -63,7 +74,7 @@ def chunk_documents(
     exploded = documents.select("document_id", F.posexplode(chunks).alias("chunk_index", "c"))
     return _chunk_rows(
         exploded.select("document_id", "chunk_index", "c.page_number", "c.page_pos", "c.chunk_text"),
-        model,
+        model, stride, ids,
     )
 
 
@@ -84,9 +95,9 @@ def _document_chunks(size: int, overlap: int, min_chars: int) -> Column:
     return F.flatten(F.transform("pages", chunks_of))
 
 
-def _chunk_rows(numbered: DataFrame, model: str) -> DataFrame:
+def _chunk_rows(numbered: DataFrame, model: str, stride: int = ID_STRIDE, ids=chunk_id) -> DataFrame:
     return (
-        with_chunk_ids(numbered)
+        with_chunk_ids(numbered, stride, ids)
         .withColumn("embedding_model", F.lit(model))
         .select(*CHUNK_COLUMNS, "page_pos")
     )

@@ -2,9 +2,9 @@
 
 Ids are unique integers, so a range of ``2**bits`` ids holds at most that many
 rows, whatever the distribution. Rows are numbered inside such ranges, and the
-ranges are numbered the same way one level up; only per-range counts ever
-leave the ranges. The top level sees at most ``2**(64 - 2 * bits)`` counts, in
-practice one.
+ranges are numbered the same way two levels up; only per-range counts ever
+leave the ranges. The top level sees at most ``2**(64 - 3 * bits)`` counts, 16
+with the usual ranges, also for hashed ids.
 """
 
 from __future__ import annotations
@@ -15,6 +15,25 @@ from pyspark.sql import functions as F
 from pagewell.settings import ID_RANGE_BITS, SLICE_SIZE, WORKERS
 
 
+def _sum_before(column: str, window) -> Column:
+    return F.coalesce(F.sum(column).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+
+def _range_starts(sums: DataFrame, key: str, bits: int, levels: int) -> DataFrame:
+    """``key, _start_of``: the sum of ``_n`` over all smaller keys."""
+    if not levels:
+        return sums.select(key, _sum_before("_n", Window.orderBy(key)).alias("_start_of"))
+    up = f"{key}_up"
+    raised = sums.withColumn(up, F.shiftright(F.col(key), bits))
+    above = _range_starts(raised.groupBy(up).agg(F.sum("_n").alias("_n")), up, bits, levels - 1)
+    inside = _sum_before("_n", Window.partitionBy(up).orderBy(key))
+    return (
+        raised.select(key, up, inside.alias("_inside"))
+        .join(above, up)
+        .select(key, (F.col("_start_of") + F.col("_inside")).alias("_start_of"))
+    )
+
+
 def with_start(
     df: DataFrame,
     weight: Column,
@@ -27,31 +46,12 @@ def with_start(
     ``df`` is read three times, so it should be a table rather than a long plan.
     """
     inner = F.shiftright(F.col(id_col), bits)
-    outer = F.shiftright(F.col("_inner"), bits)
-    before = (Window.unboundedPreceding, -1)
-
-    def sum_before(column: str, window) -> Column:
-        return F.coalesce(F.sum(column).over(window.rowsBetween(*before)), F.lit(0))
-
-    per_inner = (
-        df.select(inner.alias("_inner"), weight.alias("_w"))
-        .groupBy("_inner").agg(F.sum("_w").alias("_n"))
-        .withColumn("_outer", outer)
-    )
-    per_outer = per_inner.groupBy("_outer").agg(F.sum("_n").alias("_n"))
-    outer_start = per_outer.select(
-        "_outer", sum_before("_n", Window.orderBy("_outer")).alias("_outer_start")
-    )
-    in_outer = Window.partitionBy("_outer").orderBy("_inner")
-    inner_start = (
-        per_inner.select("_inner", "_outer", sum_before("_n", in_outer).alias("_shift"))
-        .join(outer_start, "_outer")
-        .select("_inner", (F.col("_outer_start") + F.col("_shift")).alias("_range_start"))
-    )
+    per_inner = df.select(inner.alias("_inner"), weight.alias("_w")).groupBy("_inner").agg(F.sum("_w").alias("_n"))
+    inner_start = _range_starts(per_inner, "_inner", bits, 2).withColumnRenamed("_start_of", "_range_start")
     in_inner = Window.partitionBy("_inner").orderBy(id_col)
     return (
         df.withColumns({"_inner": inner, "_w": weight})
-        .withColumn("_inside", sum_before("_w", in_inner))
+        .withColumn("_inside", _sum_before("_w", in_inner))
         .join(inner_start, "_inner")
         .withColumn(out, F.col("_range_start") + F.col("_inside"))
         .drop("_inner", "_w", "_inside", "_range_start")

@@ -47,11 +47,11 @@ def prefix_vectors(
     requests: DataFrame, responses: DataFrame, dim: int = EMBEDDING_DIM
 ) -> DataFrame:
     """The same by the prefix rule: of each page, the vectors of the batches
-    before its first failed one."""
+    before its first failed or missing one."""
     sent = requests.select(*BATCH, "chunk_ids")
     expected = sent.select(*BATCH, F.size("chunk_ids").alias("expected"))
     parsed = parse_responses(responses.join(expected, BATCH), dim)
-    kept = keep_prefix(write_and_read(parsed, "parsed")).select(*BATCH, "vectors")
+    kept = keep_prefix(sent, write_and_read(parsed, "parsed")).select(*BATCH, "vectors")
     return (
         sent.join(kept, BATCH)
         .select(F.inline(F.arrays_zip("chunk_ids", "vectors")))

@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 from pagewell.functions.embedders import embed
 from pagewell.functions.vectors import has_dimension
-from pagewell.operators.chunks import chunk_documents
-from pagewell.settings import BATCH_SIZE, EMBEDDING_DIM, MIN_CHUNK_CHARS
+from pagewell.operators.chunks import chunk_documents, chunk_id_or_null
+from pagewell.settings import BATCH_SIZE, EMBEDDING_DIM, ID_STRIDE, MIN_CHUNK_CHARS
 
 
 @dataclass(frozen=True)
@@ -44,16 +44,19 @@ def embed_chunks(chunks: DataFrame, embedding: Embedding) -> DataFrame:
 
 
 def plan_ingest(
-    documents: DataFrame, embedding: Embedding, min_chars: int = MIN_CHUNK_CHARS
+    documents: DataFrame, embedding: Embedding, min_chars: int = MIN_CHUNK_CHARS,
+    stride: int = ID_STRIDE, ids=chunk_id_or_null,
 ) -> DataFrame:
-    """Chunk rows with ``embedding`` and ``complete`` (the vector is usable), from
-    ``document_id, pages``."""
-    chunks = chunk_documents(documents, embedding.model, min_chars=min_chars)
+    """Chunk rows with ``embedding`` and ``complete`` (id and vector are usable), from
+    ``document_id, pages``. ``ids`` is the id scheme; a document to which it
+    gives no ids ends as ``incomplete``, and the others of its round are kept."""
+    chunks = chunk_documents(documents, embedding.model, min_chars=min_chars, stride=stride, ids=ids)
     return with_completeness(embed_chunks(chunks, embedding), embedding.dim)
 
 
 def with_completeness(embedded: DataFrame, dim: int = EMBEDDING_DIM) -> DataFrame:
-    return embedded.withColumn("complete", has_dimension(F.col("embedding"), dim))
+    usable = has_dimension(F.col("embedding"), dim)
+    return embedded.withColumn("complete", usable & F.col("id").isNotNull() if "id" in embedded.columns else usable)
 
 
 def document_status(documents: DataFrame, embedded: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@
 Parquet folders have neither transactions nor updates. Instead every unit of
 work writes its rows under a ``batch_id``, and its ledger rows after all other
 rows are complete. Readers see the rows of committed batches, less those of the
-documents the ledger lists as incomplete; whatever a lost or repeated attempt
+documents the ledger lists as other than done; whatever a lost or repeated attempt
 leaves behind stays invisible and is replaced when the batch runs again.
 """
 
@@ -68,10 +68,12 @@ def commit(status: DataFrame, root: str, batch_id: str) -> None:
 def visible(rows: DataFrame, ledger: DataFrame) -> DataFrame:
     """Rows of finished documents of committed batches.
 
-    Batches are few and the incomplete documents in them rare, so both are
+    Batches are few and the documents in them that are not done rare, so both are
     fetched or broadcast within a checked size: the rows are then filtered where
     they are read, by folder and by a small anti join. Past those sizes the same
-    conditions run as ordinary joins.
+    conditions run as ordinary joins. A batch folder holds the rows of one
+    attempt only, and its ledger names every document of that attempt, so what
+    is not listed as other than done is done.
     """
     batches = ledger.select("batch_id").distinct()
     names = [row.batch_id for row in batches.limit(LISTED_BATCHES + 1).collect()]
@@ -79,10 +81,10 @@ def visible(rows: DataFrame, ledger: DataFrame) -> DataFrame:
         committed = rows.where(F.col("batch_id").isin(names))
     else:
         committed = rows.join(batches, "batch_id", "left_semi")
-    incomplete = ledger.where(F.col("status") == "incomplete").select("batch_id", "document_id")
-    if incomplete.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        incomplete = F.broadcast(incomplete)
-    return committed.join(incomplete, ["batch_id", "document_id"], "left_anti")
+    unfinished = ledger.where(F.col("status") != "done").select("batch_id", "document_id")
+    if unfinished.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        unfinished = F.broadcast(unfinished)
+    return committed.join(unfinished, ["batch_id", "document_id"], "left_anti")
 
 
 def visible_chunks(spark: SparkSession, root: str) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import logging
 import os
+from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
 from pyspark.ml.feature import Normalizer
@@ -45,14 +46,10 @@ def append_vectors(vectors: DataFrame, path: str) -> None:
 
 
 def replace_batch(rows: DataFrame, path: str, batch_id: str) -> None:
-    """Write rows as batch ``batch_id``, in place of an earlier attempt."""
-    (
-        rows.withColumn("batch_id", F.lit(batch_id))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id")
-        .parquet(path)
-    )
+    """Write rows as batch ``batch_id``, in place of an earlier attempt, of which
+    nothing stays even if there are no rows now."""
+    folder = os.path.join(path, f"batch_id={quote(batch_id, safe='-_.~ ')}")
+    rows.drop("batch_id").write.mode("overwrite").parquet(folder)
 
 
 def index_rows(vectors: DataFrame) -> DataFrame:

@@ -1,8 +1,11 @@
 import models
 import pytest
 from pyspark.sql import Observation
+from pyspark.sql import functions as F
 
+from pagewell.functions.embedders import token_hash_embedder
 from pagewell.operators import chunks as ch
+from pagewell.plans.ingest import Embedding, document_status, plan_ingest
 
 WORDS = "lorem ipsum dolor sit amet consectetur "
 
@@ -100,6 +103,16 @@ def test_id_guard(spark):
         ch.with_chunk_ids(df, 10).collect()
 
 
+def test_a_document_without_ids_is_set_aside(spark):
+    rows = [(3, [(1, "x " * 900)]), (2**62, [(1, "y " * 900)]), (4, [(1, "z " * 9000)])]
+    df = spark.createDataFrame(rows, "document_id long, pages array<struct<page_number: int, text: string>>")
+    embedded = plan_ingest(df, Embedding("m", token_hash_embedder(4), 4), stride=5)
+    states = {r.document_id: r.status for r in document_status(df, embedded).collect()}
+    assert states == {3: "done", 2**62: "incomplete", 4: "incomplete"}
+    other = plan_ingest(df, Embedding("m", token_hash_embedder(4), 4), ids=lambda d, i, s: F.xxhash64(d, i))
+    assert other.where("complete").count() == other.count() == embedded.count()
+
+
 def test_sequence_ids(spark, corpus):
     chunks = ch.chunk_documents(nested(spark, corpus), "m")
     got = ch.with_sequence_ids(chunks).orderBy("document_id", "chunk_index").select("id").collect()

@@ -78,7 +78,8 @@ def test_prefix_rule(spark):
     rows = [(1, 1, 0, 200, 1, good), (1, 1, 1, 200, 1, bad), (1, 1, 2, 200, 1, good),
             (1, 2, 0, 200, 1, good), (1, 2, 1, 200, 1, good), (2, 1, 0, 200, 1, bad)]
     parsed = rs.parse_responses(spark.createDataFrame(rows, SCHEMA), 2)
-    kept = {(r.document_id, r.page_number, r.batch_no) for r in rs.keep_prefix(parsed).collect()}
+    requests = parsed.selectExpr("document_id", "page_number", "batch_no", "array(1L) AS chunk_ids")
+    kept = {(r.document_id, r.page_number, r.batch_no) for r in rs.keep_prefix(requests, parsed).collect()}
     assert kept == {(1, 1, 0), (1, 2, 0), (1, 2, 1)}
 
 
@@ -98,6 +99,24 @@ def test_pairing_and_completeness(spark):
     assert pages == {(1, 1): False, (1, 2): True, (2, 1): False}
 
 
+def test_lost_and_repeated_batches(spark):
+    """Batch 1 is lost; batch 0 came twice, and once more with an error."""
+    requests = spark.createDataFrame(
+        [(1, 1, b, [10 + b]) for b in range(3)] + [(2, 1, 0, [20])],
+        "document_id long, page_number int, batch_no int, chunk_ids array<long>",
+    )
+    good = shape("flat", [1, 2])
+    rows = [(1, 1, 0, 200, 1, good), (1, 1, 0, 200, 1, good), (1, 1, 0, 500, 1, good), (1, 1, 2, 200, 1, good),
+            (2, 1, 0, 500, 1, good), (2, 1, 0, 200, 1, good)]
+    parsed = rs.parse_responses(spark.createDataFrame(rows, SCHEMA), 2)
+    kept = [(r.document_id, r.batch_no) for r in rs.keep_prefix(requests, parsed).collect()]
+    assert sorted(kept) == [(1, 0), (2, 0)]
+    pages = {r.document_id: (r.sent, r.received, r.complete) for r in rs.page_completeness(requests, parsed).collect()}
+    assert pages == {1: (3, 2, False), 2: (1, 1, True)}
+    assert [r.embedding_chunk_id for r in rs.pair_vectors(requests, parsed, 2).collect()] == [20]
+    assert [r.batch_no for r in rs.incomplete_batches(requests, parsed).collect()] == [1]
+
+
 def test_chat_answer(spark):
     bodies = ['{"candidates":[{"content":{"parts":[{"text":"hi"}]}}]}', '{"error":1}', "nope"]
     df = spark.createDataFrame([(i, b) for i, b in enumerate(bodies)], "i int, b string").orderBy("i")

@@ -174,6 +174,15 @@ def responses(spark, sf_dir) -> DataFrame:
     )
 
 
+def lost_and_repeated_responses(spark, sf_dir) -> DataFrame:
+    """Responses of which every 13th batch is lost, every second comes twice, and
+    every fifth once more with a bad status."""
+    landed = responses(spark, sf_dir).where("batch_id % 13 <> 4")
+    again = landed.where("batch_id % 2 = 0")
+    failed = landed.where("batch_id % 5 = 0").withColumn("status", F.lit(503))
+    return landed.unionByName(again).unionByName(failed)
+
+
 def payloads(spark, sf_dir) -> DataFrame:
     """Landed payloads: a header line and Latin-1 pages with form feeds between
     them."""

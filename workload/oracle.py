@@ -82,6 +82,11 @@ batches AS (
   FROM sent GROUP BY ALL)"""
 
 
+# Some batches are lost; some come twice, the second time with a bad status.
+LOSSY_BATCHES = BATCHES.replace("AS reason\n", "AS fault\n").replace("batches AS (", "landed AS (") + """,
+batches AS (SELECT * EXCLUDE (fault), CASE WHEN batch_id % 13 = 4 THEN 'lost' ELSE fault END AS reason FROM landed)"""
+
+
 def slots(source: str, key: str, text: str, dim: int) -> str:
     """``key, slot, n``: token counts of the hash embedder for rows of ``source``."""
     return f"""(SELECT {key}, ('0x' || left(md5(tok), 8))::BIGINT % {dim} AS slot, count(*) AS n

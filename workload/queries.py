@@ -293,13 +293,6 @@ def s2(spark, sf):
     )
 
 
-@query("s2_landed_files")
-def s2_files(spark, sf):
-    """The table files themselves, which are no PDFs."""
-    good, bad = docs.split_landed(docs.read_landed_files(spark, sf, "*.parquet"))
-    return bad.select("url", "reason").unionByName(good.select("url", F.lit(None).cast("string").alias("reason")))
-
-
 @query("s3_paged_text", r"""WITH src AS (
   SELECT doc_id AS document_id, regexp_replace(text, '[^\x00-\x{FF}]', '', 'g') AS text FROM documents)
 SELECT document_id, p::INTEGER AS page_number, substr(text, 4000 * (p - 1) + 1, 4000) AS text
@@ -474,7 +467,7 @@ f AS (SELECT document_id, page_number, min(batch_no) AS failed FROM batches WHER
 SELECT batch_id, batch_no, expected AS kept FROM batches LEFT JOIN f USING (document_id, page_number)
 WHERE failed IS NULL OR batch_no < failed""")
 def f10(spark, sf):
-    kept = rs.keep_prefix(rs.parse_responses(ad.responses(spark, sf), ad.VECTOR_DIM))
+    kept = rs.keep_prefix(ad.requests(spark, sf), rs.parse_responses(ad.responses(spark, sf), ad.VECTOR_DIM))
     return kept.select("batch_id", "batch_no", F.col("received").alias("kept"))
 
 
@@ -505,6 +498,37 @@ def j3(spark, sf):
     return pairs.select("embedding_chunk_id", F.round(total, 5).alias("total"))
 
 
+def _lossy(spark, sf):
+    return rs.parse_responses(ad.lost_and_repeated_responses(spark, sf), ad.VECTOR_DIM)
+
+
+@query("f10_prefix_rule_lost_and_repeated", f"""WITH {sql.LOSSY_BATCHES},
+f AS (SELECT document_id, page_number, min(batch_no) AS failed FROM batches WHERE reason IS NOT NULL GROUP BY ALL)
+SELECT batch_id, batch_no, expected AS kept FROM batches LEFT JOIN f USING (document_id, page_number)
+WHERE reason IS NULL AND (failed IS NULL OR batch_no < failed)""")
+def f10_lossy(spark, sf):
+    kept = rs.keep_prefix(ad.requests(spark, sf), _lossy(spark, sf))
+    return kept.select("batch_id", "batch_no", F.col("received").alias("kept"))
+
+
+@query("a4_page_completeness_lost_and_repeated", f"""WITH {sql.LOSSY_BATCHES}
+SELECT document_id, page_number, sum(expected)::BIGINT AS sent,
+  sum(CASE WHEN reason IS NULL THEN expected ELSE 0 END)::BIGINT AS received,
+  bool_and(reason IS NULL) AS complete FROM batches GROUP BY document_id, page_number""")
+def a4_lossy(spark, sf):
+    return rs.page_completeness(ad.requests(spark, sf), _lossy(spark, sf))
+
+
+@query("j3_positional_zip_lost_and_repeated", f"""WITH {sql.LOSSY_BATCHES},
+whole AS (SELECT document_id, page_number FROM batches GROUP BY ALL HAVING bool_and(reason IS NULL))
+SELECT s.vec_id AS embedding_chunk_id, round(list_sum(s.embedding::DOUBLE[]), 5) AS total
+FROM sent s JOIN whole USING (document_id, page_number)""")
+def j3_lossy(spark, sf):
+    pairs = rs.pair_vectors(ad.requests(spark, sf), _lossy(spark, sf), ad.VECTOR_DIM)
+    total = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x)
+    return pairs.select("embedding_chunk_id", F.round(total, 5).alias("total"))
+
+
 @query("s10_multi_unnest", f"WITH {sql.PAGES} SELECT document_id, page_number, text FROM pages_")
 def s10(spark, sf):
     arrays = ad.nested_documents(spark, sf).select(
@@ -591,6 +615,19 @@ near AS (SELECT id, list_id, row_number() OVER (PARTITION BY id ORDER BY round(l
 listed AS (SELECT id, list_id FROM near WHERE r = 1)"""
 
 
+@query("l2_exact_topk_not_finite", f"""WITH {sql.UNITS}, {sql.HITS.replace("CROSS JOIN units b", "JOIN units b ON b.id % 50 <> 0 WHERE a.id % 70 <> 0")}
+SELECT query_id, rank, id, score FROM hits""")
+def l2_not_finite(spark, sf):
+    """Every 50th vector and every 70th query with an entry that is not finite."""
+    def spoilt(key, n):
+        bad = F.when(F.col(key) % (2 * n) == 0, float("nan")).otherwise(float("inf")).cast("float")
+        return F.when(F.col(key) % n == 0, F.concat(F.slice("unit", 1, ad.VECTOR_DIM - 1), F.array(bad))).otherwise(F.col("unit"))
+
+    index = ad.index(spark, sf).withColumn("unit", spoilt("id", 50))
+    queries = ad.vector_queries(spark, sf).withColumn("unit", spoilt("query_id", 70))
+    return search.exact_topk(index, queries)
+
+
 @query("n1_assign_lists", f"WITH {LISTS} SELECT id, list_id FROM listed")
 def n1_assign(spark, sf):
     return search.assign_lists(ad.index(spark, sf), _label_centroids(spark, sf)).select("id", "list_id")
@@ -629,16 +666,14 @@ def n1_kmeans(spark, sf):
     return search.search_lists(search.assign_lists(index, centroids), centroids, ad.vector_queries(spark, sf), nprobe=16)
 
 
-@query("n1_kmeans_recall")
+@query("n1_kmeans_recall", "SELECT count(*) AS queries, true AS recall_reached FROM embeddings")
 def n1_recall(spark, sf):
-    """Share of the exact top 5 found when 4 of 16 trained lists are probed."""
+    """Whether probing 4 of 16 trained lists finds half of the exact top 5 at least."""
     index, queries = ad.index(spark, sf), ad.vector_queries(spark, sf)
     centroids = search.train_centroids(index, 16)
     near = search.search_lists(search.assign_lists(index, centroids), centroids, queries, nprobe=4)
-    exact = search.exact_topk(index, queries)
-    found = exact.join(near.select("query_id", "id"), ["query_id", "id"], "left_semi")
-    totals = exact.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return found.agg(F.count(F.lit(1)).alias("found")).withColumn("recall", F.col("found") / totals)
+    both = search.exact_topk(index, queries).join(near.select("query_id", "id", F.lit(1).alias("hit")), ["query_id", "id"], "left")
+    return both.agg(F.countDistinct("query_id").alias("queries"), (2 * F.count("hit") >= F.count(F.lit(1))).alias("recall_reached"))
 
 
 # --- tables ------------------------------------------------------------------------
@@ -812,6 +847,25 @@ def i2(spark, sf):
     return lg.visible_vectors(spark, root).join(rows.select("id", "document_id"), "id").select("id", "document_id")
 
 
+@query("i2_crash_then_reject", """WITH k AS (SELECT vec_id, vec_id // 48 AS document_id FROM embeddings)
+SELECT vec_id AS id, document_id FROM k WHERE document_id % 3 = 0""")
+def i2_crash(spark, sf):
+    """A first attempt wrote all documents and was lost before its ledger rows; the
+    second one rejects a third of them and finds another third gone."""
+    root = work_folder(spark, "rounds")
+    rows = ad.table(spark, sf, "embeddings").select(
+        F.col("vec_id").alias("id"), F.floor(F.col("vec_id") / 48).alias("document_id"), "embedding"
+    )
+    embedded = ingest.with_completeness(rows, ad.VECTOR_DIM)
+    for attempt in (embedded, embedded.where("document_id % 3 = 0")):
+        tb.replace_batch(attempt, os.path.join(root, "embedded"), "b1")
+    seen = rows.select("document_id").distinct().where("document_id % 3 < 2")
+    status = F.when(F.col("document_id") % 3 == 0, "done").otherwise("rejected")
+    counts = [F.lit(48).cast("bigint").alias(c) for c in ("chunks", "vectors")]
+    lg.commit(seen.select("document_id", status.alias("status"), *counts), root, "b1")
+    return lg.visible_vectors(spark, root).join(rows.select("id", "document_id"), "id").select("id", "document_id")
+
+
 @query("i3_resume", f"""WITH {sql.PAPERS}, done AS (SELECT doc_id FROM labels WHERE quality = 1)
 SELECT id, embedding_processed OR id IN (FROM done) AS embedding_processed,
   id NOT IN (FROM done) AS open FROM papers""")
