@@ -7,20 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagewell.settings import EMBEDDING_DIM
+from pagewell.settings import BROADCAST_ROWS, EMBEDDING_DIM
 from pagewell.sources.documents import (
     Extractor,
-    extract_documents,
+    extract_landed,
     form_feed_pages,
-    match_landed,
     read_landed_files,
+    read_manifest_files,
 )
 from pagewell.sources.ledger import visible_vectors
 from pagewell.sources.tables import index_rows, write_snapshot
 from pagewell.streaming.backlog import DocumentLoader
 
-NO_PAGES = "array<struct<page_number: int, text: string>>"
-
 
 def landed_loader(
     files: str | Callable[[SparkSession], DataFrame], extractor: Extractor = form_feed_pages
@@ -28,17 +26,31 @@ def landed_loader(
     """A document loader for the backlog drain: papers to pages, by way of their
     landed files. Papers without a usable file come out with a ``reason``.
 
-    ``files`` is a folder of files, or a function that reads ``url, content``.
-    Very many small files are better landed as a table: a folder is listed anew
-    in every round.
+    ``files`` is a folder of files whose urls are their paths, or a function that
+    reads ``url, content``. Such a folder is listed, and such a table scanned, in every round;
+    :func:`manifest_loader` opens only the files of the round.
     """
 
     def load(papers: DataFrame) -> DataFrame:
         spark = papers.sparkSession
         landed = read_landed_files(spark, files) if isinstance(files, str) else files(spark)
-        found, rejected = match_landed(papers, landed)
-        without_pages = rejected.withColumn("pages", F.lit(None).cast(NO_PAGES))
-        return extract_documents(found, extractor).unionByName(without_pages)
+        return extract_landed(papers, landed, extractor)
+
+    return load
+
+
+def manifest_loader(
+    manifest: Callable[[SparkSession], DataFrame], extractor: Extractor = form_feed_pages
+) -> DocumentLoader:
+    """A document loader by way of a landing manifest, a table ``url, path`` that
+    says where the payload of each web address was put. A round reads the
+    manifest and opens the files of its own papers only, once each."""
+
+    def load(papers: DataFrame) -> DataFrame:
+        urls = papers.select(F.col("pdf_url").alias("url")).distinct()
+        few = urls.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+        of_round = manifest(papers.sparkSession).join(F.broadcast(urls) if few else urls, "url", "left_semi")
+        return extract_landed(papers, read_manifest_files(of_round), extractor)
 
     return load
 

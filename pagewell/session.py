@@ -27,19 +27,34 @@ def build_session(app_name: str = "pagewell", master: str | None = None, **conf)
     return builder.getOrCreate()
 
 
+_FOLDERS: dict[str, list[str]] = {}
+
+
 def work_folder(spark: SparkSession, name: str) -> str:
     """A new, unused folder below the shared folder the cluster names.
 
-    Only a local session without that setting gets a temporary folder; on a
-    cluster such a folder would not be visible to the executors.
+    Only a local session without that setting gets a temporary folder, one for
+    the session; on a cluster such a folder would not be visible to the executors.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.pagewell.scratch", None)
     if not root:
         if not spark.conf.get("spark.master", "local").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="pagewell-")
         spark.conf.set("spark.pagewell.scratch", root)
-    return os.path.join(root, f"{name}-{uuid.uuid4().hex}")
+    folder = os.path.join(root, f"{name}-{uuid.uuid4().hex}")
+    _FOLDERS.setdefault(spark.sparkContext.applicationId, []).append(folder)
+    return folder
+
+
+def release_work(spark: SparkSession) -> int:
+    """Delete the intermediate tables written so far by this session, and return
+    how many folders there were. DataFrames that read them can't be used any more."""
+    folders = _FOLDERS.pop(spark.sparkContext.applicationId, [])
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return len(folders)
 
 
 def write_and_read(df: DataFrame, name: str) -> DataFrame:

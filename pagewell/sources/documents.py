@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagewell.settings import BROADCAST_ROWS, PDF_MAGIC
+from pagewell.session import write_and_read
+from pagewell.settings import BROADCAST_ROWS, LISTED_FILES, PDF_MAGIC
 
 Extractor = Callable[[bytes], Iterable["str | None"]]
 
 GROUP_CHARS = 16_000_000
+NOT_LANDED = "not landed: "
 _EXTRACTED = "document_id long, page_number int, text string, reason string"
 
 
@@ -30,6 +33,31 @@ def is_pdf(content: Column) -> Column:
     return F.coalesce(F.substring(content, 1, 4) == mark, F.lit(False))
 
 
+def landing_manifest(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+    """``path`` of every landed file below a folder, without reading any. With the
+    ``url`` each was fetched from it is the manifest of :func:`read_manifest_files`."""
+    return read_landed_files(spark, path, glob).select(F.col("url").alias("path"))
+
+
+def read_manifest_files(manifest: DataFrame, files_per_read: int = LISTED_FILES) -> DataFrame:
+    """``url, path`` rows to ``url, content``: exactly these files are opened, in
+    reads of ``files_per_read`` paths, which is what the driver holds at a time."""
+    spark = manifest.sparkSession
+    listed = write_and_read(manifest.select("url", "path").distinct(), "manifest")
+    last, parts = None, []
+    while True:
+        rows = listed if last is None else listed.where(F.col("path") > last)
+        paths = [r.path for r in rows.select("path").distinct().orderBy("path").limit(files_per_read).collect()]
+        if paths:
+            parts.append(spark.read.format("binaryFile").load(paths).select("path", "content"))
+            last = paths[-1]
+        if len(paths) < files_per_read:
+            break
+    if not parts:
+        return listed.select("url", F.lit(None).cast("binary").alias("content")).limit(0)
+    return reduce(DataFrame.unionByName, parts).join(F.broadcast(listed) if len(parts) == 1 else listed, "path").select("url", "content")
+
+
 def split_landed(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     """PDF payloads, and the rejected rest as ``url, reason`` without payload."""
     bad = files.where(~is_pdf(F.col("content"))).select(
@@ -51,7 +79,7 @@ def match_landed(papers: DataFrame, files: DataFrame) -> tuple[DataFrame, DataFr
     few = wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     good, bad = split_landed(files.join(F.broadcast(wanted) if few else wanted, "url"))
     missing = wanted.join(files.select("url"), "url", "left_anti").select(
-        "document_id", F.concat(F.lit("not landed: "), F.col("url")).alias("reason")
+        "document_id", F.concat(F.lit(NOT_LANDED), F.col("url")).alias("reason")
     )
     return good.select("document_id", "content"), missing.unionByName(bad.select("document_id", "reason"))
 
@@ -145,3 +173,43 @@ def extract_documents(
         run,
         "document_id long, pages array<struct<page_number: int, text: string>>, reason string",
     )
+
+
+def extract_landed(
+    papers: DataFrame, files: DataFrame, extractor: Extractor = form_feed_pages, group_chars: int = GROUP_CHARS
+) -> DataFrame:
+    """Papers (``id, pdf_url``) to ``document_id, pages, reason`` by way of their
+    files (``url, content``), in one pass over the payloads: a payload that is no
+    PDF, or that the extractor fails on, gives its document a reason and no pages. So
+    does a file that is missing; finding those reads no payloads. A round of up
+    to ``BROADCAST_ROWS`` papers is sent to the files.
+    """
+    wanted = papers.select(F.col("id").alias("document_id"), F.col("pdf_url").alias("url"))
+    few = wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    found = files.join(F.broadcast(wanted) if few else wanted, "url")
+
+    def checked(content: bytes) -> Iterable["str | None"]:
+        if bytes(content[:4]) != PDF_MAGIC.encode():
+            raise NotAPdf
+        return extractor(content)
+
+    extracted = extract_documents(found, checked, group_chars)
+    invalid = F.col("reason").startswith(NotAPdf.mark)
+    named = extracted.join(F.broadcast(wanted) if few else wanted, "document_id").select(
+        "document_id", "pages",
+        F.when(invalid, F.concat(F.lit("not a valid PDF: "), F.col("url"))).otherwise(F.col("reason")).alias("reason"),
+    )
+    missing = wanted.join(files.select("url"), "url", "left_anti").select(
+        "document_id", F.lit(None).cast(extracted.schema["pages"].dataType).alias("pages"),
+        F.concat(F.lit(NOT_LANDED), F.col("url")).alias("reason"),
+    )
+    return named.unionByName(missing)
+
+
+class NotAPdf(Exception):
+    """A payload without the PDF mark."""
+
+    mark = "unreadable: no PDF mark"
+
+    def __str__(self) -> str:
+        return "no PDF mark"

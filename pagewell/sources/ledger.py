@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from pagewell.schemas import CHUNK_COLUMNS
 from pagewell.settings import BROADCAST_ROWS, LISTED_BATCHES
-from pagewell.sources.tables import read_or_empty, replace_batch
+from pagewell.sources.documents import NOT_LANDED
+from pagewell.sources.tables import read_batch, read_or_empty, replace_batch
 
 LEDGER = (
     "document_id long, status string, chunks long, vectors long, reason string, batch_id string"
@@ -52,8 +53,9 @@ def settled(ledger: DataFrame) -> DataFrame:
 
 
 def is_committed(spark: SparkSession, root: str, batch_id: str) -> bool:
-    """Whether the ledger holds this batch (one partition folder)."""
-    return not read_ledger(spark, root).where(F.col("batch_id") == batch_id).isEmpty()
+    """Whether the ledger holds this batch (its own folder is read). A batch
+    without documents counts as not committed and runs again, to no effect."""
+    return not read_batch(spark, os.path.join(root, "ledger"), LEDGER, batch_id).isEmpty()
 
 
 def commit(status: DataFrame, root: str, batch_id: str) -> None:
@@ -97,5 +99,12 @@ def visible_vectors(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def unfinished(ledger: DataFrame) -> DataFrame:
+    """Documents a later round may still finish: no vectors for all chunks, or no
+    landed file, and not settled since."""
+    again = (F.col("status") == "incomplete") | ((F.col("status") == "rejected") & F.col("reason").startswith(NOT_LANDED))
+    return ledger.where(again).select("document_id").distinct().join(settled(ledger), "document_id", "left_anti")
+
+
 def rejected_documents(ledger: DataFrame) -> DataFrame:
     return ledger.where(F.col("status") == "rejected").select("document_id", "reason")

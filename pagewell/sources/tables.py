@@ -45,11 +45,19 @@ def append_vectors(vectors: DataFrame, path: str) -> None:
     ).parquet(path)
 
 
+def _batch_folder(path: str, batch_id: str) -> str:
+    return os.path.join(path, f"batch_id={quote(batch_id, safe='-_.~ ')}")
+
+
+def read_batch(spark: SparkSession, path: str, schema: str, batch_id: str) -> DataFrame:
+    """The rows of one batch, from its own folder; the others are not even listed."""
+    return read_or_empty(spark, _batch_folder(path, batch_id), schema, path)
+
+
 def replace_batch(rows: DataFrame, path: str, batch_id: str) -> None:
     """Write rows as batch ``batch_id``, in place of an earlier attempt, of which
     nothing stays even if there are no rows now."""
-    folder = os.path.join(path, f"batch_id={quote(batch_id, safe='-_.~ ')}")
-    rows.drop("batch_id").write.mode("overwrite").parquet(folder)
+    rows.drop("batch_id").write.mode("overwrite").parquet(_batch_folder(path, batch_id))
 
 
 def index_rows(vectors: DataFrame) -> DataFrame:
@@ -77,10 +85,11 @@ def write_snapshot(index: DataFrame, root: str, name: str, dim: int = EMBEDDING_
     ).parquet(os.path.join(root, "pointer"))
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """The table at ``path``, or no rows if nothing was written yet."""
+def read_or_empty(spark: SparkSession, path: str, schema: str, base: str | None = None) -> DataFrame:
+    """The table at ``path``, or no rows if nothing was written yet. ``base`` is
+    the folder of the whole table where ``path`` is a partition of it."""
     try:
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(schema).option("basePath", base or path).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

@@ -19,15 +19,17 @@ from pyspark.sql.streaming import StreamingQuery
 from pagewell.operators.papers import is_pending, split_by_source, without_processed
 from pagewell.plans.ingest import Embedding, document_status, plan_ingest
 from pagewell.schemas import PAPERS
+from pagewell.session import write_and_read
 from pagewell.sources.ledger import (
+    EMBEDDED,
+    PAGED,
     commit,
     is_committed,
-    read_embedded,
     read_ledger,
-    read_paged,
     settled,
+    unfinished,
 )
-from pagewell.sources.tables import replace_batch
+from pagewell.sources.tables import read_batch, replace_batch
 
 # papers -> document_id, pages array<struct<page_number, text>>, reason
 DocumentLoader = Callable[[DataFrame], DataFrame]
@@ -51,18 +53,17 @@ def ingest_round(
         return
     pending = ~F.col("embedding_processed") if topic is None else is_pending(topic)
     todo = without_processed(papers.where(pending).dropDuplicates(["id"]), settled(read_ledger(spark, root)))
-    good, unknown = split_by_source(todo)
+    good, unknown = split_by_source(write_and_read(todo, "todo"))
 
-    in_batch = F.col("batch_id") == batch_id
     replace_batch(
         load_documents(good).select("document_id", "pages", "reason"),
         os.path.join(root, "paged"), batch_id,
     )
-    paged = read_paged(spark, root).where(in_batch)
+    paged = read_batch(spark, os.path.join(root, "paged"), PAGED, batch_id)
     readable = paged.where(F.col("reason").isNull())
 
     replace_batch(plan_ingest(readable, embedding), os.path.join(root, "embedded"), batch_id)
-    embedded = read_embedded(spark, root).where(in_batch)
+    embedded = read_batch(spark, os.path.join(root, "embedded"), EMBEDDED, batch_id)
 
     status = document_status(readable, embedded).withColumn("reason", F.lit(None).cast("string"))
     rejected = (
@@ -76,6 +77,22 @@ def ingest_round(
     commit(status.unionByName(rejected), root, batch_id)
 
 
+def retry_unfinished(
+    papers: DataFrame,
+    root: str,
+    batch_id: str,
+    load_documents: DocumentLoader,
+    embedding: Embedding,
+    topic: str | None = None,
+) -> None:
+    """A round over the papers the ledger lists as unfinished. The stream has taken
+    their files and does not see them again; ``papers`` is the whole table."""
+    if not is_committed(papers.sparkSession, root, batch_id):
+        again = write_and_read(unfinished(read_ledger(papers.sparkSession, root)), "unfinished")
+        chosen = papers.join(again.withColumnRenamed("document_id", "id"), "id", "left_semi")
+        ingest_round(chosen, root, batch_id, load_documents, embedding, topic)
+
+
 def drain_backlog(
     spark: SparkSession,
     papers_path: str,

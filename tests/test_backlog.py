@@ -63,6 +63,37 @@ def test_round(spark, tmp_path):
     assert sorted(v.embedding_chunk_id for v in vectors) == [1_000_000, 1_000_001][: len(vectors)]
 
 
+def test_unfinished_papers_are_tried_again(spark, tmp_path):
+    root = str(tmp_path)
+    whole = papers(spark, *[paper(k) for k in (1, 2, 3)], paper(4, source="blog"))
+
+    def not_yet(found):
+        mark = F.when(F.col("reason").isNotNull(), F.lit("not landed: x"))
+        return loader(missing=[2])(found).withColumn("reason", mark)
+
+    backlog.ingest_round(whole, root, "b1", not_yet, EMBEDDING)
+    assert sorted(r.document_id for r in lg.unfinished(lg.read_ledger(spark, root)).collect()) == [2]
+    asked = []
+
+    def now(found):
+        asked.extend(r.id for r in found.select("id").collect())
+        return loader()(found)
+
+    backlog.retry_unfinished(whole, root, "retry-1", now, EMBEDDING)
+    backlog.retry_unfinished(whole, root, "retry-1", now, EMBEDDING)
+    assert asked == [2] and visible_documents(spark, root) == [1, 2, 3]
+    assert lg.unfinished(lg.read_ledger(spark, root)).collect() == []
+
+
+def test_a_lost_attempt_leaves_nothing_visible(spark, tmp_path):
+    """The first attempt wrote its rows and was lost; the second rejects a paper and finds another gone."""
+    root = str(tmp_path)
+    rows = spark.createDataFrame([(k, k, [1.0]) for k in range(3)], "id long, document_id long, embedding array<float>")
+    tb.replace_batch(with_completeness(rows, 1), os.path.join(root, "embedded"), "b1")
+    backlog.ingest_round(papers(spark, paper(0), paper(1)), root, "b1", loader(missing=[1]), EMBEDDING)
+    assert visible_documents(spark, root) == [0]
+
+
 def test_committed_round_is_skipped(spark, tmp_path):
     root = str(tmp_path)
     backlog.ingest_round(papers(spark, paper(1)), root, "b1", loader(), EMBEDDING)

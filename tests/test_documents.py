@@ -3,6 +3,7 @@ import sys
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
+from pagewell.plans.corpus import manifest_loader
 from pagewell.sources import documents as docs
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -56,3 +57,26 @@ def test_nested_form_agrees(spark):
     opened = nested.where(F.col("reason").isNull()).select("document_id", F.inline("pages"))
     assert sorted(map(tuple, opened.collect())) == sorted(map(tuple, flat.collect()))
     assert nested.where(F.col("reason").isNotNull()).first().pages == []
+
+
+def test_a_round_opens_its_own_files_once(spark, tmp_path):
+    bodies = {"a": b"%PDF-1\none\ftwo", "b": b"<html>", "c": b"%PDF-1\nother", "d": b"%PDF-1\nlast"}
+    for name, body in bodies.items():
+        (tmp_path / f"{name}.bin").write_bytes(body)
+    paths = {r.path.rsplit("/", 1)[1][0]: r.path for r in docs.landing_manifest(spark, str(tmp_path)).collect()}
+    rows = [(f"http://x/{k}", p) for k, p in paths.items()] + [("http://x/again", paths["a"])]
+    manifest = spark.createDataFrame(rows, "url string, path string")
+    papers = spark.createDataFrame([(1, "http://x/a"), (2, "http://x/b"), (3, "http://x/none"), (4, "http://x/d")], "id long, pdf_url string")
+    got = manifest_loader(lambda s: manifest)(papers)
+    rows = {r.document_id: ([p.text for p in r.pages or []], r.reason) for r in got.collect()}
+    assert rows == {
+        1: (["one", "two"], None), 2: ([], "not a valid PDF: http://x/b"),
+        3: ([], "not landed: http://x/none"), 4: (["last"], None),
+    }
+    wanted = manifest.where("url in ('http://x/a', 'http://x/b', 'http://x/d')")
+    for size in (10_000, 1, 3):
+        files = docs.read_manifest_files(wanted, size)
+        opened = [f for f in files.inputFiles() if f.endswith(".bin")]
+        assert sorted(f[-5] for f in opened) == ["a", "b", "d"]
+        assert {r.url[-1]: bytes(r.content) for r in files.collect()} == {k: bodies[k] for k in "abd"}
+    assert docs.read_manifest_files(manifest.limit(0)).collect() == []

@@ -140,3 +140,14 @@ def test_stored_vector_is_not_normalised(spark, root):
     assert stored.first().embedding == [3.0, 4.0] and stored.first().id == 5
     assert [round(x, 6) for x in tb.index_rows(stored).first().unit] == [0.6, 0.8]
     assert stored.where(F.col("created_at").isNull()).isEmpty()
+
+
+def test_an_attempt_without_rows_replaces_the_earlier_one(spark, tmp_path):
+    root = str(tmp_path / "t")
+    for ids in ([1, 2], []):
+        tb.replace_batch(spark.createDataFrame([(i,) for i in ids], "id long"), root, "b:1")
+    tb.replace_batch(spark.createDataFrame([(4,)], "id long"), root, "b2")
+    assert [(r.id, r.batch_id) for r in spark.read.parquet(root).collect()] == [(4, "b2")]
+    assert tb.read_batch(spark, root, "id long, batch_id string", "b:1").collect() == []
+    assert [r.batch_id for r in tb.read_batch(spark, root, "id long, batch_id string", "b2").collect()] == ["b2"]
+    assert tb.read_batch(spark, root, "id long, batch_id string", "b3").collect() == []
