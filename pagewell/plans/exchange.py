@@ -7,14 +7,20 @@ response bodies that come back, paired with their chunks by place.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagewell.functions.messages import embedding_request
 from pagewell.operators.chunks import batch_documents
 from pagewell.operators.responses import keep_prefix, pair_vectors, parse_responses
+from pagewell.plans.ingest import document_status, with_completeness
+from pagewell.schemas import CHUNK_COLUMNS
 from pagewell.session import write_and_read
 from pagewell.settings import BATCH_SIZE, EMBEDDING_DIM
+from pagewell.sources.ledger import EMBEDDED, commit
+from pagewell.sources.tables import read_batch, replace_batch
 
 BATCH = ["document_id", "page_number", "batch_no"]
 
@@ -57,3 +63,22 @@ def prefix_vectors(
         .select(F.inline(F.arrays_zip("chunk_ids", "vectors")))
         .withColumnsRenamed({"chunk_ids": "embedding_chunk_id", "vectors": "embedding"})
     )
+
+
+def commit_responses(
+    chunks: DataFrame, requests: DataFrame, responses: DataFrame, root: str, batch_id: str, dim: int = EMBEDDING_DIM
+) -> None:
+    """Make the documents whose responses came back whole visible, as one batch.
+
+    ``chunks`` is the written table of the chunk rows the requests were made
+    of. Chunks and vectors are written together, the ledger last; a document of
+    which a page is lost, rejected or short is ``incomplete``, and a later call
+    with more responses and another batch id may finish it. Repeating a call
+    replaces its batch.
+    """
+    vectors = vectors_from_responses(requests, responses, dim).withColumnRenamed("embedding_chunk_id", "id")
+    embedded = with_completeness(chunks.join(vectors.dropDuplicates(["id"]), "id", "left"), dim)
+    spark, folder = chunks.sparkSession, os.path.join(root, "embedded")
+    replace_batch(embedded.select(*CHUNK_COLUMNS, "page_pos", "embedding", "complete"), folder, batch_id)
+    written = read_batch(spark, folder, EMBEDDED, batch_id)
+    commit(document_status(chunks.select("document_id").distinct(), written), root, batch_id)

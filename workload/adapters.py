@@ -135,6 +135,17 @@ def requests(spark, sf_dir) -> DataFrame:
     )
 
 
+def sent_chunks(spark, sf_dir) -> DataFrame:
+    """The chunk rows those requests were made of."""
+    keys = _batch_keys()
+    return table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("id"), keys["document_id"].alias("document_id"),
+        (F.col("vec_id") % 96).cast("int").alias("chunk_index"), keys["page_number"].alias("page_number"),
+        F.concat(F.lit("chunk "), F.col("vec_id").cast("string")).alias("chunk_text"), F.lit(MODEL).alias("embedding_model"),
+        (F.col("vec_id") % 48).cast("int").alias("page_pos"),
+    )
+
+
 def responses(spark, sf_dir) -> DataFrame:
     """Received batches in the three known shapes; by ``batch_id % 11`` some have
     a bad status (3), an unreadable body (5), a vector too few (7) or a vector of

@@ -17,7 +17,7 @@ from pagewell.operators import integrity, numbering
 from pagewell.operators import papers as pp
 from pagewell.operators import responses as rs
 from pagewell.operators import search
-from pagewell.plans import ingest, retrieve
+from pagewell.plans import exchange, ingest, retrieve
 from pagewell.session import work_folder
 from pagewell.settings import EMBEDDING_DIM, QUERY_TASK
 from pagewell.sources import documents as docs
@@ -866,6 +866,27 @@ def i2_crash(spark, sf):
     return lg.visible_vectors(spark, root).join(rows.select("id", "document_id"), "id").select("id", "document_id")
 
 
+@query("x1_responses_to_visible_chunks", f"""WITH {sql.LOSSY_BATCHES}
+SELECT vec_id AS id, batch_id AS document_id, round(list_sum(embedding::DOUBLE[]), 5) AS total
+FROM sent JOIN batches USING (batch_id) WHERE reason IS NULL""")
+def x1_responses(spark, sf):
+    """From sent requests, with responses lost, repeated and faulty, to the
+    visible vectors. A batch is a document of one page here."""
+    def alone(df):
+        batch = F.col("document_id") * 6 + (F.col("page_number") - 1) * 3
+        batch = batch + (F.col("batch_no") if "batch_no" in df.columns else F.floor(F.col("page_pos") / 16))
+        out = df.withColumn("document_id", batch).withColumn("page_number", F.lit(1))
+        return out.withColumn("batch_no", F.lit(0)) if "batch_no" in df.columns else out
+
+    root = work_folder(spark, "rounds")
+    chunks = alone(ad.sent_chunks(spark, sf))
+    answers = alone(ad.lost_and_repeated_responses(spark, sf).drop("expected"))
+    exchange.commit_responses(chunks, alone(ad.requests(spark, sf)), answers, root, "b1", ad.VECTOR_DIM)
+    total = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x)
+    known = chunks.select("id", "document_id")
+    return lg.visible_vectors(spark, root).join(known, "id").select("id", "document_id", F.round(total, 5).alias("total"))
+
+
 @query("i3_resume", f"""WITH {sql.PAPERS}, done AS (SELECT doc_id FROM labels WHERE quality = 1)
 SELECT id, embedding_processed OR id IN (FROM done) AS embedding_processed,
   id NOT IN (FROM done) AS open FROM papers""")
