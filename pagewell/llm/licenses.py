@@ -120,7 +120,15 @@ def _spans(votes: DataFrame, slack: int, coverage: float) -> DataFrame:
     kept = merged.select("*", F.when(F.col("tid").isNotNull(), share).alias("coverage")).where(
         F.col("tid").isNull() | (F.col("coverage") >= F.when(F.col("phrase"), 1.0).otherwise(coverage))
     )
-    return kept.select(*key, F.when(F.col("tid").isNull(), F.col("n")).alias("n_rows"), "label", "phrase", "start", "end", "coverage")
+    # A span inside a longer one of another template is part of that.
+    reach = F.when(~F.col("phrase"), F.struct("end", (-F.col("start")).alias("before")))
+    by_start = Window.partitionBy(*key).orderBy("start", F.desc("end")).rowsBetween(Window.unboundedPreceding, -1)
+    longest = F.max(reach).over(by_start)
+    inside = (longest["end"] > F.col("end")) | ((longest["end"] == F.col("end")) & (-longest["before"] < F.col("start")))
+    marked = kept.withColumn("inside", ~F.col("phrase") & F.coalesce(inside, F.lit(False)))
+    return marked.where("tid IS NULL OR NOT inside").select(
+        *key, F.when(F.col("tid").isNull(), F.col("n")).alias("n_rows"), "label", "phrase", "start", "end", "coverage"
+    )
 
 
 def scan_licenses(
@@ -130,7 +138,8 @@ def scan_licenses(
     ``(start, end, label, phrase, coverage)`` in words.
 
     A null or empty text has no words and no spans; a phrase counts at every
-    place it stands, overlapping ones too. Equal templates with other labels give a span
+    place it stands, overlapping ones too. A template span inside a longer one is
+    left out. Equal templates with other labels give a span
     each. Repeated rows come back as often as given, rows of one id with other
     texts each for themselves. Other columns are not read. With more template
     grams than ``BROADCAST_ROWS`` the join is an ordinary one.

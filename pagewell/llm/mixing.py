@@ -155,6 +155,7 @@ def mixing_report(docs: DataFrame) -> DataFrame:
 def draw_mix(docs: DataFrame) -> DataFrame:
     """The documents of the mix with all their columns, and ``mix_words``: the
     words of each that are taken, repeats counted. Rows that share an id get
-    that id's largest count."""
+    that id's largest count; a column of that name is replaced."""
     taken = mix_sources(docs).where("taken > 0").groupBy(F.col("doc_id").alias("_id")).agg(F.max("taken").alias("mix_words"))
-    return docs.join(taken, docs["doc_id"].eqNullSafe(taken["_id"])).drop("_id")
+    joined = docs.join(taken, docs["doc_id"].eqNullSafe(taken["_id"]))
+    return joined.select(*[docs[c] for c in docs.columns if c != "mix_words"], taken["mix_words"])

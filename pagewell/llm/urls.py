@@ -77,7 +77,7 @@ def _grams(kind: str, text: str) -> list[int]:
 
 def _features(host: str, path: str) -> np.ndarray:
     # The last two labels name the registry; what is before them names the site.
-    return np.unique(_grams("h", ".".join(host.split(".")[:-2]) or host) + _grams("p", _DIGITS.sub("0", path)))
+    return np.unique(np.array(_grams("h", ".".join(host.split(".")[:-2]) or host) + _grams("p", _DIGITS.sub("0", path)), np.int64))
 
 
 class UrlClassifier:
