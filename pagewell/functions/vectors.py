@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -41,33 +42,16 @@ def has_dimension(vector: Column, dim: int) -> Column:
     return F.coalesce((F.size(vector) == dim) & F.forall(vector, finite), F.lit(False))
 
 
-def _six_digits(x: Column) -> Column:
-    """A number with six significant digits, no trailing zeros, and an exponent
-    only below 1e-4 and from 1e6 on. Exact halves go to the even digit, whereas
-    ``format_string`` rounds them up."""
-    x = x.cast("double")
-    scientific = let(F.format_string("%.6e", x), lambda seven: F.when(
-        seven.rlike("[02468]5e") & (seven.cast("double") == x),
-        F.regexp_replace(seven, "5e", "e"),
-    ).otherwise(F.format_string("%.5e", x)))
-
-    def pick(s: Column) -> Column:
-        rounded = s.cast("double")
-        fixed = F.regexp_replace(F.format_string("%.9f", rounded), r"\.?0+$", "")
-        short = F.regexp_replace(s, r"\.?0+e", "e")
-        magnitude = F.abs(rounded)
-        return (
-            F.when(magnitude == 0, F.regexp_replace(s, r"^(-?).*$", "$10"))
-            .when((magnitude >= 1e-4) & (magnitude < 1e6), fixed)
-            .otherwise(short)
-        )
-
-    return let(scientific, pick)
+def _as_text(column: pd.Series) -> pd.Series:
+    return column.map(lambda v: None if v is None else "[" + ",".join([f"{x:g}" for x in v.tolist()]) + "]")
 
 
 def vector_to_text(vector: Column) -> Column:
-    """``[a,b,...]`` with six significant digits per entry."""
-    return F.concat(F.lit("["), F.array_join(F.transform(vector, _six_digits), ","), F.lit("]"))
+    """``[a,b,...]`` with six significant digits per entry, no trailing zeros and
+    an exponent below 1e-4 and from 1e6 on. NULL entries are left out. One Arrow
+    batch function: an expression per entry would be interpreted."""
+    known = F.filter(vector.cast("array<double>"), lambda x: x.isNotNull())
+    return F.pandas_udf(_as_text, "string")(known)
 
 
 def text_to_vector(text: Column) -> Column:

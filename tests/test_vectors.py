@@ -30,9 +30,9 @@ def test_inner_product(spark):
 
 
 def test_has_dimension(spark):
-    rows = [[1.0, 2.0], [1.0], None, [None, 1.0], []]
+    rows = [[1.0, 2.0], [1.0], None, [None, 1.0], [], [math.nan, 1.0], [1.0, math.inf], [-math.inf, 1.0]]
     got = [r.ok for r in vectors(spark, rows).select(has_dimension(F.col("v"), 2).alias("ok")).collect()]
-    assert got == [True, False, False, False, False]
+    assert got == [True] + 7 * [False]
 
 
 def test_text_form(spark):
@@ -50,4 +50,6 @@ def test_text_round_trip(spark):
     for row, expected in zip(df.collect(), rows):
         assert all(math.isclose(a, b, rel_tol=1e-5) for a, b in zip(row.b, expected))
         assert len(row.b) == len(expected)
+    gaps = vectors(spark, [[1.0, None, 2.5], None]).select(vector_to_text(F.col("v")).alias("t")).collect()
+    assert [r.t for r in gaps] == ["[1,2.5]", None]
     assert vectors(spark, ["nope"], "string").select(text_to_vector(F.col("v")).alias("b")).first().b is None
