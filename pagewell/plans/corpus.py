@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagewell.settings import BROADCAST_ROWS, EMBEDDING_DIM
+from pagewell.operators.search import assign_lists, train_centroids
+from pagewell.session import write_and_read
+from pagewell.settings import BROADCAST_ROWS, EMBEDDING_DIM, NLIST
 from pagewell.sources.documents import (
     Extractor,
     extract_landed,
@@ -16,7 +18,7 @@ from pagewell.sources.documents import (
     read_manifest_files,
 )
 from pagewell.sources.ledger import visible_vectors
-from pagewell.sources.tables import index_rows, write_snapshot
+from pagewell.sources.tables import index_rows, write_list_snapshot, write_snapshot
 from pagewell.streaming.backlog import DocumentLoader
 
 
@@ -60,3 +62,12 @@ def publish_index(
 ) -> None:
     """Normalise all visible vectors and publish them as snapshot ``name``."""
     write_snapshot(index_rows(visible_vectors(spark, root)), index_root, name, dim)
+
+
+def publish_lists(
+    spark: SparkSession, root: str, lists_root: str, name: str, dim: int = EMBEDDING_DIM, lists: int = NLIST
+) -> None:
+    """Normalise all visible vectors, train lists on all of them, and publish
+    centroids and vectors by list as snapshot ``name``."""
+    index = write_and_read(index_rows(visible_vectors(spark, root)), "index")
+    write_list_snapshot(index, train_centroids(index, lists), assign_lists, lists_root, name, dim)

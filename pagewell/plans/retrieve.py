@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from pagewell.functions.embedders import embed
 from pagewell.functions.vectors import unit_vector
 from pagewell.operators.hits import assemble_prompts, lookup_chunks
-from pagewell.operators.search import exact_topk
+from pagewell.operators.search import exact_topk, search_lists
 from pagewell.plans.ingest import Embedding
-from pagewell.settings import TOP_K
+from pagewell.settings import NPROBE, TOP_K
 from pagewell.sources.tables import require_dimension
 
 
@@ -25,6 +25,11 @@ def embed_queries(questions: DataFrame, embedding: Embedding) -> DataFrame:
     return checked.select("query_id", unit_vector(F.col("embedding")).alias("unit"))
 
 
+def list_search(centroids: DataFrame, nprobe: int = NPROBE):
+    """A ``search`` for :func:`retrieve` over an index by list (``read_list_snapshot``)."""
+    return lambda lists, queries, k=TOP_K: search_lists(lists, centroids, queries, k, nprobe)
+
+
 def retrieve(
     questions: DataFrame,
     index: DataFrame,

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from pagewell.operators.chunks import dump_text
 from pagewell.schemas import CHUNK_COLUMNS, INDEX, INDEX_COLUMNS, VECTOR_COLUMNS
+from pagewell.session import write_and_read
 from pagewell.settings import EMBEDDING_DIM
 
 log = logging.getLogger(__name__)
@@ -78,8 +79,11 @@ def write_snapshot(index: DataFrame, root: str, name: str, dim: int = EMBEDDING_
         raise ValueError(f"snapshot {name} is already published")
     folder = os.path.join(root, "snapshots", name)
     index.select(*INDEX_COLUMNS).write.mode("overwrite").parquet(folder)
-    count = spark.read.schema(INDEX).parquet(folder).count()
-    pointer = spark.createDataFrame([(name, count, dim)], "snapshot string, vectors long, dim int")
+    _publish(spark, root, name, spark.read.schema(INDEX).parquet(folder).count(), dim)
+
+
+def _publish(spark: SparkSession, root: str, name: str, vectors: int, dim: int) -> None:
+    pointer = spark.createDataFrame([(name, vectors, dim)], "snapshot string, vectors long, dim int")
     pointer.withColumn("published_at", F.current_timestamp()).coalesce(1).write.mode(
         "append"
     ).parquet(os.path.join(root, "pointer"))
@@ -96,6 +100,29 @@ def read_or_empty(spark: SparkSession, path: str, schema: str, base: str | None
         return spark.createDataFrame([], schema)
 
 
+def write_list_snapshot(
+    index: DataFrame, centroids: DataFrame, assign, root: str, name: str, dim: int = EMBEDDING_DIM
+) -> None:
+    """Write centroids and the index by list as snapshot ``name`` and make it
+    current. ``assign(index, centroids)`` gives each row its list. ``root`` holds
+    list snapshots only."""
+    spark = index.sparkSession
+    if not _pointers(spark, root).where(F.col("snapshot") == name).isEmpty():
+        raise ValueError(f"snapshot {name} is already published")
+    folder = os.path.join(root, "snapshots", name)
+    centroids.select("list_id", "centroid").write.mode("overwrite").parquet(os.path.join(folder, "centroids"))
+    write_listed_index(assign(index, centroids), os.path.join(folder, "lists"), mode="overwrite")
+    _publish(spark, root, name, spark.read.parquet(os.path.join(folder, "lists")).count(), dim)
+
+
+def read_list_snapshot(spark: SparkSession, root: str, dim: int = EMBEDDING_DIM) -> tuple[DataFrame, DataFrame]:
+    """The current index by list, and its centroids."""
+    folder = os.path.join(root, "snapshots", _current(spark, root, dim))
+    lists = spark.read.schema("id long, unit array<float>, list_id int").parquet(os.path.join(folder, "lists"))
+    centroids = spark.read.schema("list_id int, centroid array<float>").parquet(os.path.join(folder, "centroids"))
+    return require_dimension(lists, dim), centroids
+
+
 def _pointers(spark: SparkSession, root: str) -> DataFrame:
     return read_or_empty(spark, os.path.join(root, "pointer"), POINTER)
 
@@ -109,13 +136,18 @@ def current_snapshot(spark: SparkSession, root: str):
 
 def read_snapshot(spark: SparkSession, root: str, dim: int = EMBEDDING_DIM) -> DataFrame:
     """The current index; a snapshot of another dimension is an error."""
+    rows = spark.read.schema(INDEX).parquet(os.path.join(root, "snapshots", _current(spark, root, dim)))
+    return require_dimension(rows, dim)
+
+
+def _current(spark: SparkSession, root: str, dim: int) -> str:
+    """Name of the current snapshot, which must be of this dimension."""
     pointer = current_snapshot(spark, root)
     if pointer is None:
         raise FileNotFoundError(f"no published snapshot in {root}")
     if pointer.dim != dim:
         raise ValueError(f"index dimension {pointer.dim}, expected {dim}")
-    rows = spark.read.schema(INDEX).parquet(os.path.join(root, "snapshots", pointer.snapshot))
-    return require_dimension(rows, dim)
+    return pointer.snapshot
 
 
 def require_dimension(index: DataFrame, dim: int = EMBEDDING_DIM, column: str = "unit") -> DataFrame:
@@ -151,9 +183,12 @@ def merge_shards(
     return require_dimension(spark.read.schema(INDEX).parquet(*present), dim)
 
 
-def write_listed_index(listed_index: DataFrame, path: str, max_file_rows: int = 1_000_000) -> None:
+def write_listed_index(listed_index: DataFrame, path: str, max_file_rows: int = 1_000_000, mode: str = "errorifexists") -> None:
     """Index rows by folder of their ``list_id``. Rows of a list go to one task
-    for each ``max_file_rows`` of them, so a dominant list is written by many."""
+    for each ``max_file_rows`` of them, so a dominant list is written by many.
+    The rows are written once as they come first: finding a list costs more than
+    reading it back."""
+    listed_index = write_and_read(listed_index.select("id", "list_id", "unit"), "listed")
     sizes = listed_index.groupBy("list_id").agg(
         F.ceil(F.count(F.lit(1)) / max_file_rows).cast("int").alias("_files")
     )
@@ -162,7 +197,7 @@ def write_listed_index(listed_index: DataFrame, path: str, max_file_rows: int =
         .withColumn("_file", F.pmod(F.xxhash64("id"), F.col("_files")))
         .repartition("list_id", "_file")
         .drop("_file", "_files")
-        .write.mode("errorifexists")
+        .write.mode(mode)
         .partitionBy("list_id")
         .parquet(path)
     )

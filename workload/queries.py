@@ -577,6 +577,18 @@ def retrieve_chunks(spark, sf):
     return _found(spark, sf)
 
 
+@query("retrieve_chunks_from_lists", f"""WITH {sql.WHOLE_CHUNKS}, {sql.hash_retrieval(TEXT_DIM)}
+SELECT query_id, rank, f.id, score, chunk_text FROM found f JOIN chunks c ON c.id = f.id""")
+def retrieve_from_lists(spark, sf):
+    """Trained lists published and read back, all of them probed: the exact result."""
+    root = work_folder(spark, "list-snapshots")
+    index = _text_index(spark, sf)
+    tb.write_list_snapshot(index, search.train_centroids(index, 8), search.assign_lists, root, "first", TEXT_DIM)
+    lists, centroids = tb.read_list_snapshot(spark, root, TEXT_DIM)
+    by_list = retrieve.list_search(centroids, nprobe=8)
+    return retrieve.retrieve(ad.questions(spark, sf), lists, _whole_chunks(spark, sf), TEXT_MODEL, search=by_list)
+
+
 @query("f11_prompt_assembly", f"""WITH {sql.WHOLE_CHUNKS}, {sql.hash_retrieval(TEXT_DIM)},
 ctx AS (SELECT query_id, string_agg(chunk_text, chr(10) || chr(10) ORDER BY rank) AS context
   FROM found f JOIN chunks c ON c.id = f.id GROUP BY query_id)
