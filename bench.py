@@ -8,7 +8,6 @@ BENCH_RUNS times (default 2); the best run counts. Results are consumed by the
 
 from __future__ import annotations
 
-import glob
 import json
 import os
 import shutil
@@ -66,9 +65,9 @@ def main() -> None:
     # The tables have one row group each and would be scanned by one task: the
     # queries run on copies in several files, and their plans stay as shipped.
     split_dir = tempfile.mkdtemp(prefix="pagewell-bench-")
-    for path in sorted(glob.glob(os.path.join(sf_dir, "*.parquet"))):
-        rows = spark.read.parquet(path)
-        rows.repartition(cpus).write.parquet(os.path.join(split_dir, os.path.basename(path)))
+    for name in "documents embeddings pages benchmark labels conversations".split():
+        rows = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+        rows.repartition(cpus).write.parquet(os.path.join(split_dir, f"{name}.parquet"))
 
     def once(name: str) -> float:
         start = time.perf_counter()

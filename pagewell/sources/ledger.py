@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagewell.schemas import CHUNK_COLUMNS
+from pagewell.session import write_and_read
 from pagewell.settings import BROADCAST_ROWS, LISTED_BATCHES
 from pagewell.sources.documents import NOT_LANDED
 from pagewell.sources.tables import read_batch, read_or_empty, replace_batch
@@ -99,6 +100,22 @@ def visible_vectors(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def delete_documents(spark: SparkSession, root: str, papers: DataFrame) -> None:
+    """Cascade a delete of papers (``id``) to the stored tables: the ledger rows of their
+    documents become ``deleted``, so their chunks and vectors are no longer visible and
+    the next snapshot is made without them. Only the ledger folders of the
+    batches they are in are rewritten. Repeating it does no harm."""
+    folder = os.path.join(root, "ledger")
+    gone = write_and_read(papers.select(F.col("id").alias("document_id")).distinct(), "deleted")
+    found = read_ledger(spark, root).join(gone, "document_id", "left_semi").where("status <> 'deleted'")
+    for row in found.select("batch_id").distinct().collect():
+        rows = read_batch(spark, folder, LEDGER, row.batch_id)
+        marked = rows.join(gone.withColumn("_gone", F.lit(True)), "document_id", "left")
+        status = F.when(F.col("_gone"), "deleted").otherwise(F.col("status"))
+        kept = write_and_read(marked.withColumn("status", status).drop("_gone", "batch_id"), "ledger-rows")
+        replace_batch(kept, folder, row.batch_id)
+
+
 def unfinished(ledger: DataFrame) -> DataFrame:
     """Documents a later round may still finish: no vectors for all chunks, or no
     landed file, and not settled since."""

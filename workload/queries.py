@@ -788,6 +788,22 @@ def j6(spark, sf):
     return chunks.select(F.lit("chunk").alias("kind"), "id").unionByName(stored.select(F.lit("vector").alias("kind"), "id"))
 
 
+@query("j6_delete_from_stored_tables", """WITH gone AS (SELECT doc_id FROM labels WHERE toxic = 1)
+SELECT vec_id AS id FROM embeddings WHERE vec_id // 2 NOT IN (FROM gone)""")
+def j6_stored(spark, sf):
+    """Two vectors to a document, in two committed batches; toxic papers are deleted."""
+    root = work_folder(spark, "rounds")
+    rows = ad.table(spark, sf, "embeddings").select(
+        F.col("vec_id").alias("id"), F.floor(F.col("vec_id") / 2).alias("document_id"), "embedding"
+    )
+    for half in (0, 1):
+        part = ingest.with_completeness(rows.where(F.col("document_id") % 2 == half), ad.VECTOR_DIM)
+        tb.replace_batch(part, os.path.join(root, "embedded"), f"b{half}")
+        lg.commit(ingest.document_status(part.select("document_id").distinct(), part), root, f"b{half}")
+    lg.delete_documents(spark, root, ad.table(spark, sf, "labels").where("toxic = 1").select(F.col("doc_id").alias("id")))
+    return lg.visible_vectors(spark, root).select("id")
+
+
 @query("a2_progress_counts", f"""WITH {sql.PAGED_CHUNKS},
 pg AS (SELECT document_id, count(*) AS pages FROM pages_ GROUP BY ALL),
 ck AS (SELECT document_id, page_number, count(*) AS chunks FROM chunks GROUP BY ALL)
