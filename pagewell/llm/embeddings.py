@@ -4,8 +4,9 @@ Each half of the unit vectors has a codebook of its own; the two make a grid of
 cells. A vector is filed in the cell of its nearest codewords and looks for
 partners in the cells nearest to it, in the order of summed squared distance in
 which a multi-sequence traversal visits them. It stops where the sum exceeds
-that of its own cell by a margin, which is the smallest that finds the target
-share of the pairs of a sample. What is found is verified in double precision.
+that of its own cell by a margin, which finds the target share of partners at the
+threshold itself, whatever groups are in the sample. What is found is verified in
+double precision.
 
 Equal vectors are one class with a weight. Cells are cut into blocks, so a cell
 with very many vectors is many small groups. Groups return counts and one edge
@@ -56,6 +57,13 @@ def _codebook(x: np.ndarray, size: int, rng: np.random.Generator) -> np.ndarray:
     return codes
 
 
+def _quantile(x: np.ndarray, weight: np.ndarray, share: float) -> float:
+    """The smallest value that a share of the weight is not above."""
+    order = np.argsort(x)
+    reached = np.cumsum(weight[order])
+    return float(x[order][min(len(x) - 1, np.searchsorted(reached, share * reached[-1]))])
+
+
 class MultiIndex:
     """Two codebooks and the margin, fitted to a sample of unit vectors."""
 
@@ -71,25 +79,36 @@ class MultiIndex:
         return _squared(x[:, :self.half], self.codes[0]), _squared(x[:, self.half:], self.codes[1])
 
     def _fitted_margin(self, sample, cosine, recall, rng) -> float:
-        a, b = [], []
-        for at in range(0, len(sample), 512):
-            i, j = np.nonzero(sample[at:at + 512] @ sample.T >= cosine)
-            keep = i + at != j
-            a.append(i[keep] + at)
-            b.append(j[keep])
-        a, b = np.concatenate(a), np.concatenate(b)
-        x, y = sample[a], sample[b]
-        if len(a) < 200:
-            # Too few pairs to measure on: partners made at the middle of the range that links.
-            noise = rng.normal(size=sample.shape)
-            noise -= (noise * sample).sum(1, keepdims=True) * sample
-            near = (1 + cosine) / 2
-            x, y = sample, near * sample + math.sqrt(1 - near * near) * _unit(noise + 1e-12)
+        """Each vector has one made partner at the threshold, and its least similar one of the sample if it links.
+        A group of near copies counts as all its vectors in one quantile and as about one in the other."""
+        n = len(sample)
+        degree, partner = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        for at in range(0, n, 512):
+            near = sample[at:at + 512] @ sample.T
+            near[np.arange(len(near)), np.arange(at, at + len(near))] = np.inf
+            near[near < cosine] = np.inf
+            degree[at:at + 512], partner[at:at + 512] = np.isfinite(near).sum(1), near.argmin(1)
+        once = 1.0 / (1 + degree)
+        # Made partners differ in the directions in which the vectors differ.
+        centred = sample - np.average(sample, axis=0, weights=once)
+        values, axes = np.linalg.eigh((once[:, None] * centred).T @ centred)
+        noise = rng.normal(size=sample.shape) * np.sqrt(np.maximum(values, 0)) @ axes.T
+        noise -= (noise * sample).sum(1, keepdims=True) * sample
+        made = cosine * sample + math.sqrt(max(0.0, 1 - cosine * cosine)) * _unit(noise + 1e-12)
+        linked = np.flatnonzero(degree)
+        margin = 0.0
+        for x, y, weight in ((sample, made, once), (sample[linked], sample[partner[linked]], once[linked])):
+            if len(x):
+                excess = self._excess(x, y)
+                margin = max(margin, _quantile(excess, np.ones(len(x)), recall), _quantile(excess, weight, recall))
+        return margin + 1e-9
+
+    def _excess(self, x, y) -> np.ndarray:
+        """How much farther than its own cell the cell of ``y`` is from ``x``."""
         d1, d2 = self._halves(x)
         e1, e2 = self._halves(y)
         row = np.arange(len(x))
-        excess = d1[row, e1.argmin(1)] + d2[row, e2.argmin(1)] - d1.min(1) - d2.min(1)
-        return float(np.quantile(excess, recall)) + 1e-9
+        return d1[row, e1.argmin(1)] + d2[row, e2.argmin(1)] - d1.min(1) - d2.min(1)
 
     def visits(self, x: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
         """The cell of each vector, and the cells it looks into (its own first)."""

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from helpers import brute_components, corpus, documents, plain, sentence, tokens
 
 from pagewell.llm import bytewords as bw
@@ -115,6 +116,35 @@ def test_embedding_recall_and_precision(spark, monkeypatch):
     assert all(r.kept == (r.vec_id == r.component_id) for r in got.values())
 
 
+def hot_and_pairs(hot_cosine, cosine, n=12_000, dim=64, seed=5):
+    """A third of the rows around one vector, the others in pairs at ``cosine``: rows, and the pairs' two sides."""
+    rng = np.random.default_rng(seed)
+    unit = lambda v: v / np.linalg.norm(v, axis=-1, keepdims=True)
+
+    def near(x, c):
+        noise = rng.normal(size=x.shape)
+        noise -= (noise * x).sum(1, keepdims=True) * x
+        return c * x + np.sqrt(1 - c * c) * unit(noise)
+
+    centre = unit(rng.normal(size=(1, dim)))
+    hot = near(np.repeat(centre, n // 3, axis=0), np.sqrt(hot_cosine))
+    left = unit(rng.normal(size=(n // 3, dim)))
+    right = near(left, cosine)
+    return np.concatenate([hot, left, right]), left, right
+
+
+@pytest.mark.parametrize("rows", [20_000, 1_000_000])
+@pytest.mark.parametrize("hot_cosine", [0.99, 0.9996])
+@pytest.mark.parametrize("cosine", [0.9, 0.95])
+def test_a_hot_group_does_not_set_the_margin(rows, hot_cosine, cosine):
+    v, left, right = hot_and_pairs(hot_cosine, cosine)
+    sample = v[np.random.default_rng(1).permutation(len(v))[:4096]]
+    index = embeddings.MultiIndex(sample, rows, 0.9, 0.99)
+    (home_l, seen_l), (home_r, seen_r) = index.visits(left), index.visits(right)
+    found = [b in x or a in y for a, b, x, y in zip(home_l, home_r, seen_l, seen_r)]
+    assert np.mean(found) >= 0.95
+
+
 def test_embedding_edges(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, [1.0, 0.0]), (4, [0.0, 0.0]), (5, None), (6, [nan, 1.0]), (7, [inf, 1.0]), (8, [None, 1.0]),
