@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 
 # --- fixed values: names of HTML, and words in class, id and role that tell a
 # block's purpose ---------------------------------------------------------------
-RAW = "script|style|noscript|template|title|iframe|textarea|svg|math|object|canvas|select"
+RAW = "script|style|noscript|template|title|iframe|textarea"
+# Left out like those if they are closed.
+CLOSED_RAW = frozenset("svg math object canvas select".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small span "
@@ -33,21 +35,27 @@ UNWANTED = frozenset(
     "pagination pager footer comment comments disqus reply replies respond discussion login signup search toolbar "
     "copyright masthead topbar complementary contentinfo skip tags".split()
 )
+# Elements around the content, and first words of names that tell what a page has, not what an element is.
+AROUND = frozenset("html body main article".split())
+NEUTRAL = frozenset("no has with without".split())
 WANTED = frozenset("article content main post entry story body text".split())
 
 # Log-odds of the classifier.
 BIAS, IN_ARTICLE, IN_MAIN, PARAGRAPH, HEADING, WANTED_NAME = -1.0, 4.0, 2.5, 1.2, 0.4, 1.5
 IN_OUTSIDE, UNWANTED_NAME, IN_HEADER, LINKED, LONG, SENTENCE = -12.0, -12.0, -3.0, -3.5, 1.6, 0.6
+# Share of a page's text from which a name or a form around it says nothing.
+MOST_TEXT = 0.75
 # Capacities of the smoothness edges.
 NEXT_TO, SAME_PARENT = 0.6, 0.3
 
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    rf"<!--.*?(?:-->|\Z)|<({RAW})(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*>", re.S | re.I,
 )
 _NAMES = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 _WORD = re.compile(r"[a-z0-9]+")
+_RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in CLOSED_RAW}
 _CLOSES = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 _BLOCK_ENDS_P = frozenset(
     "address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split()
@@ -55,16 +63,23 @@ _BLOCK_ENDS_P = frozenset(
 
 
 class Block:
-    __slots__ = ("text", "linked", "odds", "parent")
+    __slots__ = ("text", "linked", "odds", "parent", "inside")
 
-    def __init__(self, text, linked, odds, parent):
-        self.text, self.linked, self.odds, self.parent = text, linked, odds, parent
+    def __init__(self, text, linked, odds, parent, inside):
+        self.text, self.linked, self.odds, self.parent, self.inside = text, linked, odds, parent, inside
 
 
-def _own_odds(tag: str, attributes: str, parent: tuple[bool, float]) -> tuple[bool, float]:
+def _name_words(value: str) -> set[str]:
+    """The words of class names, ids or roles, without those of neutral names."""
+    split = [_WORD.findall(name) for name in value.lower().split()]
+    return {w for name in split if not (len(name) > 1 and name[0] in NEUTRAL) for w in name}
+
+
+def _own_odds(tag: str, attributes: str, parent: tuple[bool, float]) -> tuple[tuple[bool, float], float]:
     """Whether an element is inside an article or main, and the log-odds that it
-    and all around it give to its text."""
+    and all around it give to its text; and how much of that is for its name or a form."""
     inside, odds = parent
+    revocable = 0.0
     if tag == "article":
         odds += 0.0 if inside else IN_ARTICLE
         inside = True
@@ -73,26 +88,50 @@ def _own_odds(tag: str, attributes: str, parent: tuple[bool, float]) -> tuple[bo
         inside = True
     elif tag in OUTSIDE:
         odds += IN_OUTSIDE
+        revocable += IN_OUTSIDE if tag == "form" else 0.0
     elif tag == "header":
         odds += -0.5 if inside else IN_HEADER + IN_OUTSIDE / 2
     if attributes:
         if _HIDDEN.search(attributes):
             odds += UNWANTED_NAME
         for _, a, b, c in _NAMES.findall(attributes):
-            words = set(_WORD.findall((a or b or c).lower()))
-            if words & UNWANTED:
+            words = _name_words(a or b or c)
+            if words & UNWANTED and tag not in AROUND:
                 odds += UNWANTED_NAME
+                revocable += UNWANTED_NAME
             elif words & WANTED and not inside:
                 odds += WANTED_NAME
-    return inside, odds
+    return (inside, odds), revocable
+
+
+def _revoke(blocks: list[Block], penalties: list[list]) -> None:
+    """Takes back name and form penalties ``[first block, end, log-odds]`` of elements that hold most of the page's
+    text, and all that is in an article or main."""
+    text, articles = [0], [0]
+    for b in blocks:
+        text.append(text[-1] + len(b.text))
+        articles.append(articles[-1] + b.inside)
+    change = [0.0] * (len(blocks) + 1)
+    for first, end, odds in penalties:
+        if text[end] - text[first] >= MOST_TEXT * text[-1] and articles[end] - articles[first] == articles[-1]:
+            change[first] -= odds
+            change[end] += odds
+    given = 0.0
+    for b, step in zip(blocks, change):
+        given += step
+        b.odds += given
 
 
 def page_blocks(html: str) -> list[Block]:
     """The text blocks of a page in order. Broken markup is read as far as it
     goes: an end tag without a start is left out, open elements end with the page."""
     blocks: list[Block] = []
-    # tag, (inside, odds), number of the element, whether it breaks blocks
-    stack = [("", (False, BIAS), 0, True)]
+    # First block, end and log-odds of what may be taken back.
+    penalties: list[list] = []
+    # tag, (inside, odds), number of the element, whether it breaks blocks, its penalty
+    stack = [("", (False, BIAS), 0, True, None)]
+    # Names without an end tag in the rest of the page.
+    unclosed: set[str] = set()
     parts: list[str] = []
     linked = in_link = count = 0
 
@@ -102,7 +141,7 @@ def page_blocks(html: str) -> list[Block]:
             text = " ".join(unescape("".join(parts)).split())
             if text:
                 breaking = next(e for e in reversed(stack) if e[3])
-                blocks.append(Block(text, min(1.0, linked / len(text)), stack[-1][1][1] + _text_odds(breaking[0], text, linked), breaking[2]))
+                blocks.append(Block(text, min(1.0, linked / len(text)), stack[-1][1][1] + _text_odds(breaking[0], text, linked), breaking[2], stack[-1][1][0]))
             parts.clear()
         linked = 0
 
@@ -111,10 +150,13 @@ def page_blocks(html: str) -> list[Block]:
         if any(e[3] for e in stack[at:]):
             flush()
         in_link -= sum(e[0] == "a" for e in stack[at:])
+        for e in stack[at:]:
+            if e[4]:
+                e[4][1] = len(blocks)
         del stack[at:]
 
     at = 0
-    for m in _TOKEN.finditer(html):
+    while m := _TOKEN.search(html, at):
         if m.start() > at:
             parts.append(html[at:m.start()])
             if in_link:
@@ -141,6 +183,16 @@ def page_blocks(html: str) -> list[Block]:
             elif tag not in INLINE:
                 flush()
             continue
+        if tag in CLOSED_RAW:
+            if attributes.endswith("/") and tag in ("svg", "math"):
+                flush()
+                continue
+            end = None if tag in unclosed else _RAW_END[tag].search(html, at)
+            if end:
+                flush()
+                at = end.end()
+                continue
+            unclosed.add(tag)
         if tag in _BLOCK_ENDS_P or tag in _CLOSES:
             ends = _CLOSES.get(tag, ()) + (("p",) if tag in _BLOCK_ENDS_P else ())
             for k in range(len(stack) - 1, 0, -1):
@@ -149,17 +201,22 @@ def page_blocks(html: str) -> list[Block]:
                     break
                 if stack[k][0] in ("ul", "ol", "dl", "table", "div", "article", "section", "body"):
                     break
-        own = _own_odds(tag, attributes, stack[-1][1])
+        own, revocable = _own_odds(tag, attributes, stack[-1][1])
         breaks = tag not in INLINE or own[1] < stack[-1][1][1]
         if breaks:
             flush()
         count += 1
         if not attributes.endswith("/"):
-            stack.append((tag, own, count, breaks))
+            penalty = [len(blocks), None, revocable] if revocable else None
+            if penalty:
+                penalties.append(penalty)
+            stack.append((tag, own, count, breaks, penalty))
             in_link += tag == "a"
     if at < len(html):
         parts.append(html[at:])
+    close(1)
     flush()
+    _revoke(blocks, penalties)
     return blocks
 
 

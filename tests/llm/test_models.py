@@ -152,6 +152,27 @@ def test_main_text(spark):
     assert html.extract_pages(df.limit(0)).collect() == []
 
 
+LONG = "A paragraph of an article goes on for a while, with enough words to be taken for the text of a page. " * 3
+
+
+@pytest.mark.parametrize("page", [
+    "<body class='no-sidebar'>{}</body>", "<body class='has-navbar-fixed-top comment-open'>{}</body>",
+    "<html class='with-popup'><body id=ad>{}</body></html>", "<body><div class='has-sidebar'>{}</div></body>",
+    "<body><form action=/x><input type=hidden>{}</form></body>", "<body><div class='modal-page'>{}</div></body>",
+    "<body><svg width=1 viewBox='0 0 1 1'/>{}<svg></svg></body>", "<body><math/>{}</body>", "<body><object data=x>{}</body>",
+    "<body><canvas>{}</body>", "<body><select><option>1{}</body>", "<body><object-viewer>{}</object-viewer></body>",
+    "<body><title-bar>{}</title-bar></body>",
+])
+def test_main_text_of_pages_within_named_elements(page):
+    for inner in (f"<article class='post has-comments'><h1>Head</h1><p>{LONG}</p></article>", f"<article class=comment-open><p>{LONG}</p></article>"):
+        assert LONG.strip() in html.main_text(page.format(inner + "<nav><a href=/>Home</a></nav>"))
+
+
+def test_main_text_leaves_out_smaller_named_parts():
+    page = f"<body><article><p>{LONG}</p></article><div class=comments><p>{LONG * 9}</p></div><form><p>{LONG}</p></form><svg><text>x</text></svg><select><option>y</select></body>"
+    assert html.main_text(page) == LONG.strip()
+
+
 def test_minimum_cut_against_all_labellings():
     rng = random.Random(0)
     for _ in range(60):
