@@ -1,13 +1,12 @@
 """URL filters: rules first, then logistic regression on hashed character n-grams.
 
 The regression is trained in numpy on a small labelled table of urls, from
-n-grams of host and path kept apart. A rule names a host and the beginning of a
+n-grams of the whole host and path kept apart; without a known one the score is one half. A rule names a host and the beginning of a
 path; it fits the host and all its subdomains, and the longest that fits wins.
 """
 
 from __future__ import annotations
 
-import re
 import zlib
 
 import numpy as np
@@ -57,8 +56,6 @@ that.example.com/en/5120 hats.example.net/de/61 whatthat.example.org/fr/7 athat.
 language.example.org/grammar/verbs nature.example.net/birds photo.example.com/gallery/4 archive.example.org/1998/11
 """.split()
 
-_DIGITS = re.compile("[0-9]+")
-
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
     """Host (``A-Z`` lower-cased) and path; both empty for null or without ``://``."""
@@ -76,29 +73,27 @@ def _grams(kind: str, text: str) -> list[int]:
 
 
 def _features(host: str, path: str) -> np.ndarray:
-    # The last two labels name the registry; what is before them names the site.
-    return np.unique(np.array(_grams("h", ".".join(host.split(".")[:-2]) or host) + _grams("p", _DIGITS.sub("0", path)), np.int64))
+    return np.unique(np.array(_grams("h", host) + _grams("p", path), np.int64))
 
 
 class UrlClassifier:
-    """Logistic regression with an L2 penalty, by gradient descent on all rows at once."""
+    """Logistic regression with an L2 penalty and no intercept, by gradient descent on all rows at once."""
 
     def __init__(self, urls: list[str], blocked: list[int], epochs: int = EPOCHS):
         rows = [_features(*(url.split("/", 1)[0].lower(), "/" + url.partition("/")[2])) for url in urls]
         y = np.array(blocked, float)
-        self.weight, self.bias = np.zeros(BUCKETS), 0.0
+        self.weight = np.zeros(BUCKETS)
         row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
         column = np.concatenate(rows) if rows else np.zeros(0, int)
         scale = (1 / np.sqrt(np.maximum(1, np.bincount(row, minlength=len(rows)))))
         for _ in range(epochs if len(rows) else 0):
-            z = self.bias + scale * np.bincount(row, self.weight[column], len(rows))
+            z = scale * np.bincount(row, self.weight[column], len(rows))
             g = (y - 1 / (1 + np.exp(-z)))
             self.weight += 0.5 * (np.bincount(column, (g * scale)[row], BUCKETS) - 0.01 * self.weight)
-            self.bias += 0.02 * g.sum()
 
     def score(self, host: str, path: str) -> float:
         f = _features(host, path)
-        z = self.bias + self.weight[f].sum() / np.sqrt(max(1, len(f)))
+        z = self.weight[f].sum() / np.sqrt(max(1, len(f)))
         return float(1 / (1 + np.exp(-z)))
 
 
