@@ -5,7 +5,8 @@ in a template. A hit votes for the diagonal document position minus template
 position; one run of text copied from a template puts all its votes on one
 diagonal, an insertion or deletion moves the rest to a neighbouring one. Votes
 are summed by diagonal, neighbouring diagonals are merged, and a merged span
-counts if the template words it covers are a large enough share.
+counts if the template words it covers are a large enough share. A span inside a
+longer one is left out if it covers part of its template only, and no word that the longer one doesn't.
 
 Phrases are templates that must be covered whole, on one diagonal.
 """
@@ -111,21 +112,24 @@ def _spans(votes: DataFrame, slack: int, coverage: float) -> DataFrame:
     grouped = diagonals.withColumn("apart", apart).withColumn("span", F.sum("apart").over(by_template)).drop("apart")
     merged = grouped.groupBy(*key, "tid", "label", "phrase", "size", "k", "span").agg(
         F.flatten(F.collect_list("tpos")).alias("tpos"),
+        F.flatten(F.collect_list(F.transform("tpos", lambda t: F.col("diagonal") + t))).alias("at"),
         F.min(F.col("diagonal") + F.array_min("tpos")).alias("start"),
         F.max(F.col("diagonal") + F.array_max("tpos") + F.col("k")).alias("end"),
         F.sum("n").alias("n"),
     )
-    covered = F.size(F.array_distinct(F.flatten(F.transform("tpos", lambda t: F.sequence(t, t + F.col("k") - 1)))))
-    share = (covered / F.col("size")).alias("coverage")
+    words_from = lambda starts: F.array_distinct(F.flatten(F.transform(starts, lambda t: F.sequence(t, t + F.col("k") - 1))))
+    share = F.size(words_from("tpos")) / F.col("size")
     kept = merged.select("*", F.when(F.col("tid").isNotNull(), share).alias("coverage")).where(
         F.col("tid").isNull() | (F.col("coverage") >= F.when(F.col("phrase"), 1.0).otherwise(coverage))
     )
-    # A span inside a longer one of another template is part of that.
-    reach = F.when(~F.col("phrase"), F.struct("end", (-F.col("start")).alias("before")))
+    kept = kept.withColumn("covers", F.when(~F.col("phrase"), words_from("at")))
+    # A span inside a longer one of another template is part of that, unless it is whole or covers words that the longer one doesn't.
+    reach = F.when(~F.col("phrase"), F.struct("end", (-F.col("start")).alias("before"), "covers"))
     by_start = Window.partitionBy(*key).orderBy("start", F.desc("end")).rowsBetween(Window.unboundedPreceding, -1)
     longest = F.max(reach).over(by_start)
     inside = (longest["end"] > F.col("end")) | ((longest["end"] == F.col("end")) & (-longest["before"] < F.col("start")))
-    marked = kept.withColumn("inside", ~F.col("phrase") & F.coalesce(inside, F.lit(False)))
+    part = (F.col("coverage") < 1) & (F.size(F.array_except("covers", longest["covers"])) == 0)
+    marked = kept.withColumn("inside", ~F.col("phrase") & F.coalesce(inside & part, F.lit(False)))
     return marked.where("tid IS NULL OR NOT inside").select(
         *key, F.when(F.col("tid").isNull(), F.col("n")).alias("n_rows"), "label", "phrase", "start", "end", "coverage"
     )
@@ -139,7 +143,7 @@ def scan_licenses(
 
     A null or empty text has no words and no spans; a phrase counts at every
     place it stands, overlapping ones too. A template span inside a longer one is
-    left out. Equal templates with other labels give a span
+    left out if it covers part of its template, and only words the longer one covers too. Equal templates with other labels give a span
     each. Repeated rows come back as often as given, rows of one id with other
     texts each for themselves. Other columns are not read. With more template
     grams than ``BROADCAST_ROWS`` the join is an ordinary one.

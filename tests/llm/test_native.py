@@ -102,6 +102,23 @@ def test_license_spans_survive_edits(spark):
     assert licenses.scan_licenses(documents(spark, [])).collect() == []
 
 
+def test_license_notices_within_others(spark):
+    head = "{} is free software{} you can redistribute it and/or modify it under the terms of the GNU "
+    tail = "General Public License as published by the Free Software Foundation"
+    gpl, lgpl = head.format("This program", ":") + tail, head.format("This library", ";") + "Lesser " + tail
+    edit = lambda text, old, new: text.replace(old, new)
+    docs = [
+        gpl, lgpl, gpl + ". " + lgpl, edit(gpl, "can redistribute", "can really redistribute"), edit(gpl, "and/or modify", "or change"),
+        edit(lgpl, "can redistribute", "can really redistribute"), edit(lgpl, "by the Free", "by the great Free"), "some words " + lgpl.upper() + " others",
+    ]
+    got = {r.doc_id: r.spans for r in licenses.scan_licenses(documents(spark, list(enumerate(docs)))).collect()}
+    lesser = [sum(s.label == "lgpl" for s in got[k]) for k in range(len(docs))]
+    assert lesser == [0, 1, 1, 0, 0, 1, 1, 1]
+    (span,) = (s for s in got[1] if s.label == "lgpl")
+    assert (span.start, span.end, span.coverage) == (13, 30, 1.0)
+    assert all(any(s.label == "gpl" and not s.phrase for s in got[k]) for k in (0, 2, 3, 4))
+
+
 def test_mixing_takes_near_targets(spark):
     rng = random.Random(1)
     docs = [(k, sentence(rng, rng.choice([0, 1, 20, 200])), rng.choice(["a", "b", "ü", "c", None])) for k in range(400)]
