@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pagewell.llm import chat, decontamination, embeddings, html, jaccard, language_model, licenses, mixing, toxicity, urls
+from pagewell.llm import (
+    chat, decontamination, embeddings, html, jaccard, language_model, licenses, mixing, negatives, periodic, pieces, toxicity, urls,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -168,3 +171,35 @@ def op9(spark, sf):
 @query("op10_html_minimum_cut")
 def op10(spark, sf):
     return html.extract_pages(table(spark, sf, "pages"))
+
+
+OP11 = """
+WITH r AS (SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE label IS NOT NULL AND vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+  list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * b.v[i]))::BIGINT AS score
+  FROM r a JOIN r b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+n AS (SELECT anchor_id, positive_id, positive_score, id AS negative_id, score AS negative_score,
+  row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)::INTEGER AS rank
+  FROM p JOIN s USING (anchor_id) WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+"""
+
+
+@query("op11_hard_negatives", OP11)
+def op11(spark, sf):
+    return negatives.negative_report(table(spark, sf, "embeddings"))
+
+
+@query("op12_sentencepiece")
+def op12(spark, sf):
+    return pieces.piece_report(table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op13_periodic_runs")
+def op13(spark, sf):
+    return periodic.run_report(table(spark, sf, "documents"))
