@@ -49,6 +49,11 @@ def chunk_id_or_null(document_id: Column, chunk_index: Column, stride: int = ID_
     return F.when(fits, document_id * F.lit(stride).cast("bigint") + chunk_index)
 
 
+# Stands for ids that count up over all chunks (:func:`chunk_sequence`), where an id
+# scheme is asked for: no document id is too large for them.
+SEQUENCE = "sequence"
+
+
 def with_chunk_ids(chunks: DataFrame, stride: int = ID_STRIDE, ids=chunk_id) -> DataFrame:
     """``ids`` makes an id of document id, chunk index and stride."""
     return chunks.withColumn("id", ids(F.col("document_id"), F.col("chunk_index"), stride))
@@ -103,6 +108,32 @@ def _chunk_rows(numbered: DataFrame, model: str, stride: int = ID_STRIDE, ids=ch
     )
 
 
+def chunk_sequence(
+    documents: DataFrame,
+    model: str,
+    first: int = 1,
+    size: int = CHUNK_SIZE,
+    overlap: int = CHUNK_OVERLAP,
+    min_chars: int = MIN_CHUNK_CHARS,
+) -> DataFrame:
+    """The rows of :func:`chunk_documents` with dense ids from ``first`` on, in (document,
+    chunk) order, like a database sequence; document ids are unique, and may be any.
+
+    Texts are cut once: chunk arrays are written with their sizes, the sizes alone are
+    summed up, and one start per document is joined before the arrays are unfolded.
+    """
+    cut = select_once(documents, ["document_id"], _document_chunks(size, overlap, min_chars).alias("chunks"))
+    cut = write_and_read(cut.withColumn("_n", F.size("chunks").cast("bigint")), "chunked")
+    starts = with_start(cut.select("document_id", "_n"), F.col("_n"), "document_id", "_start")
+    unfolded = cut.join(starts.select("document_id", "_start"), "document_id").select(
+        "document_id", "_start", F.posexplode("chunks").alias("chunk_index", "c")
+    )
+    return _chunk_rows(
+        unfolded.select("document_id", "_start", "chunk_index", "c.page_number", "c.page_pos", "c.chunk_text"),
+        model, ids=lambda _, index, __: F.col("_start") + index + F.lit(first).cast("bigint"),
+    )
+
+
 def chunk_pages(
     pages: DataFrame,
     size: int = CHUNK_SIZE,
@@ -168,9 +199,10 @@ def number_chunks(
 
 
 def with_sequence_ids(chunks: DataFrame, first: int = 1) -> DataFrame:
-    """Dense ids from ``first`` on in (document, chunk) order, like a database
-    sequence. Documents are numbered by their chunk counts, which are written to
-    the shared folder first: the numbering reads them several times."""
+    """Dense ids from ``first`` on in (document, chunk) order, for chunk rows that
+    exist; :func:`chunk_sequence` makes them while it cuts. Documents are numbered by
+    their chunk counts, which are written to the shared folder first: the numbering reads
+    them several times."""
     counts = chunks.groupBy("document_id").agg(F.count(F.lit(1)).alias("_n"))
     starts = with_start(write_and_read(counts, "counts"), F.col("_n"), "document_id", "_start")
     return (
@@ -206,9 +238,11 @@ def batch_documents(
     size: int = CHUNK_SIZE,
     overlap: int = CHUNK_OVERLAP,
     min_chars: int = MIN_CHUNK_CHARS,
+    ids=chunk_id,
 ) -> DataFrame:
     """The rows of :func:`request_batches` straight from nested documents, as
-    :func:`chunk_documents` takes them, without a shuffle."""
+    :func:`chunk_documents` takes them, without a shuffle. ``ids`` may use other columns
+    of ``documents``."""
 
     def batches(chunks: Column) -> Column:
         first_of_batch = F.transform(
@@ -223,11 +257,11 @@ def batch_documents(
                 F.slice(chunks, start + 1, F.lit(batch_size)),
                 lambda c: c["page_number"] == first["page_number"],
             )
-            ids = F.transform(members, lambda _, i: chunk_id(F.col("document_id"), start + i))
+            numbers = F.transform(members, lambda _, i: ids(F.col("document_id"), start + i, ID_STRIDE))
             return F.struct(
                 first["page_number"].alias("page_number"),
                 F.floor(first["page_pos"] / batch_size).cast("int").alias("batch_no"),
-                ids.alias("chunk_ids"),
+                numbers.alias("chunk_ids"),
                 F.transform(members, lambda c: c["chunk_text"]).alias("texts"),
             )
 

@@ -13,25 +13,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagewell.functions.messages import embedding_request
-from pagewell.operators.chunks import batch_documents
+from pagewell.operators.chunks import batch_documents, chunk_id_or_null
 from pagewell.operators.responses import keep_prefix, pair_vectors, parse_responses
 from pagewell.plans.ingest import document_status, with_completeness
 from pagewell.schemas import CHUNK_COLUMNS
 from pagewell.session import write_and_read
 from pagewell.settings import BATCH_SIZE, EMBEDDING_DIM
-from pagewell.sources.ledger import EMBEDDED, commit
+from pagewell.sources.ledger import EMBEDDED, commit, free_batch, read_ledger, settled
 from pagewell.sources.tables import read_batch, replace_batch
 
 BATCH = ["document_id", "page_number", "batch_no"]
 
 
 def request_rows(
-    documents: DataFrame, model: str, dim: int = EMBEDDING_DIM, batch_size: int = BATCH_SIZE
+    documents: DataFrame, model: str, dim: int = EMBEDDING_DIM, batch_size: int = BATCH_SIZE, ids=chunk_id_or_null
 ) -> DataFrame:
     """``document_id, page_number, batch_no, chunk_ids, body`` from nested
-    documents; no shuffle."""
+    documents; no shuffle. ``ids`` is the id scheme of the chunks; nothing is asked for a
+    document with a chunk it has no id for."""
     body = embedding_request(F.col("texts"), model, dim)
-    return batch_documents(documents, batch_size).select(*BATCH, "chunk_ids", body.alias("body"))
+    batches = batch_documents(documents, batch_size, ids=ids)
+    numbered = F.forall("chunk_ids", lambda i: i.isNotNull())
+    return batches.select(*BATCH, "chunk_ids", body.alias("body")).where(numbered)
 
 
 def vectors_from_responses(
@@ -73,12 +76,23 @@ def commit_responses(
     ``chunks`` is the written table of the chunk rows the requests were made
     of. Chunks and vectors are written together, the ledger last; a document of
     which a page is lost, rejected or short is ``incomplete``, and a later call
-    with more responses and another batch id may finish it. Repeating a call
-    replaces its batch.
+    with more responses may finish it. Documents that are settled are left out, so
+    the same chunks, requests and responses may be given any number of times; a
+    batch id that is committed already stands for the next free name of its kind.
     """
-    vectors = vectors_from_responses(requests, responses, dim).withColumnRenamed("embedding_chunk_id", "id")
-    embedded = with_completeness(chunks.join(vectors.dropDuplicates(["id"]), "id", "left"), dim)
     spark, folder = chunks.sparkSession, os.path.join(root, "embedded")
+    low, high = chunks.agg(F.min("document_id"), F.max("document_id")).first()
+    if low is None:
+        return
+    known = write_and_read(settled(read_ledger(spark, root, low, high)), "settled")
+    open_chunks = chunks.join(known, "document_id", "left_anti")
+    documents = write_and_read(open_chunks.select("document_id").distinct(), "open")
+    if documents.isEmpty():
+        return
+    batch_id = free_batch(spark, root, batch_id)
+    sent, got = (rows.join(known, "document_id", "left_anti") for rows in (requests, responses))
+    vectors = vectors_from_responses(sent, got, dim).withColumnRenamed("embedding_chunk_id", "id")
+    embedded = with_completeness(open_chunks.join(vectors.dropDuplicates(["id"]), "id", "left"), dim)
     replace_batch(embedded.select(*CHUNK_COLUMNS, "page_pos", "embedding", "complete"), folder, batch_id)
     written = read_batch(spark, folder, EMBEDDED, batch_id)
-    commit(document_status(chunks.select("document_id").distinct(), written), root, batch_id)
+    commit(document_status(documents, written), root, batch_id)

@@ -9,7 +9,8 @@
 Chunks and vectors share one Parquet folder: a reader of either column set
 scans only its own columns, and the embedding model runs once. A document is
 ``done`` if every kept chunk got a vector of the right dimension, ``empty`` if it
-has no kept chunk, ``incomplete`` otherwise. Which documents can be seen is
+has no kept chunk, ``unnumbered`` if the id scheme has no id for a chunk of it, and
+``incomplete`` otherwise. Which documents can be seen is
 decided by the ledger alone, see ``sources/ledger.py``.
 """
 
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from pagewell.functions.embedders import embed
 from pagewell.functions.vectors import has_dimension
-from pagewell.operators.chunks import chunk_documents, chunk_id_or_null
+from pagewell.operators.chunks import SEQUENCE, chunk_documents, chunk_id_or_null, chunk_sequence
 from pagewell.settings import BATCH_SIZE, EMBEDDING_DIM, ID_STRIDE, MIN_CHUNK_CHARS
 
 
@@ -45,12 +46,16 @@ def embed_chunks(chunks: DataFrame, embedding: Embedding) -> DataFrame:
 
 def plan_ingest(
     documents: DataFrame, embedding: Embedding, min_chars: int = MIN_CHUNK_CHARS,
-    stride: int = ID_STRIDE, ids=chunk_id_or_null,
+    stride: int = ID_STRIDE, ids=chunk_id_or_null, first: int = 1,
 ) -> DataFrame:
     """Chunk rows with ``embedding`` and ``complete`` (id and vector are usable), from
     ``document_id, pages``. ``ids`` is the id scheme; a document to which it
-    gives no ids ends as ``incomplete``, and the others of its round are kept."""
-    chunks = chunk_documents(documents, embedding.model, min_chars=min_chars, stride=stride, ids=ids)
+    gives no ids ends as ``unnumbered``, and the others of its round are kept. With
+    ``SEQUENCE`` ids count up from ``first``, which costs a shuffle of counts."""
+    if ids == SEQUENCE:
+        chunks = chunk_sequence(documents, embedding.model, first, min_chars=min_chars)
+    else:
+        chunks = chunk_documents(documents, embedding.model, min_chars=min_chars, stride=stride, ids=ids)
     return with_completeness(embed_chunks(chunks, embedding), embedding.dim)
 
 
@@ -62,12 +67,14 @@ def with_completeness(embedded: DataFrame, dim: int = EMBEDDING_DIM) -> DataFram
 def document_status(documents: DataFrame, embedded: DataFrame) -> DataFrame:
     """``document_id, status, chunks, vectors`` for every document. Counts are
     made before the shuffle; only they are joined."""
+    without_id = F.col("id").isNull() if "id" in embedded.columns else F.lit(False)
     counts = embedded.groupBy("document_id").agg(
-        F.count(F.lit(1)).alias("chunks"), F.count_if(F.col("complete")).alias("vectors")
+        F.count(F.lit(1)).alias("chunks"), F.count_if(F.col("complete")).alias("vectors"), F.count_if(without_id).alias("_without")
     )
     status = (
         F.when(F.col("chunks") == 0, "empty")
         .when(F.col("chunks") == F.col("vectors"), "done")
+        .when(F.col("_without") > 0, "unnumbered")
         .otherwise("incomplete")
     )
     return (

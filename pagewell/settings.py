@@ -36,6 +36,8 @@ QUERY_BLOCK_BYTES = 64 * 1024 * 1024
 MAX_LISTS = 65_536
 # Most batches whose names are put into a reader's folder filter.
 LISTED_BATCHES = 10_000
+# Most rounds of papers that are planned at a time; one id each is held by the driver.
+ROUND_BOUNDS = 100_000
 # Most paths of landed files the driver lists for one read.
 LISTED_FILES = 10_000
 # Rows a caller may declare as an upper bound for a broadcast side.

@@ -46,19 +46,20 @@ def append_vectors(vectors: DataFrame, path: str) -> None:
     ).parquet(path)
 
 
-def _batch_folder(path: str, batch_id: str) -> str:
+def batch_folder(path: str, batch_id: str) -> str:
+    """The folder of a batch below the table at ``path``."""
     return os.path.join(path, f"batch_id={quote(batch_id, safe='-_.~ ')}")
 
 
 def read_batch(spark: SparkSession, path: str, schema: str, batch_id: str) -> DataFrame:
     """The rows of one batch, from its own folder; the others are not even listed."""
-    return read_or_empty(spark, _batch_folder(path, batch_id), schema, path)
+    return read_or_empty(spark, batch_folder(path, batch_id), schema, path)
 
 
 def replace_batch(rows: DataFrame, path: str, batch_id: str) -> None:
     """Write rows as batch ``batch_id``, in place of an earlier attempt, of which
     nothing stays even if there are no rows now."""
-    rows.drop("batch_id").write.mode("overwrite").parquet(_batch_folder(path, batch_id))
+    rows.drop("batch_id").write.mode("overwrite").parquet(batch_folder(path, batch_id))
 
 
 def index_rows(vectors: DataFrame) -> DataFrame:

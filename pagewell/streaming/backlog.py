@@ -1,4 +1,5 @@
-"""Draining a backlog of papers in micro-batches.
+"""Draining a backlog of papers in micro-batches of files; ``rounds.py`` does so in
+rounds of a number of papers.
 
 Paper files landing in a folder are a streaming source; with ``availableNow``
 the query takes what is there in rounds of ``files_per_round`` files and stops.
@@ -16,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from pagewell.operators.chunks import SEQUENCE, chunk_id_or_null
 from pagewell.operators.papers import is_pending, split_by_source, without_processed
 from pagewell.plans.ingest import Embedding, document_status, plan_ingest
 from pagewell.schemas import PAPERS
@@ -25,6 +27,7 @@ from pagewell.sources.ledger import (
     PAGED,
     commit,
     is_committed,
+    next_chunk_id,
     read_ledger,
     settled,
     unfinished,
@@ -42,17 +45,23 @@ def ingest_round(
     load_documents: DocumentLoader,
     embedding: Embedding,
     topic: str | None = None,
+    ids=chunk_id_or_null,
 ) -> None:
     """One all-or-nothing round over a batch DataFrame of papers.
 
     Pages are written before they are chunked: extraction is the costly and
-    least repeatable step, and three later steps read its result.
+    least repeatable step, and three later steps read its result. ``ids`` is the id
+    scheme of chunks; with ``SEQUENCE`` one round at a time may run on ``root``.
     """
     spark = papers.sparkSession
     if is_committed(spark, root, batch_id):
         return
     pending = ~F.col("embedding_processed") if topic is None else is_pending(topic)
-    todo = without_processed(papers.where(pending).dropDuplicates(["id"]), settled(read_ledger(spark, root)))
+    taken = write_and_read(papers.where(pending).dropDuplicates(["id"]), "taken")
+    low, high = taken.agg(F.min("id"), F.max("id")).first()
+    if low is None:
+        return
+    todo = without_processed(taken, settled(read_ledger(spark, root, low, high)))
     good, unknown = split_by_source(write_and_read(todo, "todo"))
 
     replace_batch(
@@ -62,7 +71,8 @@ def ingest_round(
     paged = read_batch(spark, os.path.join(root, "paged"), PAGED, batch_id)
     readable = paged.where(F.col("reason").isNull())
 
-    replace_batch(plan_ingest(readable, embedding), os.path.join(root, "embedded"), batch_id)
+    first = next_chunk_id(spark, root) if ids == SEQUENCE else 1
+    replace_batch(plan_ingest(readable, embedding, ids=ids, first=first), os.path.join(root, "embedded"), batch_id)
     embedded = read_batch(spark, os.path.join(root, "embedded"), EMBEDDED, batch_id)
 
     status = document_status(readable, embedded).withColumn("reason", F.lit(None).cast("string"))
@@ -74,7 +84,8 @@ def ingest_round(
             F.lit(0).cast("long").alias("chunks"), F.lit(0).cast("long").alias("vectors"), "reason",
         )
     )
-    commit(status.unionByName(rejected), root, batch_id)
+    last_id = embedded.agg(F.max("id")).first()[0] if ids == SEQUENCE else None
+    commit(status.unionByName(rejected), root, batch_id, last_id)
 
 
 def retry_unfinished(
@@ -84,13 +95,14 @@ def retry_unfinished(
     load_documents: DocumentLoader,
     embedding: Embedding,
     topic: str | None = None,
+    ids=chunk_id_or_null,
 ) -> None:
     """A round over the papers the ledger lists as unfinished. The stream has taken
     their files and does not see them again; ``papers`` is the whole table."""
     if not is_committed(papers.sparkSession, root, batch_id):
         again = write_and_read(unfinished(read_ledger(papers.sparkSession, root)), "unfinished")
         chosen = papers.join(again.withColumnRenamed("document_id", "id"), "id", "left_semi")
-        ingest_round(chosen, root, batch_id, load_documents, embedding, topic)
+        ingest_round(chosen, root, batch_id, load_documents, embedding, topic, ids)
 
 
 def drain_backlog(
@@ -102,6 +114,7 @@ def drain_backlog(
     embedding: Embedding,
     topic: str | None = None,
     files_per_round: int = 4,
+    ids=chunk_id_or_null,
 ) -> StreamingQuery:
     """Start the drain over the paper files in ``papers_path``; it ends by itself
     when none are left (``awaitTermination()``)."""
@@ -115,7 +128,7 @@ def drain_backlog(
         # The query id is kept in the checkpoint, so a restarted query repeats
         # its rounds under the same names.
         query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        ingest_round(batch, root, f"{query}-{number}", load_documents, embedding, topic)
+        ingest_round(batch, root, f"{query}-{number}", load_documents, embedding, topic, ids)
 
     return (
         backlog.writeStream.foreachBatch(take_round)

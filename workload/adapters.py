@@ -141,12 +141,17 @@ def sent_chunks(spark, sf_dir) -> DataFrame:
     )
 
 
-def responses(spark, sf_dir) -> DataFrame:
+def whole_responses(spark, sf_dir) -> DataFrame:
+    """The responses without a fault."""
+    return responses(spark, sf_dir, F.lit(0)).drop("expected")
+
+
+def responses(spark, sf_dir, fault=None) -> DataFrame:
     """Received batches in the three known shapes; by ``batch_id % 11`` some have
     a bad status (3), an unreadable body (5), a vector too few (7) or a vector of
     63 dimensions (9)."""
+    fault = F.col("batch_id") % 11 if fault is None else fault
     keyed = table(spark, sf_dir, "embeddings").select("vec_id", "embedding").withColumns(_batch_keys())
-    fault = F.col("batch_id") % 11
     sent = keyed.groupBy("document_id", "page_number", "batch_no", "batch_id").agg(
         F.array_sort(F.collect_list(F.struct("vec_id", "embedding"))).alias("members")
     )

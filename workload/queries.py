@@ -24,6 +24,7 @@ from pagewell.sources import documents as docs
 from pagewell.sources import ledger as lg
 from pagewell.sources import tables as tb
 from pagewell.streaming.backlog import drain_backlog
+from pagewell.streaming.rounds import drain_papers
 from workload import adapters as ad
 from workload import oracle as sql
 
@@ -159,6 +160,12 @@ def w3(spark, sf):
 @query("w3_sequence_ids", f"WITH {sql.PAGED_CHUNKS} "
        "SELECT row_number() OVER (ORDER BY document_id, chunk_index) AS id, document_id, chunk_index FROM chunks")
 def w3_sequence(spark, sf):
+    return ch.chunk_sequence(ad.nested_documents(spark, sf), MODEL).select("id", "document_id", "chunk_index")
+
+
+@query("w3_sequence_ids_of_chunks", ORACLE["w3_sequence_ids"])
+def w3_sequence_of_chunks(spark, sf):
+    """Chunk rows that exist already are numbered."""
     return ch.with_sequence_ids(_chunks(spark, sf)).select("id", "document_id", "chunk_index")
 
 
@@ -837,6 +844,15 @@ def a3(spark, sf):
 # --- incremental work --------------------------------------------------------------
 
 
+def _nested_loader(sf):
+    def load(papers):
+        wanted = papers.select(F.col("id").alias("document_id"))
+        texts = ad.nested_documents(papers.sparkSession, sf)
+        return texts.join(wanted, "document_id", "left_semi").withColumn("reason", F.lit(None).cast("string"))
+
+    return load
+
+
 @query("i1_backlog_drain", f"""WITH {sql.PAGED_CHUNKS}
 SELECT id, document_id, chunk_index, md5(chunk_text) AS text_md5 FROM chunks
 WHERE document_id % 5 <> 0 AND document_id % 4 <> 3""")
@@ -844,20 +860,62 @@ def i1(spark, sf):
     """Papers in four files, drained in rounds of two files."""
     root = work_folder(spark, "backlog")
     ad.papers(spark, sf).repartition(4).write.parquet(os.path.join(root, "papers"))
-
-    def load(papers):
-        wanted = papers.select(F.col("id").alias("document_id"))
-        texts = ad.nested_documents(papers.sparkSession, sf)
-        return texts.join(wanted, "document_id", "left_semi").withColumn("reason", F.lit(None).cast("string"))
-
     drain_backlog(
         spark, os.path.join(root, "papers"), os.path.join(root, "tables"),
-        os.path.join(root, "checkpoint"), load, TEXT_MODEL, files_per_round=2,
+        os.path.join(root, "checkpoint"), _nested_loader(sf), TEXT_MODEL, files_per_round=2,
     ).awaitTermination()
     visible = lg.visible_chunks(spark, os.path.join(root, "tables"))
     return visible.select("id", "document_id", "chunk_index", F.md5("chunk_text").alias("text_md5"))
 
 
+@query("i1_row_bounded_rounds", f"""WITH {sql.PAGED_CHUNKS}, {sql.PAPERS},
+r AS (SELECT id, (row_number() OVER (ORDER BY id) - 1) // 150 AS round FROM papers WHERE NOT embedding_processed),
+c AS (SELECT document_id, count(*) AS n FROM chunks GROUP BY ALL)
+SELECT min(id) AS first_id, max(id) AS last_id, count(*) AS papers,
+  count(*) FILTER (WHERE id % 4 <> 3 AND n IS NOT NULL) AS done, count(*) FILTER (WHERE id % 4 = 3) AS rejected,
+  coalesce(sum(n) FILTER (WHERE id % 4 <> 3), 0)::BIGINT AS chunks
+FROM r LEFT JOIN c ON document_id = id GROUP BY round""")
+def i1_rounds(spark, sf):
+    """Papers of one table in rounds of 150, as the ledger tells."""
+    root = work_folder(spark, "rounds")
+    drain_papers(
+        spark, ad.papers(spark, sf), os.path.join(root, "tables"), os.path.join(root, "checkpoint"),
+        _nested_loader(sf), TEXT_MODEL, round_papers=150,
+    )
+    ledger = lg.read_ledger(spark, os.path.join(root, "tables"))
+    return ledger.groupBy("batch_id").agg(
+        F.min("document_id").alias("first_id"), F.max("document_id").alias("last_id"), F.count(F.lit(1)).alias("papers"),
+        F.count_if(F.col("status") == "done").alias("done"), F.count_if(F.col("status") == "rejected").alias("rejected"),
+        F.sum("chunks").alias("chunks"),
+    ).drop("batch_id")
+
+
+@query("i1_drain_hashed_ids", f"""WITH {sql.PAGED_CHUNKS}
+SELECT document_id, chunk_index, md5(chunk_text) AS text_md5, true AS numbered_once FROM chunks
+WHERE document_id % 5 <> 0 AND document_id % 4 <> 3""")
+def i1_hashed(spark, sf):
+    """Document ids anywhere in 64 bits, in two calls of the drain: chunk ids count up."""
+    root = work_folder(spark, "hashed")
+    tables = os.path.join(root, "tables")
+    far = lambda c: F.col(c) * 900_000_000_000
+    papers = ad.papers(spark, sf).withColumn("id", far("id"))
+
+    def load(chosen):
+        pages = ad.nested_documents(spark, sf).withColumn("document_id", far("document_id"))
+        wanted = chosen.select(F.col("id").alias("document_id"))
+        return pages.join(wanted, "document_id", "left_semi").withColumn("reason", F.lit(None).cast("string"))
+
+    for part in (papers.where("topic = 'en'"), papers):
+        drain_papers(spark, part, tables, os.path.join(root, "checkpoint"), load, TEXT_MODEL, round_papers=100_000, ids=ch.SEQUENCE)
+    seen = lg.visible_chunks(spark, tables)
+    ids = seen.agg(F.countDistinct("id").alias("ids"), F.max("id").alias("most"), F.count(F.lit(1)).alias("rows"))
+    once = ids.select(((F.col("ids") == F.col("rows")) & (F.col("most") == F.col("rows"))).alias("numbered_once")).first()[0]
+    return seen.select(
+        F.expr("document_id div 900000000000").alias("document_id"), "chunk_index", F.md5("chunk_text").alias("text_md5"),
+        F.lit(once).alias("numbered_once"),
+    )
+
+
 @query("i2_all_or_nothing", """WITH k AS (SELECT vec_id, vec_id // 48 AS document_id FROM embeddings),
 bad AS (SELECT DISTINCT document_id FROM k WHERE vec_id % 200 = 0)
 SELECT vec_id AS id, document_id FROM k WHERE document_id NOT IN (FROM bad)""")
@@ -894,27 +952,44 @@ def i2_crash(spark, sf):
     return lg.visible_vectors(spark, root).join(rows.select("id", "document_id"), "id").select("id", "document_id")
 
 
+def _alone(df):
+    """Each request batch as a document of one page."""
+    batch = F.col("document_id") * 6 + (F.col("page_number") - 1) * 3
+    batch = batch + (F.col("batch_no") if "batch_no" in df.columns else F.floor(F.col("page_pos") / 16))
+    out = df.withColumn("document_id", batch).withColumn("page_number", F.lit(1))
+    return out.withColumn("batch_no", F.lit(0)) if "batch_no" in df.columns else out
+
+
 @query("x1_responses_to_visible_chunks", f"""WITH {sql.LOSSY_BATCHES}
 SELECT vec_id AS id, batch_id AS document_id, round(list_sum(embedding::DOUBLE[]), 5) AS total
 FROM sent JOIN batches USING (batch_id) WHERE reason IS NULL""")
 def x1_responses(spark, sf):
     """From sent requests, with responses lost, repeated and faulty, to the
     visible vectors. A batch is a document of one page here."""
-    def alone(df):
-        batch = F.col("document_id") * 6 + (F.col("page_number") - 1) * 3
-        batch = batch + (F.col("batch_no") if "batch_no" in df.columns else F.floor(F.col("page_pos") / 16))
-        out = df.withColumn("document_id", batch).withColumn("page_number", F.lit(1))
-        return out.withColumn("batch_no", F.lit(0)) if "batch_no" in df.columns else out
-
     root = work_folder(spark, "rounds")
-    chunks = alone(ad.sent_chunks(spark, sf))
-    answers = alone(ad.lost_and_repeated_responses(spark, sf).drop("expected"))
-    exchange.commit_responses(chunks, alone(ad.requests(spark, sf)), answers, root, "b1", ad.VECTOR_DIM)
+    chunks = _alone(ad.sent_chunks(spark, sf))
+    answers = _alone(ad.lost_and_repeated_responses(spark, sf).drop("expected"))
+    exchange.commit_responses(chunks, _alone(ad.requests(spark, sf)), answers, root, "b1", ad.VECTOR_DIM)
     total = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x)
     known = chunks.select("id", "document_id")
     return lg.visible_vectors(spark, root).join(known, "id").select("id", "document_id", F.round(total, 5).alias("total"))
 
 
+@query("x1_responses_in_two_calls", f"""WITH {sql.LOSSY_BATCHES}
+SELECT vec_id AS id, batch_id AS document_id, 1 AS copies FROM sent JOIN batches USING (batch_id)""")
+def x1_two_calls(spark, sf):
+    """The lost and faulty responses of a first call are sent again, whole, with all
+    others, and then once more: every chunk is visible once."""
+    root = work_folder(spark, "rounds")
+    chunks, requests = _alone(ad.sent_chunks(spark, sf)), _alone(ad.requests(spark, sf))
+    lossy = _alone(ad.lost_and_repeated_responses(spark, sf).drop("expected"))
+    whole = _alone(ad.whole_responses(spark, sf))
+    for batch, answers in (("b1", lossy), ("b2", whole), ("b2", whole)):
+        exchange.commit_responses(chunks, requests, answers, root, batch, ad.VECTOR_DIM)
+    seen = lg.visible_vectors(spark, root).groupBy("id").agg(F.count(F.lit(1)).cast("int").alias("copies"))
+    return seen.join(chunks.select("id", "document_id"), "id").select("id", "document_id", "copies")
+
+
 @query("i3_resume", f"""WITH {sql.PAPERS}, done AS (SELECT doc_id FROM labels WHERE quality = 1)
 SELECT id, embedding_processed OR id IN (FROM done) AS embedding_processed,
   id NOT IN (FROM done) AS open FROM papers""")
