@@ -22,6 +22,7 @@ from pagewell.schemas import CHUNK_COLUMNS
 from pagewell.session import write_and_read
 from pagewell.settings import (
     BATCH_SIZE,
+    BROADCAST_ROWS,
     CHUNK_OVERLAP,
     CHUNK_SIZE,
     ID_STRIDE,
@@ -124,8 +125,11 @@ def chunk_sequence(
     """
     cut = select_once(documents, ["document_id"], _document_chunks(size, overlap, min_chars).alias("chunks"))
     cut = write_and_read(cut.withColumn("_n", F.size("chunks").cast("bigint")), "chunked")
-    starts = with_start(cut.select("document_id", "_n"), F.col("_n"), "document_id", "_start")
-    unfolded = cut.join(starts.select("document_id", "_start"), "document_id").select(
+    starts = with_start(cut.select("document_id", "_n"), F.col("_n"), "document_id", "_start").select("document_id", "_start")
+    # One small row per document: sent to the texts, unless there are very many.
+    if cut.count() <= BROADCAST_ROWS:
+        starts = F.broadcast(starts)
+    unfolded = cut.select("document_id", "chunks").join(starts, "document_id").select(
         "document_id", "_start", F.posexplode("chunks").alias("chunk_index", "c")
     )
     return _chunk_rows(

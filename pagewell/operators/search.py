@@ -2,11 +2,12 @@
 
 Scoring is a matrix product over Arrow batches; only the best ``k`` candidates
 of each query leave a task, never the scored pairs. Queries go to where the
-vectors are read: up to ``QUERY_BLOCK_ROWS`` of them (and ``QUERY_BLOCK_BYTES``)
-are held by every task, and a larger set is cut into such blocks by a hash of
-the query id, which search one after another. The index is never shuffled or
-copied, and the driver holds one block at a time. The limits are checked by fetching at
-most one row more than they allow.
+vectors are read, in blocks of ``QUERY_BLOCK_ROWS`` of them (and ``QUERY_BLOCK_BYTES``) at
+most, cut by a hash of the query id and passed through the driver one by one. A task
+reads its part of the index once: it gathers some vectors, takes one block after the
+other past them, and holds one block and the best so far of all queries. What it
+keeps is bounded by ``SCAN_ENTRIES``; a query set that asks for more takes another scan. The
+index is never shuffled or copied.
 
 Candidates of all tasks meet in a two-step top-k, salted by vector id first.
 Scores are ranked as float64; only the reported column is rounded. A vector with
@@ -15,7 +16,9 @@ an entry that is not finite is no hit, a query with one has no hits.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,11 +27,14 @@ from pyspark.sql import functions as F
 
 from pagewell.session import work_folder
 from pagewell.settings import (
+    GATHERED_BYTES,
+    LISTED_LISTS,
     MAX_LISTS,
     NLIST,
     NPROBE,
     QUERY_BLOCK_BYTES,
     QUERY_BLOCK_ROWS,
+    SCAN_ENTRIES,
     SCORE_DECIMALS,
     TOP_K,
 )
@@ -173,27 +179,66 @@ def _score(seen, rows: np.ndarray, units: np.ndarray, vectors: np.ndarray, ids:
         seen.add(rows, units, vectors[start : start + step], ids[start : start + step])
 
 
-def _held_search(query_ids, units, probes, collector):
-    """Task function: vectors (list_id, id, unit) against queries it carries.
-    ``probes`` maps a list id to the rows of the queries that search it;
-    ``collector(n)`` makes what gathers the scores of ``n`` queries."""
+class _Block:
+    """Queries a task holds: ids, vectors, and the rows that search each list."""
+
+    def __init__(self, query_ids: np.ndarray, units: np.ndarray, lists: np.ndarray):
+        self.query_ids, self.units = query_ids, units
+        rows = np.repeat(np.arange(len(lists)), lists.shape[1])
+        order = np.argsort(lists.ravel(), kind="stable")
+        names, starts = np.unique(lists.ravel()[order], return_index=True)
+        self.probes = dict(zip(names.tolist(), np.split(rows[order], starts[1:])))
+
+    def score(self, seen, lists: np.ndarray, ids: np.ndarray, vectors: np.ndarray) -> None:
+        """Take vectors, sorted by list, past the queries that search their lists."""
+        starts = np.flatnonzero(np.diff(lists, prepend=lists[0] - 1))
+        for start, end in zip(starts.tolist(), [*starts[1:].tolist(), len(lists)]):
+            rows = self.probes.get(int(lists[start]))
+            if rows is not None:
+                _score(seen, rows, self.units[rows], vectors[start:end], ids[start:end])
+
+
+def _gathered(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Lists, ids and vectors of the rows of a stream, some ``size`` bytes at a time."""
+    parts, held = [], 0
+    for batch in chain(batches, [None]):
+        if batch is not None and batch.num_rows:
+            parts.append(batch)
+            held += batch.nbytes
+        if parts and (batch is None or held >= size):
+            table = pa.Table.from_batches(parts)
+            parts, held = [], 0
+            lists, ids = (table.column(c).to_numpy() for c in ("list_id", "id"))
+            vectors = _matrix(table.column("unit"))
+            if len(lists) > 1 and (np.diff(lists) < 0).any():
+                order = np.argsort(lists, kind="stable")
+                lists, ids, vectors = lists[order], ids[order], vectors[order]
+            yield lists, ids, vectors
+
+
+def _streamed_search(shared: list, collector):
+    """Task function: vectors (list_id, id, unit) against broadcast blocks of queries.
+    ``collector(n)`` makes what gathers the scores of ``n`` queries. Of several
+    blocks only the one at work is kept in memory; the others stay in the files
+    Spark has put beside the task."""
+    several = len(shared) > 1
+
+    def opened(block) -> _Block:
+        value = block.value
+        if several:
+            vars(block).pop("_value", None)
+        return value
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = collector(len(query_ids))
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            lists = batch.column("list_id").to_numpy(zero_copy_only=False)
-            ids = batch.column("id").to_numpy(zero_copy_only=False)
-            vectors = _matrix(batch.column("unit"))
-            found = np.unique(lists)
-            for list_id in found:
-                rows = probes.get(int(list_id))
-                if rows is not None:
-                    # A batch of one list, the usual case, is not copied.
-                    here = lists == list_id if len(found) > 1 else slice(None)
-                    _score(seen, rows, units[rows], vectors[here], ids[here])
-        yield seen.batch(query_ids)
+        seen = {}
+        for lists, ids, vectors in _gathered(batches, GATHERED_BYTES if several else 1):
+            for number, block in enumerate(shared):
+                queries = opened(block)
+                if number not in seen:
+                    seen[number] = collector(len(queries.query_ids))
+                queries.score(seen[number], lists, ids, vectors)
+        for number, best in seen.items():
+            yield best.batch(opened(shared[number]).query_ids)
 
     return run
 
@@ -201,20 +246,87 @@ def _held_search(query_ids, units, probes, collector):
 # --- plans ---------------------------------------------------------------------
 
 
-def held_queries(
-    queries: DataFrame, max_rows: int = QUERY_BLOCK_ROWS, max_bytes: int = QUERY_BLOCK_BYTES
-) -> tuple[np.ndarray, np.ndarray] | None:
-    """Ids and vectors of a query set within the bounds, else None. Fetches no
-    more than ``max_rows + 1`` rows."""
-    table = queries.select("query_id", "unit").limit(max_rows + 1).toArrow()
-    if table.num_rows > max_rows:
-        return None
-    if not table.num_rows:
-        return np.empty(0, np.int64), np.empty((0, 0))
-    units = _matrix(table.column("unit"))
-    if units.size * 8 > max_bytes:
+def _block_rows(dim: int, block: int) -> int:
+    return max(1, min(block, QUERY_BLOCK_BYTES // (8 * max(1, dim))))
+
+
+def held_queries(queries: DataFrame, block: int = QUERY_BLOCK_ROWS) -> _Block | None:
+    """A query set (``query_id, unit, lists``) within the bounds of one block, else None.
+    Fetches no more than ``block + 1`` rows."""
+    table = queries.select("query_id", "unit", "lists").limit(block + 1).toArrow()
+    units = _matrix(table.column("unit")) if table.num_rows else np.empty((0, 0))
+    if table.num_rows > _block_rows(units.shape[1], block):
         return None
-    return table.column("query_id").to_numpy(), units
+    lists = _matrix(table.column("lists")) if table.num_rows else np.empty((0, 0), np.int64)
+    return _Block(table.column("query_id").to_numpy(), units, lists)
+
+
+def _packed(block: int):
+    """Task function: the queries of a partition as rows of one block each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(list(batches) or [])
+        units, lists = _matrix(table.column("unit")), _matrix(table.column("lists")).astype(np.int64)
+        ids = table.column("query_id").to_numpy()
+        step = _block_rows(units.shape[1], block)
+        for at in range(0, len(ids), step):
+            part = slice(at, at + step)
+            arrays = [np.ascontiguousarray(x[part]) for x in (ids, units, lists)]
+            yield pa.RecordBatch.from_arrays(
+                [*[pa.array([x.tobytes()], pa.binary()) for x in arrays], pa.array([units.dtype.str])], ["ids", "units", "lists", "kind"]
+            )
+
+    def safe(batches):
+        batches = [b for b in batches if b.num_rows]
+        return run(iter(batches)) if batches else iter([])
+
+    return safe
+
+
+def _query_blocks(queries: DataFrame, block: int) -> Iterator[_Block]:
+    """A query set too large to be held, block after block. Queries are packed by
+    tasks; the driver has one block at a time."""
+    n, dim = queries.agg(F.count(F.lit(1)), F.max(F.size("unit"))).first()
+    parts = math.ceil(n / _block_rows(dim, block))
+    packed = queries.select("query_id", "unit", "lists").repartition(parts, "query_id").mapInArrow(
+        _packed(block), "ids binary, units binary, lists binary, kind string"
+    )
+    for row in packed.toLocalIterator(prefetchPartitions=True):
+        ids = np.frombuffer(row.ids, np.int64)
+        units, lists = (np.frombuffer(x, kind).reshape(len(ids), -1) for x, kind in ((row.units, row.kind), (row.lists, np.int64)))
+        yield _Block(ids, units, lists)
+
+
+def _search(vectors, queries: DataFrame, block: int, kept: int, collector, partial: str, merge, schema: str) -> DataFrame:
+    """Score queries (``query_id, unit, lists``) against ``vectors(lists)``, the index
+    rows (``list_id, id, unit``) of the given lists. ``kept`` is how many entries a
+    query has in a task; ``merge`` makes the result of what the tasks give."""
+    spark = queries.sparkSession
+
+    def scan(blocks: list, lists: set) -> DataFrame:
+        if not lists:
+            return merge(spark.createDataFrame([], partial))
+        return merge(vectors(sorted(lists)).mapInArrow(_streamed_search(blocks, collector), partial))
+
+    held = held_queries(queries, block)
+    if held is not None:
+        return scan([spark.sparkContext.broadcast(held)], set(held.probes))
+    shared, lists, rows, results = [], set(), 0, []
+    folder = work_folder(spark, "found")
+    for one in chain(_query_blocks(queries, block), [None]):
+        if shared and (one is None or (rows + len(one.query_ids)) * kept > SCAN_ENTRIES):
+            if one is None and not results:
+                return scan(shared, lists)
+            results.append(f"{folder}/scan={len(results)}")
+            scan(shared, lists).write.parquet(results[-1])
+            for block_ in shared:
+                block_.destroy()
+            shared, lists, rows = [], set(), 0
+        if one is not None:
+            shared.append(spark.sparkContext.broadcast(one))
+            lists |= set(one.probes)
+            rows += len(one.query_ids)
+    return spark.read.schema(schema).parquet(*results)
 
 
 def _merge_hits(partial: DataFrame, k: int) -> DataFrame:
@@ -231,42 +343,12 @@ def _merge_hits(partial: DataFrame, k: int) -> DataFrame:
     )
 
 
-def _query_parts(queries: DataFrame, block: int, seed: int = 0) -> Iterator[DataFrame]:
-    """A query set too large to be held, in parts that can be."""
-    parts = max(2, 2 * -(-queries.count() // block))
-    part = F.pmod(F.xxhash64("query_id", F.lit(seed)), F.lit(parts)).alias("_part")
-    folder = work_folder(queries.sparkSession, "queries")
-    queries.select("query_id", "unit", part).write.partitionBy("_part").parquet(folder)
-    placed = queries.sparkSession.read.schema("query_id long, unit array<float>, _part long").parquet(folder)
-    for number in range(parts):
-        one = placed.where(F.col("_part") == number).select("query_id", "unit")
-        if held_queries(one, block) is None:
-            yield from _query_parts(one, block, seed + 1)
-        else:
-            yield one
-
-
-def _by_blocks(queries: DataFrame, block: int, run, schema: str) -> DataFrame:
-    """``run(part, held)`` for a query set that can be held, or for each part of
-    a larger one, whose results are written before the next part is fetched."""
-    held = held_queries(queries, block)
-    if held is not None:
-        return run(queries, held)
-    spark = queries.sparkSession
-    folder = work_folder(spark, "found")
-    for part in _query_parts(queries, block):
-        run(part, held_queries(part, block)).write.mode("append").parquet(folder)
-    return spark.read.schema(schema).parquet(folder)
+def _everywhere(queries: DataFrame) -> DataFrame:
+    return queries.select("query_id", "unit", F.array(F.lit(0)).alias("lists"))
 
 
-def _scan(index: DataFrame, held, collector, schema: str) -> DataFrame:
-    """Score held queries against all vectors; partial results per task."""
-    query_ids, units = held
-    if not len(query_ids):
-        return index.sparkSession.createDataFrame([], schema)
-    vectors = index.select(F.lit(0).alias("list_id"), "id", "unit")
-    everything = {0: np.arange(len(query_ids))}
-    return vectors.mapInArrow(_held_search(query_ids, units, everything, collector), schema)
+def _whole(index: DataFrame):
+    return lambda _: index.select(F.lit(0).alias("list_id"), "id", "unit")
 
 
 def exact_topk(
@@ -280,10 +362,9 @@ def exact_topk(
     the index has fewer.
     """
 
-    def run(part, held):
-        return _merge_hits(_scan(index, held, lambda n: _Best(n, k), _HITS), k)
-
-    return _by_blocks(queries, block, run, _RANKED)
+    return _search(
+        _whole(index), _everywhere(queries), block, k, lambda n: _Best(n, k), _HITS, lambda found: _merge_hits(found, k), _RANKED
+    )
 
 
 def score_summary(
@@ -292,15 +373,16 @@ def score_summary(
     """Every query scored against every vector, reported per query: ``scored,
     highest, lowest, mean``."""
 
-    def run(part, held):
-        return _scan(index, held, _Summary, _SUMMARY).groupBy("query_id").agg(
+    def merge(found):
+        return found.groupBy("query_id").agg(
             F.sum("n").alias("scored"),
             F.round(F.max("top"), SCORE_DECIMALS).alias("highest"),
             F.round(F.min("low"), SCORE_DECIMALS).alias("lowest"),
             F.round(F.sum("total") / F.sum("n"), SCORE_DECIMALS).alias("mean"),
         )
 
-    return _by_blocks(queries, block, run, "query_id long, scored long, highest double, lowest double, mean double")
+    schema = "query_id long, scored long, highest double, lowest double, mean double"
+    return _search(_whole(index), _everywhere(queries), block, 1, _Summary, _SUMMARY, merge, schema)
 
 
 # --- inverted lists ------------------------------------------------------------
@@ -360,6 +442,18 @@ def _nearer_lists(list_ids, centroids, count, id_col):
     return run
 
 
+def _with_lists(vectors: DataFrame, centroids: DataFrame, n: int, id_col: str, max_lists: int) -> DataFrame:
+    """``id_col, unit, lists, scores``: the ``n`` lists nearest to each vector."""
+    found = vectors.select(
+        id_col, "unit", F.array().cast("array<int>").alias("lists"), F.array().cast("array<double>").alias("scores")
+    )
+    schema = f"{id_col} long, unit array<float>, lists array<int>, scores array<double>"
+    for list_ids, matrix in _centroid_blocks(centroids, max_lists):
+        if len(list_ids):
+            found = found.mapInArrow(_nearer_lists(list_ids, matrix, n, id_col), schema)
+    return found
+
+
 def nearest_lists(
     vectors: DataFrame,
     centroids: DataFrame,
@@ -370,13 +464,7 @@ def nearest_lists(
     """``id_col, list_id, unit`` with one row for each of the ``n`` lists nearest
     to a vector. Tasks hold ``max_lists`` centroids at a time; more are taken block
     after block in the same stage, each vector keeping its best so far."""
-    found = vectors.select(
-        id_col, "unit", F.array().cast("array<int>").alias("lists"), F.array().cast("array<double>").alias("scores")
-    )
-    schema = f"{id_col} long, unit array<float>, lists array<int>, scores array<double>"
-    for list_ids, matrix in _centroid_blocks(centroids, max_lists):
-        if len(list_ids):
-            found = found.mapInArrow(_nearer_lists(list_ids, matrix, n, id_col), schema)
+    found = _with_lists(vectors, centroids, n, id_col, max_lists)
     return found.select(id_col, F.explode("lists").alias("list_id"), "unit")
 
 
@@ -400,22 +488,37 @@ def search_lists(
     lists then selects folders. With every list probed the result is exact.
     """
 
-    def run(part, held):
-        query_ids, units = held
-        # At most ``block`` times ``nprobe`` rows, found by tasks.
-        pairs = nearest_lists(part, centroids, nprobe, "query_id").select("query_id", "list_id").toPandas()
-        row_of = np.argsort(query_ids, kind="stable")
-        rows = row_of[np.searchsorted(query_ids[row_of], pairs.query_id.to_numpy(np.int64))]
-        lists = pairs.list_id.to_numpy(np.int64)
-        order = np.lexsort((rows, lists))
-        names, starts = np.unique(lists[order], return_index=True)
-        probes = dict(zip(names.tolist(), np.split(rows[order], starts[1:])))
-        if not probes:
-            return _merge_hits(listed_index.sparkSession.createDataFrame([], _HITS), k)
-        wanted = listed_index.where(F.col("list_id").isin(sorted(probes)))
-        partial = wanted.select("list_id", "id", "unit").mapInArrow(
-            _held_search(query_ids, units, probes, lambda n: _Best(n, k)), _HITS
-        )
-        return _merge_hits(partial, k)
+    def wanted(lists: list) -> DataFrame:
+        rows = listed_index.select("list_id", "id", "unit")
+        if len(lists) <= LISTED_LISTS:
+            return rows.where(F.col("list_id").isin(lists))
+        names = listed_index.sparkSession.createDataFrame(pa.table({"list_id": pa.array(lists, pa.int32())}))
+        return rows.join(F.broadcast(names), "list_id", "left_semi")
 
-    return _by_blocks(queries, block, run, _RANKED)
+    probing = _with_lists(queries, centroids, nprobe, "query_id", MAX_LISTS)
+    return _search(wanted, probing, block, k, lambda n: _Best(n, k), _HITS, lambda found: _merge_hits(found, k), _RANKED)
+
+
+def probes_for_recall(
+    listed_index: DataFrame, centroids: DataFrame, queries: DataFrame, recall: float = 0.95, k: int = TOP_K
+) -> int:
+    """The fewest lists to probe so that ``recall`` of the exact top ``k`` of the given
+    queries is found; meant for a sample of queries (``query_id, unit``).
+
+    One exact search tells the list of every hit, and the order of lists of its query
+    how many have to be probed to reach it.
+    """
+    lists = centroids.count()
+    hits = exact_topk(listed_index.select("id", "unit"), queries, k).select("query_id", "id")
+    placed = hits.join(listed_index.select("id", "list_id"), "id")
+    order = _with_lists(queries, centroids, lists, "query_id", MAX_LISTS).select(
+        "query_id", F.posexplode("lists").alias("place", "list_id")
+    )
+    needed = placed.join(order, ["query_id", "list_id"]).groupBy("place").agg(F.count(F.lit(1)).alias("hits"))
+    counts = {row.place: row.hits for row in needed.collect()}
+    found, total = 0, sum(counts.values())
+    for place in range(lists):
+        found += counts.get(place, 0)
+        if found >= recall * total:
+            return place + 1
+    return lists

@@ -28,10 +28,16 @@ PDF_MAGIC = "%PDF"
 SCORE_DECIMALS = 6
 
 # --- size bounds -------------------------------------------------------------
-# Largest set of query vectors held by every task at once (rows, and bytes as
-# float64). Larger sets are searched block after block.
+# Largest block of query vectors held by every task at once (rows, and bytes as
+# float64). Larger sets are taken past the vectors block after block.
 QUERY_BLOCK_ROWS = 4096
 QUERY_BLOCK_BYTES = 64 * 1024 * 1024
+# Vectors a task gathers before it takes the blocks past them (bytes), and (query,
+# candidate) entries it keeps in one scan of the index.
+GATHERED_BYTES = 32 * 1024 * 1024
+SCAN_ENTRIES = 8_000_000
+# Probed lists that are named one by one in the filter of a scan.
+LISTED_LISTS = 1_000
 # Centroids of inverted lists held by every task at a time.
 MAX_LISTS = 65_536
 # Most batches whose names are put into a reader's folder filter.

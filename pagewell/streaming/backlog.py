@@ -57,11 +57,11 @@ def ingest_round(
     if is_committed(spark, root, batch_id):
         return
     pending = ~F.col("embedding_processed") if topic is None else is_pending(topic)
-    taken = write_and_read(papers.where(pending).dropDuplicates(["id"]), "taken")
+    taken = papers.where(pending)
     low, high = taken.agg(F.min("id"), F.max("id")).first()
     if low is None:
         return
-    todo = without_processed(taken, settled(read_ledger(spark, root, low, high)))
+    todo = without_processed(taken.dropDuplicates(["id"]), settled(read_ledger(spark, root, low, high)))
     good, unknown = split_by_source(write_and_read(todo, "todo"))
 
     replace_batch(

@@ -119,7 +119,7 @@ def test_a_crash_between_any_two_writes_of_a_round(spark, tmp_path, monkeypatch)
             break
         except Crash:
             assert ledger_rows(spark, root) == {1: "done"} and visible_documents(spark, root) == [1]
-    assert at == 7 and visible_documents(spark, root) == [1, 2]
+    assert at == 6 and visible_documents(spark, root) == [1, 2]
     for at in range(1, 20):
         try:
             with monkeypatch.context() as patch:

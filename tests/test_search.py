@@ -129,14 +129,46 @@ def test_entries_that_are_not_finite(spark, data, block):
     assert 5 not in counts and set(counts.values()) == {int(clean.sum())}
 
 
-def test_the_index_is_not_shuffled(spark, data, tmp_path):
-    """However many queries: below the top-k exchanges there is only the scan."""
+@pytest.mark.parametrize("block", [4096, 2])
+def test_the_index_is_read_once_and_not_shuffled(spark, data, tmp_path, block):
+    """However many queries, 20 blocks here: below the top-k exchanges there is one scan."""
     vectors, ids, queries = data
     frame(spark, vectors, "id", ids).write.parquet(f"{tmp_path}/index")
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
     index = spark.read.parquet(f"{tmp_path}/index")
-    held = search.held_queries(frame(spark, queries, "query_id"))
-    scan = search._scan(index, held, lambda n: search._Best(n, 5), search._HITS)
-    assert "Exchange" not in scan._jdf.queryExecution().executedPlan().toString()
+    got = search.exact_topk(index, frame(spark, queries, "query_id"), 5, block)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Exchange" not in plan[plan.rindex("MapInArrow"):]
+    got = search.exact_topk(index.mapInArrow(counted, index.schema), frame(spark, queries, "query_id"), 5, block)
+    assert hits(got) == brute_force(vectors, ids, queries, 5)
+    assert read.value == len(ids)
+
+
+def test_what_a_task_keeps_is_bounded(spark, data, monkeypatch):
+    """More queries than entries allow: further scans, the same result."""
+    vectors, ids, queries = data
+    monkeypatch.setattr(search, "SCAN_ENTRIES", 5 * 12)
+    index, asked = frame(spark, vectors, "id", ids), frame(spark, queries, "query_id")
+    assert hits(search.exact_topk(index, asked, 5, 4)) == brute_force(vectors, ids, queries, 5)
+    monkeypatch.setattr(search, "QUERY_BLOCK_BYTES", 3 * 8 * DIM)
+    assert len(list(search._query_blocks(search._everywhere(asked), 4096))) >= 14
+    assert hits(search.exact_topk(index, asked, 5)) == brute_force(vectors, ids, queries, 5)
+
+
+def test_probed_lists_by_filter_and_by_join(spark, data, monkeypatch):
+    vectors, ids, queries = data
+    index, asked = frame(spark, vectors, "id", ids), frame(spark, queries, "query_id")
+    centroids = search.train_centroids(index, 8)
+    listed = search.assign_lists(index, centroids)
+    by_filter = hits(search.search_lists(listed, centroids, asked, 5, 2))
+    monkeypatch.setattr(search, "LISTED_LISTS", 1)
+    assert hits(search.search_lists(listed, centroids, asked, 5, 2)) == by_filter
 
 
 def test_centroids_in_blocks(spark, data):
@@ -148,3 +180,18 @@ def test_centroids_in_blocks(spark, data):
     assert len(whole) == 3 * len(ids)
     assert rows(search.nearest_lists(index, centroids, 3, max_lists=2)) == whole
     assert rows(search.nearest_lists(index, centroids, 3, max_lists=7)) == whole
+
+
+def test_probes_are_chosen_for_recall(spark, sf_dir, data):
+    from workload.queries import measured_recall
+
+    assert measured_recall(spark, sf_dir)[1] >= 0.9
+    vectors, ids, queries = data
+    index, asked = frame(spark, vectors, "id", ids), frame(spark, queries, "query_id")
+    centroids = search.train_centroids(index, 6)
+    listed = search.assign_lists(index, centroids)
+    exact = {(q, i) for q, _, i, _ in brute_force(vectors, ids, queries, 5)}
+    share = lambda n: len(exact & {(q, i) for q, _, i, _ in hits(search.search_lists(listed, centroids, asked, 5, n))}) / len(exact)
+    few = search.probes_for_recall(listed, centroids, asked, 0.8)
+    assert share(few) >= 0.8 and (few == 1 or share(few - 1) < 0.8)
+    assert share(search.probes_for_recall(listed, centroids, asked, 1.0)) == 1.0
