@@ -18,7 +18,8 @@ from pagewell.sources.documents import (
     read_manifest_files,
 )
 from pagewell.sources.ledger import visible_vectors
-from pagewell.sources.tables import index_rows, write_list_snapshot, write_snapshot
+from pagewell.sources.snapshots import publish_growing
+from pagewell.sources.tables import index_rows, write_list_snapshot
 from pagewell.streaming.backlog import DocumentLoader
 
 
@@ -60,8 +61,9 @@ def manifest_loader(
 def publish_index(
     spark: SparkSession, root: str, index_root: str, name: str, dim: int = EMBEDDING_DIM
 ) -> None:
-    """Normalise all visible vectors and publish them as snapshot ``name``."""
-    write_snapshot(index_rows(visible_vectors(spark, root)), index_root, name, dim)
+    """Publish all visible vectors, normalised, as snapshot ``name``. Vectors of batches
+    an earlier publish has written are not written again."""
+    publish_growing(spark, root, index_root, name, dim)
 
 
 def publish_lists(

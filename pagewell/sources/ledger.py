@@ -20,7 +20,7 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pagewell.operators.chunks import SEQUENCE
@@ -28,7 +28,7 @@ from pagewell.schemas import CHUNK_COLUMNS
 from pagewell.session import write_and_read
 from pagewell.settings import BROADCAST_ROWS, LISTED_BATCHES
 from pagewell.sources.documents import NOT_LANDED
-from pagewell.sources.tables import batch_folder, read_or_empty, replace_batch
+from pagewell.sources.tables import batch_folder, read_batch, read_or_empty, replace_batch
 
 LEDGER = (
     "document_id long, status string, chunks long, vectors long, reason string, batch_id string"
@@ -126,13 +126,9 @@ def commit(status: DataFrame, root: str, batch_id: str, last_id: int | None = No
     rows = status
     if "reason" not in rows.columns:
         rows = rows.withColumn("reason", F.lit(None).cast("string"))
-    seen = Observation()
-    observed = rows.select("document_id", "status", "chunks", "vectors", "reason").observe(
-        seen, F.min("document_id").alias("low"), F.max("document_id").alias("high"), F.count(F.lit(1)).alias("documents")
-    )
-    replace_batch(observed, folder, batch_id)
-    found = seen.get
-    row = (batch_id, (last or 0) + 1, found["low"], found["high"], found["documents"], last_id)
+    replace_batch(rows.select("document_id", "status", "chunks", "vectors", "reason"), folder, batch_id)
+    seen = read_batch(spark, folder, LEDGER, batch_id).agg(F.min("document_id"), F.max("document_id"), F.count(F.lit(1))).first()
+    row = (batch_id, (last or 0) + 1, *seen, last_id)
     spark.createDataFrame([row], COMMITS).coalesce(1).write.mode("append").parquet(os.path.join(root, "commits"))
 
 

@@ -21,11 +21,13 @@ from pyspark.sql import functions as F
 from pagewell.operators.chunks import dump_text
 from pagewell.schemas import CHUNK_COLUMNS, INDEX, INDEX_COLUMNS, VECTOR_COLUMNS
 from pagewell.session import write_and_read
-from pagewell.settings import EMBEDDING_DIM
+from pagewell.settings import BROADCAST_ROWS, EMBEDDING_DIM
 
 log = logging.getLogger(__name__)
 
-POINTER = "snapshot string, vectors long, dim int, published_at timestamp"
+POINTER = "snapshot string, vectors long, dim int, published_at timestamp, segments array<string>"
+SEGMENT = "id long, unit array<float>, document_id long, batch_id string"
+DEAD = "batch_id string, document_id long"
 
 
 def append_chunks(chunks: DataFrame, path: str) -> None:
@@ -62,29 +64,59 @@ def replace_batch(rows: DataFrame, path: str, batch_id: str) -> None:
     rows.drop("batch_id").write.mode("overwrite").parquet(batch_folder(path, batch_id))
 
 
-def index_rows(vectors: DataFrame) -> DataFrame:
-    """Index rows ``id, unit`` of stored vectors. Gives what ``unit_vector`` gives,
-    in less than half the time: array lambdas are interpreted entry by entry."""
+def index_rows(vectors: DataFrame, *keep: str) -> DataFrame:
+    """Index rows ``id, unit`` of stored vectors, and the columns in ``keep``. Gives what
+    ``unit_vector`` gives, in less than half the time: array lambdas are interpreted
+    entry by entry."""
     listed = vectors.select(
-        F.col("embedding_chunk_id").alias("id"), array_to_vector("embedding").alias("_vector")
+        F.col("embedding_chunk_id").alias("id"), array_to_vector("embedding").alias("_vector"), *keep
     )
     scaled = Normalizer(p=2.0, inputCol="_vector", outputCol="_unit").transform(listed)
-    return scaled.select("id", vector_to_array("_unit", "float32").alias("unit"))
+    return scaled.select("id", vector_to_array("_unit", "float32").alias("unit"), *keep)
+
+
+def check_unpublished(spark: SparkSession, root: str, name: str) -> None:
+    if not _pointers(spark, root).where(F.col("snapshot") == name).isEmpty():
+        raise ValueError(f"snapshot {name} is already published")
 
 
 def write_snapshot(index: DataFrame, root: str, name: str, dim: int = EMBEDDING_DIM) -> None:
     """Write a whole index as snapshot ``name`` and make it current. What an
     attempt that was not published left behind is replaced."""
     spark = index.sparkSession
-    if not _pointers(spark, root).where(F.col("snapshot") == name).isEmpty():
-        raise ValueError(f"snapshot {name} is already published")
+    check_unpublished(spark, root, name)
     folder = os.path.join(root, "snapshots", name)
     index.select(*INDEX_COLUMNS).write.mode("overwrite").parquet(folder)
     _publish(spark, root, name, spark.read.schema(INDEX).parquet(folder).count(), dim)
 
 
-def _publish(spark: SparkSession, root: str, name: str, vectors: int, dim: int) -> None:
-    pointer = spark.createDataFrame([(name, vectors, dim)], "snapshot string, vectors long, dim int")
+def segment_folder(root: str, name: str) -> str:
+    return os.path.join(root, "segments", name)
+
+
+def segment_rows(spark: SparkSession, root: str, segments: list[str]) -> DataFrame:
+    """All rows of segments, dead ones included."""
+    if not segments:
+        return spark.createDataFrame([], SEGMENT)
+    return spark.read.schema(SEGMENT).parquet(*[os.path.join(segment_folder(root, name), "rows") for name in segments])
+
+
+def live_rows(spark: SparkSession, root: str, name: str, segments: list[str]) -> DataFrame:
+    """The rows of segments, without those of the documents that are dead in snapshot ``name``."""
+    dead = read_or_empty(spark, os.path.join(root, "dead", name), DEAD)
+    if dead.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        dead = F.broadcast(dead)
+    rows = segment_rows(spark, root, segments).join(dead, ["batch_id", "document_id"], "left_anti")
+    return rows.select("id", "unit", "document_id", "batch_id")
+
+
+def publish_segments(spark: SparkSession, root: str, name: str, segments: list[str], dim: int) -> None:
+    """Make a list of written segments, less the written list of the dead, the current snapshot."""
+    _publish(spark, root, name, live_rows(spark, root, name, segments).count(), dim, segments)
+
+
+def _publish(spark: SparkSession, root: str, name: str, vectors: int, dim: int, segments: list[str] | None = None) -> None:
+    pointer = spark.createDataFrame([(name, vectors, dim, segments)], "snapshot string, vectors long, dim int, segments array<string>")
     pointer.withColumn("published_at", F.current_timestamp()).coalesce(1).write.mode(
         "append"
     ).parquet(os.path.join(root, "pointer"))
@@ -108,8 +140,7 @@ def write_list_snapshot(
     current. ``assign(index, centroids)`` gives each row its list. ``root`` holds
     list snapshots only."""
     spark = index.sparkSession
-    if not _pointers(spark, root).where(F.col("snapshot") == name).isEmpty():
-        raise ValueError(f"snapshot {name} is already published")
+    check_unpublished(spark, root, name)
     folder = os.path.join(root, "snapshots", name)
     centroids.select("list_id", "centroid").write.mode("overwrite").parquet(os.path.join(folder, "centroids"))
     write_listed_index(assign(index, centroids), os.path.join(folder, "lists"), mode="overwrite")
@@ -118,7 +149,7 @@ def write_list_snapshot(
 
 def read_list_snapshot(spark: SparkSession, root: str, dim: int = EMBEDDING_DIM) -> tuple[DataFrame, DataFrame]:
     """The current index by list, and its centroids."""
-    folder = os.path.join(root, "snapshots", _current(spark, root, dim))
+    folder = os.path.join(root, "snapshots", _current(spark, root, dim).snapshot)
     lists = spark.read.schema("id long, unit array<float>, list_id int").parquet(os.path.join(folder, "lists"))
     centroids = spark.read.schema("list_id int, centroid array<float>").parquet(os.path.join(folder, "centroids"))
     return require_dimension(lists, dim), centroids
@@ -136,19 +167,23 @@ def current_snapshot(spark: SparkSession, root: str):
 
 
 def read_snapshot(spark: SparkSession, root: str, dim: int = EMBEDDING_DIM) -> DataFrame:
-    """The current index; a snapshot of another dimension is an error."""
-    rows = spark.read.schema(INDEX).parquet(os.path.join(root, "snapshots", _current(spark, root, dim)))
+    """The current index, written whole or in segments; a snapshot of another
+    dimension is an error."""
+    pointer = _current(spark, root, dim)
+    if pointer.segments is not None:
+        return require_dimension(live_rows(spark, root, pointer.snapshot, list(pointer.segments)).select(*INDEX_COLUMNS), dim)
+    rows = spark.read.schema(INDEX).parquet(os.path.join(root, "snapshots", pointer.snapshot))
     return require_dimension(rows, dim)
 
 
-def _current(spark: SparkSession, root: str, dim: int) -> str:
-    """Name of the current snapshot, which must be of this dimension."""
+def _current(spark: SparkSession, root: str, dim: int):
+    """Pointer row of the current snapshot, which must be of this dimension."""
     pointer = current_snapshot(spark, root)
     if pointer is None:
         raise FileNotFoundError(f"no published snapshot in {root}")
     if pointer.dim != dim:
         raise ValueError(f"index dimension {pointer.dim}, expected {dim}")
-    return pointer.snapshot
+    return pointer
 
 
 def require_dimension(index: DataFrame, dim: int = EMBEDDING_DIM, column: str = "unit") -> DataFrame:

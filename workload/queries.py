@@ -23,6 +23,7 @@ from pagewell.settings import EMBEDDING_DIM, QUERY_TASK
 from pagewell.sources import documents as docs
 from pagewell.sources import ledger as lg
 from pagewell.sources import tables as tb
+from pagewell.sources.snapshots import publish_growing
 from pagewell.streaming.backlog import drain_backlog
 from pagewell.streaming.rounds import drain_papers
 from workload import adapters as ad
@@ -804,18 +805,45 @@ def j6(spark, sf):
     return chunks.select(F.lit("chunk").alias("kind"), "id").unionByName(stored.select(F.lit("vector").alias("kind"), "id"))
 
 
+def _commit_half(spark, sf, root, half):
+    """Two vectors to a document; the even or the odd documents as a committed batch."""
+    rows = ad.table(spark, sf, "embeddings").select(
+        F.col("vec_id").alias("id"), F.floor(F.col("vec_id") / 2).alias("document_id"), "embedding"
+    )
+    part = ingest.with_completeness(rows.where(F.col("document_id") % 2 == half), ad.VECTOR_DIM)
+    tb.replace_batch(part, os.path.join(root, "embedded"), f"b{half}")
+    lg.commit(ingest.document_status(part.select("document_id").distinct(), part), root, f"b{half}")
+
+
+@query("s6_growing_snapshot", f"""WITH {sql.UNITS}, gone AS (SELECT doc_id FROM labels WHERE toxic = 1)
+SELECT id, round(list_sum(unit), 5) AS total, CASE WHEN id // 2 % 2 = 0 THEN 'v1' ELSE 'v2' END AS segment
+FROM units WHERE id // 2 NOT IN (FROM gone)""")
+def s6_growing(spark, sf):
+    """Even documents are committed and published; then toxic ones are deleted and odd
+    documents committed. The second publish writes those only."""
+    root, index_root = work_folder(spark, "rounds"), work_folder(spark, "index")
+    _commit_half(spark, sf, root, 0)
+    publish_growing(spark, root, index_root, "v1", ad.VECTOR_DIM)
+    lg.delete_documents(spark, root, ad.table(spark, sf, "labels").where("toxic = 1").select(F.col("doc_id").alias("id")))
+    _commit_half(spark, sf, root, 1)
+    lg.delete_documents(spark, root, ad.table(spark, sf, "labels").where("toxic = 1").select(F.col("doc_id").alias("id")))
+    publish_growing(spark, root, index_root, "v2", ad.VECTOR_DIM)
+    written = None
+    for name in ("v1", "v2"):
+        part = tb.segment_rows(spark, index_root, [name]).select("id", F.lit(name).alias("segment"))
+        written = part if written is None else written.unionByName(part)
+    total = F.aggregate("unit", F.lit(0.0), lambda a, x: a + x)
+    index = tb.read_snapshot(spark, index_root, ad.VECTOR_DIM)
+    return index.join(written, "id").select("id", F.round(total, 5).alias("total"), "segment")
+
+
 @query("j6_delete_from_stored_tables", """WITH gone AS (SELECT doc_id FROM labels WHERE toxic = 1)
 SELECT vec_id AS id FROM embeddings WHERE vec_id // 2 NOT IN (FROM gone)""")
 def j6_stored(spark, sf):
     """Two vectors to a document, in two committed batches; toxic papers are deleted."""
     root = work_folder(spark, "rounds")
-    rows = ad.table(spark, sf, "embeddings").select(
-        F.col("vec_id").alias("id"), F.floor(F.col("vec_id") / 2).alias("document_id"), "embedding"
-    )
     for half in (0, 1):
-        part = ingest.with_completeness(rows.where(F.col("document_id") % 2 == half), ad.VECTOR_DIM)
-        tb.replace_batch(part, os.path.join(root, "embedded"), f"b{half}")
-        lg.commit(ingest.document_status(part.select("document_id").distinct(), part), root, f"b{half}")
+        _commit_half(spark, sf, root, half)
     lg.delete_documents(spark, root, ad.table(spark, sf, "labels").where("toxic = 1").select(F.col("doc_id").alias("id")))
     return lg.visible_vectors(spark, root).select("id")
 
