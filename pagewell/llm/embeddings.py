@@ -18,8 +18,8 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,9 +30,9 @@ COSINE = 0.9
 TARGET_RECALL = 0.99
 # Rows the codebooks and the margin are fitted on.
 SAMPLE_ROWS = 4096
-# Vectors a cell has on average, and nearest codewords of a half that are combined.
+# Vectors a cell has on average, and sums of distances compared at once.
 CELL_VECTORS = 32
-NEAREST = 24
+SUMS = 4_000_000
 # Vectors filed in, and looking into, one block of a cell.
 BASE_ROWS, QUERY_ROWS = 2048, 8192
 
@@ -110,56 +110,75 @@ class MultiIndex:
         row = np.arange(len(x))
         return d1[row, e1.argmin(1)] + d2[row, e2.argmin(1)] - d1.min(1) - d2.min(1)
 
-    def visits(self, x: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-        """The cell of each vector, and the cells it looks into (its own first)."""
+    def visits(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The cell of each vector, how many cells it looks into, and these, nearest
+        codeword of the first half first: all whose summed distance is within the margin."""
         d1, d2 = self._halves(x)
-        take = min(NEAREST, self.size)
-        o1, o2 = np.argsort(d1, axis=1)[:, :take], np.argsort(d2, axis=1)[:, :take]
+        o1, o2 = np.argsort(d1, axis=1), np.argsort(d2, axis=1)
         s1, s2 = np.take_along_axis(d1, o1, 1), np.take_along_axis(d2, o2, 1)
-        total = (s1[:, :, None] + s2[:, None, :]).reshape(len(x), -1)
-        cell = (o1[:, :, None] * self.size + o2[:, None, :]).reshape(len(x), -1)
-        near = total <= total[:, :1] + self.margin
-        near[:, 0] = True
-        return cell[:, 0].astype(np.int64), [c[n].astype(np.int64) for c, n in zip(cell, near)]
-
-
-def _matched(group: pd.DataFrame, cosine: float) -> pd.DataFrame:
+        s1, s2 = s1 - s1[:, :1], s2 - s2[:, :1]
+        # No cell of a codeword that is too far by itself can be within the margin.
+        n1, n2 = int((s1 <= self.margin).sum(1).max()), int((s2 <= self.margin).sum(1).max())
+        count, cells = [], []
+        step = max(1, SUMS // (n1 * n2))
+        for at in range(0, len(x), step):
+            part = slice(at, at + step)
+            near = s1[part, :n1, None] + s2[part, None, :n2] <= self.margin
+            cell = o1[part, :n1, None] * self.size + o2[part, None, :n2]
+            count.append(near.sum(axis=(1, 2)))
+            cells.append(cell[near])
+        return (o1[:, 0] * self.size + o2[:, 0]).astype(np.int64), np.concatenate(count), np.concatenate(cells).astype(np.int64)
+
+
+def _vectors(table: pa.Table) -> np.ndarray:
+    return _unit(np.asarray(table["v"].combine_chunks().flatten()).reshape(len(table), -1))
+
+
+def _unseen(base: pa.Table, homes: np.ndarray) -> np.ndarray:
+    """Which filed rows don't look into which of the cells ``homes`` (ascending)."""
+    visited = base["visited"].combine_chunks()
+    row = np.repeat(np.arange(len(base)), np.asarray(visited.value_lengths()))
+    cells = np.asarray(visited.flatten())
+    at = np.minimum(np.searchsorted(homes, cells), len(homes) - 1)
+    found = homes[at] == cells
+    unseen = np.ones((len(base), len(homes)), bool)
+    unseen[row[found], at[found]] = False
+    return unseen
+
+
+def _matched(group: pa.Table, cosine: float) -> pa.Table:
     """Counts and edges of one block: filed vectors against those that look in."""
-    base, query = group[group.filed], group[~group.filed]
-    empty = pd.DataFrame({"id": pd.Series(dtype="int64"), "links": pd.Series(dtype="int64"), "root": pd.Series(dtype="int64")})
-    if base.empty or query.empty:
-        return empty
-    cell = int(base.cell.iloc[0])
-    bi, qi = base.id.to_numpy(), query.id.to_numpy()
-    linked = _unit(np.stack(query.v.to_list())) @ _unit(np.stack(base.v.to_list())).T >= cosine
+    filed = group["filed"]
+    base, query = group.filter(filed), group.filter(pc.invert(filed))
+    names = ["id", "links", "root"]
+    if not len(base) or not len(query):
+        return pa.table([pa.array([], pa.int64())] * 3, names=names)
+    cell = base["cell"][0].as_py()
+    bi, qi = base["id"].to_numpy(), query["id"].to_numpy()
+    linked = _vectors(query) @ _vectors(base).T >= cosine
     linked &= qi[:, None] != bi[None, :]
-    qn = linked @ base.weight.to_numpy()
+    some_q, some_b = np.flatnonzero(linked.any(1)), np.flatnonzero(linked.any(0))
+    if not len(some_q):
+        return pa.table([pa.array([], pa.int64())] * 3, names=names)
+    part = linked[np.ix_(some_q, some_b)]
+    base, query = base.take(some_b), query.take(some_q)
+    qn = part @ base["weight"].to_numpy()
     # The filed one counts the pair too where it doesn't look into the other's cell itself.
-    home, bn = query.home.to_numpy(), np.zeros(len(base), np.int64)
-    for other in np.unique(home[home != cell]):
-        blind = np.array([other not in cells for cells in base.visited])
-        if blind.any():
-            rows = home == other
-            bn += blind * (query.weight.to_numpy()[rows] @ linked[rows])
+    homes, which = np.unique(query["home"].to_numpy(), return_inverse=True)
+    unseen = _unseen(base, homes) & (homes != cell)
+    bn = query["weight"].to_numpy() @ (part & unseen.T[which])
     # Smallest id reachable inside the block.
-    ql, bl = qi.copy(), bi.copy()
-    some_q, some_b = linked.any(1), linked.any(0)
-    part = linked[np.ix_(some_q, some_b)]
     top = np.iinfo(np.int64).max
-    a, b = ql[some_q], bl[some_b]
-    while len(a):
+    a, b = qi[some_q], bi[some_b]
+    while True:
         a2 = np.minimum(a, np.where(part, b[None, :], top).min(1))
         b2 = np.minimum(b, np.where(part, a2[:, None], top).min(0))
         done = (a2 == a).all() and (b2 == b).all()
         a, b = a2, b2
         if done:
             break
-    ql[some_q], bl[some_b] = a, b
-    out = pd.DataFrame({
-        "id": np.concatenate([qi[some_q], bi[some_b]]), "links": np.concatenate([qn[some_q], bn[some_b]]).astype(np.int64),
-        "root": np.concatenate([a, b]),
-    })
-    return out
+    columns = (np.concatenate([qi[some_q], bi[some_b]]), np.concatenate([qn, bn]).astype(np.int64), np.concatenate([a, b]))
+    return pa.table([pa.array(c) for c in columns], names=names)
 
 
 def _hint(df: DataFrame) -> DataFrame:
@@ -180,10 +199,11 @@ def _index_links(classes: DataFrame, dim: int, cosine: float, recall: float, sam
                 continue
             v = np.asarray(batch.column("v").flatten()).reshape(len(batch), dim)
             for at in range(0, len(batch), 1024):
-                home, visited = index.value.visits(_unit(v[at:at + 1024]))
+                home, count, cells = index.value.visits(_unit(v[at:at + 1024]))
                 part = batch.slice(at, 1024)
+                visited = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(count)), pa.int32()), pa.array(cells))
                 yield pa.RecordBatch.from_arrays(
-                    [*[part.column(c) for c in ("id", "v", "weight")], pa.array(home), pa.array(visited, pa.list_(pa.int64()))],
+                    [*[part.column(c) for c in ("id", "v", "weight")], pa.array(home), visited],
                     ["id", "v", "weight", "home", "visited"],
                 )
 
@@ -201,7 +221,7 @@ def _index_links(classes: DataFrame, dim: int, cosine: float, recall: float, sam
     base = placed.withColumn("cell", F.col("home")).join(blocks, "cell").select(*columns, "visited", one("nb").alias("kb"), every("nq").alias("kq"), F.lit(True).alias("filed"))
     query = placed.select("id", "v", "weight", "home", F.explode("visited").alias("cell"))
     query = query.join(blocks, "cell").select(*columns, F.lit(None).cast("array<long>").alias("visited"), every("nb").alias("kb"), one("nq").alias("kq"), F.lit(False).alias("filed"))
-    return base.unionByName(query).groupBy("cell", "kb", "kq").applyInPandas(
+    return base.unionByName(query).groupBy("cell", "kb", "kq").applyInArrow(
         lambda group: _matched(group, cosine), "id long, links long, root long"
     )
 
