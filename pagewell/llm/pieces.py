@@ -17,8 +17,8 @@ from __future__ import annotations
 import codecs
 import heapq
 import re
+from array import array
 from functools import lru_cache
-from itertools import chain, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +35,8 @@ REMEMBERED_WORDS = 500_000
 SHORT = 48
 SIDE_BY_SIDE = 8192
 _NONE = np.iinfo(np.int32).max
+# Stands for a control id; a lone surrogate, which no piece or byte is.
+_BREAK = "\ud800"
 
 
 def _each_byte(error):
@@ -42,7 +44,8 @@ def _each_byte(error):
 
 
 class MergeVocabulary(dict):
-    """Pieces and scores of a model, and the ids of the words met so far (the dict)."""
+    """Pieces and scores of a model, and the ids of the words met so far (the dict), as
+    little-endian unsigned 32-bit integers."""
 
     def __init__(self, model: bytes):
         super().__init__()
@@ -63,8 +66,7 @@ class MergeVocabulary(dict):
         said = {i: lib.id_to_piece(i).replace(MARK, " ") for i in plain}
         said |= {i: chr(b) if b < 128 else chr(0xDC00 + b) for b, i in enumerate(self.byte_ids)}
         said[lib.unk_id()] = " ⁇ "
-        self.said = [said.get(i, "") for i in ids]
-        self.is_control = frozenset(i for i in ids if lib.is_control(i)).__contains__
+        self.said = [said.get(i, _BREAK) for i in ids]
 
     def _symbol(self, text: str) -> int | None:
         """The number of a symbol: its id if it is a piece, and one of its own if it is
@@ -82,7 +84,7 @@ class MergeVocabulary(dict):
                 if a is not None and b is not None:
                     splits.append((a * self.base + b, i))
         keys, self.made = np.array(sorted(splits), np.int64).reshape(-1, 2).T
-        self.keys = np.append(keys, np.iinfo(np.int64).max)
+        self.pair_keys = np.append(keys, np.iinfo(np.int64).max)
         self.made = np.append(self.made, -1)
         score = np.array([self.rank[p] for p in self.id_of])
         rank = dict(zip(self.id_of.values(), np.unique(score, return_inverse=True)[1].tolist()))
@@ -91,8 +93,8 @@ class MergeVocabulary(dict):
     def _pair(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Where the pairs of symbols are among all pairs; the last place for those that are none."""
         key = a.astype(np.int64) * self.base + b
-        at = np.searchsorted(self.keys, key)
-        return np.where(self.keys[at] == key, at, len(self.keys) - 1)
+        at = np.searchsorted(self.pair_keys, key)
+        return np.where(self.pair_keys[at] == key, at, len(self.pair_keys) - 1)
 
     def side_by_side(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The symbols all words end as, in one array, and how many each has."""
@@ -107,7 +109,7 @@ class MergeVocabulary(dict):
         left = np.tile(np.arange(-1, width, dtype=np.int32), (n, 1))
         right = np.tile(np.arange(1, width + 2, dtype=np.int32), (n, 1))
         right[:, -1] = width
-        pair = np.full((n, width + 1), len(self.keys) - 1)
+        pair = np.full((n, width + 1), len(self.pair_keys) - 1)
         pair[:, :-1] = self._pair(symbols[:, :-1], symbols[:, 1:])
         agenda = self.pair_rank[pair]
         row = np.arange(n)
@@ -131,24 +133,26 @@ class MergeVocabulary(dict):
         live = symbols >= 0
         return symbols[live], live.sum(axis=1)
 
-    def _ids(self, symbols: list[int]) -> tuple[int, ...]:
+    def _packed(self, symbols: list[int]) -> bytes:
         """Ids of symbols; characters that are no piece become their bytes."""
-        if max(symbols) < self.others:
-            return tuple(symbols)
-        return tuple(i for s in symbols for i in ([s] if s < self.others else [self.byte_ids[b] for b in chr(s - self.others).encode()]))
+        ids = (i for s in symbols for i in ([s] if s < self.others else [self.byte_ids[b] for b in chr(s - self.others).encode()]))
+        return np.fromiter(ids, "<u4").tobytes()
 
     def learn(self, words: set[str]) -> None:
         """Merge the words that are not known yet. Words are given without their first mark."""
-        new = sorted((w for w in words if w not in self and len(w) < SHORT), key=len)
+        new = [w for w in words - self.keys() if len(w) < SHORT]
+        new.sort(key=len)
         for at in range(0, len(new), SIDE_BY_SIDE):
             part = new[at:at + SIDE_BY_SIDE]
             symbols, count = self.side_by_side([MARK + w for w in part])
-            flat, end = symbols.tolist(), np.cumsum(count).tolist()
-            for w, start, stop in zip(part, [0, *end], end):
-                self[w] = self._ids(flat[start:stop])
+            end = np.cumsum(count)
+            packed, stops = symbols.astype("<u4").tobytes(), (4 * end).tolist()
+            self.update(zip(part, (packed[a:b] for a, b in zip([0, *stops], stops))))
+            for k in np.flatnonzero(np.add.reduceat(symbols >= self.others, end - count)):
+                self[part[k]] = self._packed(symbols[end[k] - count[k]:end[k]].tolist())
 
-    def __missing__(self, rest: str) -> tuple[int, ...]:
-        return self._ids([self._symbol(s) for s in self.by_heap(MARK + rest)])
+    def __missing__(self, rest: str) -> bytes:
+        return self._packed([self._symbol(s) for s in self.by_heap(MARK + rest)])
 
     def by_heap(self, word: str) -> list[str]:
         """The symbols a word ends as, by a heap of (score, place) over linked symbols."""
@@ -178,11 +182,11 @@ class MergeVocabulary(dict):
             note(a, right[a])
         return [s for s in symbols if s is not None]
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        """The ids of texts, without begin and end."""
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of texts, without begin and end, packed as the dict holds them."""
         split = [self._words(t) if t else [] for t in texts]
         self.learn(set().union(*split))
-        out = [list(chain.from_iterable(map(self.__getitem__, words))) for words in split]
+        out = [b"".join(map(self.__getitem__, words)) for words in split]
         if len(self) > REMEMBERED_WORDS:
             self.clear()
         return out
@@ -194,10 +198,10 @@ class MergeVocabulary(dict):
     def decode(self, ids: list[int]) -> str:
         """The text of ids. Control ids say nothing, bytes between two of them that are no
         UTF-8 become U+FFFD one by one, and the space put in front is taken away."""
-        runs = [list(run) for control, run in groupby(ids, self.is_control) if not control]
-        parts = ["".join(map(self.said.__getitem__, run)) for run in runs]
+        parts = "".join(map(self.said.__getitem__, ids)).split(_BREAK)
         text = "".join(p if p.isascii() else p.encode("utf-8", "surrogateescape").decode("utf-8", "each_byte") for p in parts)
-        return text[1:] if runs and self.library.id_to_piece(runs[0][0]).startswith(MARK) else text
+        first = next((i for i in ids if self.said[i] != _BREAK), None)
+        return text[1:] if first is not None and self.library.id_to_piece(first).startswith(MARK) else text
 
 
 @lru_cache(maxsize=1)
@@ -221,18 +225,18 @@ def encode_texts(docs: DataFrame, model: bytes) -> DataFrame:
     def code(batches):
         vocabulary = vocabulary_of(model)
         lib = vocabulary.library
-        begin, end = lib.bos_id(), lib.eos_id()
+        begin, end = (np.array([i], "<u4").tobytes() for i in (lib.bos_id(), lib.eos_id()))
         for batch in batches:
             for a, b in bw.slices(np.diff(bw.text_bytes(batch.column("text"))[1])):
                 texts = [t or "" for t in batch.column("text").slice(a, b - a).to_pylist()]
-                ids = [[begin, *i, end] for i in vocabulary.encode(texts)]
-                decoded = [vocabulary.decode(i) for i in ids]
+                ids = [begin + i + end for i in vocabulary.encode(texts)]
+                decoded = [vocabulary.decode(np.frombuffer(i, "<u4").tolist()) for i in ids]
                 wanted = lib.encode(texts, add_bos=True, add_eos=True, num_threads=1)
-                agrees = [x == y and s == t for x, y, s, t in zip(ids, wanted, decoded, lib.decode(wanted, num_threads=1))]
+                said = lib.decode(wanted, num_threads=1)
+                agrees = [x == array("I", y).tobytes() and s == t for x, y, s, t in zip(ids, wanted, decoded, said)]
                 yield pa.RecordBatch.from_arrays([
-                    batch.column("doc_id").slice(a, b - a), pa.array(map(len, ids), pa.int64()),
-                    pa.array([np.array(i, "<u4").tobytes() for i in ids], pa.binary()),
-                    pa.array(decoded, pa.string()), pa.array(agrees, pa.bool_()),
+                    batch.column("doc_id").slice(a, b - a), pa.array([len(i) // 4 for i in ids], pa.int64()),
+                    pa.array(ids, pa.binary()), pa.array(decoded, pa.string()), pa.array(agrees, pa.bool_()),
                 ], ["doc_id", "n_tokens", "ids", "decoded", "agrees"])
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
