@@ -21,8 +21,8 @@ from pagewell.llm.common import BROADCAST_ROWS, written
 
 # Most labelled rows the trees are fitted on; a quarter of them calibrates.
 TRAIN_ROWS = 16_000
-# Documents a lexicon word must be in, words of the lexicon, words that count as near.
-LEXICON_DOCS, LEXICON_WORDS, NEAR_WORDS = 8, 2000, 6
+# Documents a lexicon word must be in, words that count as near.
+LEXICON_DOCS, NEAR_WORDS = 8, 6
 # Bytes of the word beginnings that may be lexicon entries too.
 STEMS = (4, 6, 7)
 TREES, DEPTH, RATE, BINS = 90, 3, 0.15, 48
@@ -143,26 +143,57 @@ def text_features(texts: pa.Array, lexicon: np.ndarray, address: np.ndarray) ->
     return out
 
 
+def _runs(words: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the three-word runs of each row (of all its words, if it has fewer), and their rows."""
+    n = np.diff(at)
+    row = np.repeat(np.arange(len(n)), n)
+    size = np.minimum(n, 3)[row]
+    runs = words
+    for k in (1, 2):
+        following = np.concatenate([words[k:], words[:k]])
+        runs = np.where(size > k, bw.mix64(runs * np.uint64(0x9E3779B97F4A7C15) + following), runs)
+    whole = at[1:][row] - np.arange(len(words)) >= size
+    return runs[whole], row[whole]
+
+
 def _signatures(docs: DataFrame) -> DataFrame:
-    """``doc_id, k1, k2``: two smallest hashes of the three-word runs of each text, near copies mostly share them."""
+    """``doc_id, toxic, k1, k2, runs``: the distinct three-word runs of each text as hashes, and two
+    smallest ones by different orders, which near copies mostly share."""
 
     def run(batches):
         for batch in batches:
-            keys = np.zeros((len(batch), 2), np.uint64)
-            for start, rows, raw, offsets in _slices(batch.column(1)):
-                words, at = bw.word_hashes(bw.ascii_lowered(raw), offsets, _IS_WORD)
-                runs = words.copy()
-                for k in (1, 2):
-                    runs[:-k or None] = bw.mix64(runs[:-k or None] * np.uint64(0x9E3779B97F4A7C15) + words[k:])
-                some = np.flatnonzero(np.diff(at))
-                if len(some):
-                    for k, salt in enumerate((0x51ED270B, 0xA3C59AC3)):
-                        keys[start + some, k] = np.minimum.reduceat(bw.mix64(runs ^ np.uint64(salt)), at[some])
+            keys, sets = np.zeros((len(batch), 2), np.uint64), [np.zeros(0, np.uint64)] * len(batch)
+            for start, rows, raw, offsets in _slices(batch.column(2)):
+                runs, row = _runs(*bw.word_hashes(bw.ascii_lowered(raw), offsets, _IS_WORD))
+                order = np.lexsort((runs, row))
+                runs, row = runs[order], row[order]
+                first = np.flatnonzero(np.diff(row, prepend=-1))
+                for place, part in zip(row[first].tolist(), np.split(runs, first[1:])):
+                    sets[start + place] = np.unique(part)
+                for k, salt in enumerate((0x51ED270B, 0xA3C59AC3)):
+                    if len(first):
+                        keys[start + row[first], k] = np.minimum.reduceat(bw.mix64(runs ^ np.uint64(salt)), first)
+            ends = pa.array(np.cumsum([0] + [len(x) for x in sets]), pa.int32())
+            flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.ascontiguousarray(keys[:, 0]).view(np.int64)),
-                 pa.array(np.ascontiguousarray(keys[:, 1]).view(np.int64))], ["doc_id", "k1", "k2"])
+                [batch.column(0), batch.column(1), *[pa.array(np.ascontiguousarray(keys[:, k]).view(np.int64)) for k in (0, 1)],
+                 pa.ListArray.from_arrays(ends, pa.array(flat.view(np.int64)))], ["doc_id", "toxic", "k1", "k2", "runs"])
+
+    columns = docs.select("doc_id", F.col("toxic").cast("long").alias("toxic"), "text")
+    return columns.mapInArrow(run, "doc_id long, toxic long, k1 long, k2 long, runs array<long>")
+
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, k1 long, k2 long")
+def _without_near_copies(marked: DataFrame, key: str) -> DataFrame:
+    """The rows that are no near copy, of the same label, of the smallest id with their ``key``.
+    The sets of runs are compared: three quarters of their union are shared."""
+    first = marked.groupBy(key, "toxic").agg(F.min("doc_id").alias("_first"), F.max("doc_id").alias("_last")).where("_first < _last")
+    beside = marked.join(first.drop("_last"), [key, "toxic"]).where("doc_id > _first").select("doc_id", "_first", "runs")
+    leaders = marked.join(first.select(F.col("_first").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    leaders = leaders.select(F.col("doc_id").alias("_first"), F.col("runs").alias("_runs"))
+    shared = F.size(F.array_intersect("runs", "_runs"))
+    near = 4 * shared >= 3 * (F.size("runs") + F.size("_runs") - shared)
+    copies = written(beside.join(leaders, "_first").where(near).select("doc_id").distinct(), "copies")
+    return marked.join(_hint(copies), "doc_id", "left_anti")
 
 
 def _hint(df: DataFrame) -> DataFrame:
@@ -170,20 +201,21 @@ def _hint(df: DataFrame) -> DataFrame:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``doc_id, toxic, text`` of labelled documents outside the held-out third,
-    one of each group of near copies."""
+    """``doc_id, toxic, text`` of labelled documents outside the held-out third. Of near copies with
+    one label the one with the smallest id stands for all; every other row stays."""
     usable = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     label = written(usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), "labels")
     text = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     marked = written(_signatures(text.join(_hint(label), "doc_id")), "signatures")
-    ids = marked.groupBy("k1").agg(F.min_by(F.struct("doc_id", "k2"), "doc_id").alias("r")).groupBy("r.k2").agg(F.min("r.doc_id").alias("doc_id"))
-    chosen = written(ids.join(label, "doc_id").select("doc_id", "toxic"), "chosen")
+    # A second pass over what is left, by another order, finds copies that miss the first.
+    kept = written(_without_near_copies(marked, "k1"), "signatures")
+    chosen = written(_without_near_copies(kept, "k2").select("doc_id", "toxic").distinct(), "chosen")
     return text.join(_hint(chosen), "doc_id")
 
 
 def learn_lexicon(rows: DataFrame) -> np.ndarray:
     """Hashes of words, and codes of word beginnings, that stand in toxic documents far more often than chance,
-    by the lower bound of their toxic share. Counts cover all given rows."""
+    by the lower bound of their toxic share. Counts cover all given rows; all that pass are kept, eight bytes each."""
 
     def run(batches):
         for batch in batches:
@@ -211,8 +243,7 @@ def learn_lexicon(rows: DataFrame) -> np.ndarray:
     p, n, z = F.col("bad") / F.col("n"), F.col("n"), 2.6
     lower = (p + z * z / (2 * n) - z * F.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
     found = counts.where(F.col("n") >= LEXICON_DOCS).select("word", lower.alias("lower")).where(F.col("lower") > base + 0.12)
-    top = found.orderBy(F.desc("lower"), "word").limit(LEXICON_WORDS).collect()
-    return np.sort(np.array([r.word for r in top], np.int64).view(np.uint64))
+    return np.sort(found.select("word").toArrow()["word"].to_numpy().astype(np.int64).view(np.uint64))
 
 
 class BoostedTrees:
