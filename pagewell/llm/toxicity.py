@@ -183,17 +183,19 @@ def _signatures(docs: DataFrame) -> DataFrame:
     return columns.mapInArrow(run, "doc_id long, toxic long, k1 long, k2 long, runs array<long>")
 
 
-def _without_near_copies(marked: DataFrame, key: str) -> DataFrame:
-    """The rows that are no near copy, of the same label, of the smallest id with their ``key``.
-    The sets of runs are compared: three quarters of their union are shared."""
-    first = marked.groupBy(key, "toxic").agg(F.min("doc_id").alias("_first"), F.max("doc_id").alias("_last")).where("_first < _last")
-    beside = marked.join(first.drop("_last"), [key, "toxic"]).where("doc_id > _first").select("doc_id", "_first", "runs")
-    leaders = marked.join(first.select(F.col("_first").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    leaders = leaders.select(F.col("doc_id").alias("_first"), F.col("runs").alias("_runs"))
+def _near_copies(marked: DataFrame, alive: DataFrame, key: str) -> DataFrame:
+    """``doc_id`` of the rows of ``alive`` that are a near copy, of the same label, of the smallest id with
+    their ``key``. The sets of runs are compared: three quarters of their union are shared.
+    Only the sets of rows that have such a row beside them are read on."""
+    group = [key, "toxic"]
+    first = alive.groupBy(*group).agg(F.min("doc_id").alias("_first"), F.max("doc_id").alias("_last")).where("_first < _last")
+    pairs = written(alive.select("doc_id", *group).join(first, group).where("doc_id > _first").select("doc_id", "_first").distinct(), "pairs")
+    leaders = _hint(written(pairs.select(F.col("_first").alias("doc_id")).distinct(), "leaders"))
+    leaders = marked.join(leaders, "doc_id", "left_semi").select(F.col("doc_id").alias("_first"), F.col("runs").alias("_runs"))
+    beside = marked.select("doc_id", "runs").join(_hint(pairs), "doc_id")
     shared = F.size(F.array_intersect("runs", "_runs"))
     near = 4 * shared >= 3 * (F.size("runs") + F.size("_runs") - shared)
-    copies = written(beside.join(leaders, "_first").where(near).select("doc_id").distinct(), "copies")
-    return marked.join(_hint(copies), "doc_id", "left_anti")
+    return written(beside.join(leaders, "_first").where(near).select("doc_id").distinct(), "copies")
 
 
 def _hint(df: DataFrame) -> DataFrame:
@@ -207,9 +209,11 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     label = written(usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), "labels")
     text = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     marked = written(_signatures(text.join(_hint(label), "doc_id")), "signatures")
-    # A second pass over what is left, by another order, finds copies that miss the first.
-    kept = written(_without_near_copies(marked, "k1"), "signatures")
-    chosen = written(_without_near_copies(kept, "k2").select("doc_id", "toxic").distinct(), "chosen")
+    alive = marked.select("doc_id", "toxic", "k1", "k2")
+    # The second pass over what is left, by another order, finds copies that miss the first.
+    for key in ("k1", "k2"):
+        alive = alive.join(_hint(_near_copies(marked, alive, key)), "doc_id", "left_anti")
+    chosen = written(alive.select("doc_id", "toxic").distinct(), "chosen")
     return text.join(_hint(chosen), "doc_id")
 
 
