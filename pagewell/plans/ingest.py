@@ -29,12 +29,14 @@ from pagewell.settings import BATCH_SIZE, EMBEDDING_DIM, ID_STRIDE, MIN_CHUNK_CH
 
 @dataclass(frozen=True)
 class Embedding:
-    """A model: its name, its batch function factory, and what it expects."""
+    """A model: its name, its batch function factory, and what it expects. With
+    ``reuse`` rounds of ingest send it only texts it has no filed vector for (``plans/reuse.py``)."""
 
     model: str
     embedder: object
     dim: int = EMBEDDING_DIM
     batch_size: int = BATCH_SIZE
+    reuse: bool = False
 
 
 def embed_chunks(chunks: DataFrame, embedding: Embedding) -> DataFrame:
@@ -44,19 +46,21 @@ def embed_chunks(chunks: DataFrame, embedding: Embedding) -> DataFrame:
     )
 
 
-def plan_ingest(
+def plan_chunks(
     documents: DataFrame, embedding: Embedding, min_chars: int = MIN_CHUNK_CHARS,
     stride: int = ID_STRIDE, ids=chunk_id_or_null, first: int = 1,
 ) -> DataFrame:
-    """Chunk rows with ``embedding`` and ``complete`` (id and vector are usable), from
-    ``document_id, pages``. ``ids`` is the id scheme; a document to which it
+    """Chunk rows from ``document_id, pages``. ``ids`` is the id scheme; a document to which it
     gives no ids ends as ``unnumbered``, and the others of its round are kept. With
     ``SEQUENCE`` ids count up from ``first``, which costs a shuffle of counts."""
     if ids == SEQUENCE:
-        chunks = chunk_sequence(documents, embedding.model, first, min_chars=min_chars)
-    else:
-        chunks = chunk_documents(documents, embedding.model, min_chars=min_chars, stride=stride, ids=ids)
-    return with_completeness(embed_chunks(chunks, embedding), embedding.dim)
+        return chunk_sequence(documents, embedding.model, first, min_chars=min_chars)
+    return chunk_documents(documents, embedding.model, min_chars=min_chars, stride=stride, ids=ids)
+
+
+def plan_ingest(documents: DataFrame, embedding: Embedding, **numbering) -> DataFrame:
+    """The rows of :func:`plan_chunks` with ``embedding`` and ``complete`` (id and vector are usable)."""
+    return with_completeness(embed_chunks(plan_chunks(documents, embedding, **numbering), embedding), embedding.dim)
 
 
 def with_completeness(embedded: DataFrame, dim: int = EMBEDDING_DIM) -> DataFrame:

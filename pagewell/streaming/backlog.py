@@ -19,7 +19,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from pagewell.operators.chunks import SEQUENCE, chunk_id_or_null
 from pagewell.operators.papers import is_pending, split_by_source, without_processed
-from pagewell.plans.ingest import Embedding, document_status, plan_ingest
+from pagewell.plans.ingest import Embedding, document_status, plan_chunks
+from pagewell.plans.reuse import ingest_vectors
 from pagewell.schemas import PAPERS
 from pagewell.session import write_and_read
 from pagewell.sources.ledger import (
@@ -72,7 +73,8 @@ def ingest_round(
     readable = paged.where(F.col("reason").isNull())
 
     first = next_chunk_id(spark, root) if ids == SEQUENCE else 1
-    replace_batch(plan_ingest(readable, embedding, ids=ids, first=first), os.path.join(root, "embedded"), batch_id)
+    rows = ingest_vectors(plan_chunks(readable, embedding, ids=ids, first=first), embedding, root, batch_id)
+    replace_batch(rows, os.path.join(root, "embedded"), batch_id)
     embedded = read_batch(spark, os.path.join(root, "embedded"), EMBEDDED, batch_id)
 
     status = document_status(readable, embedded).withColumn("reason", F.lit(None).cast("string"))

@@ -17,14 +17,14 @@ from pagewell.operators import integrity, numbering
 from pagewell.operators import papers as pp
 from pagewell.operators import responses as rs
 from pagewell.operators import search
-from pagewell.plans import exchange, ingest, retrieve
+from pagewell.plans import exchange, ingest, retrieve, reuse
 from pagewell.session import work_folder, write_and_read
 from pagewell.settings import EMBEDDING_DIM, QUERY_TASK
 from pagewell.sources import documents as docs
 from pagewell.sources import ledger as lg
 from pagewell.sources import tables as tb
 from pagewell.sources.snapshots import publish_growing
-from pagewell.streaming.backlog import drain_backlog
+from pagewell.streaming.backlog import drain_backlog, ingest_round
 from pagewell.streaming.rounds import drain_papers
 from workload import adapters as ad
 from workload import oracle as sql
@@ -560,6 +560,49 @@ def x2(spark, sf):
     return _nonzero(retrieve.embed_queries(ad.questions(spark, sf), TEXT_MODEL), "query_id", "unit")
 
 
+def _two_batches(spark, sf):
+    """Chunks of documents with a label, then of all documents, by one model: both
+    tables of chunks, the vectors of the second, and the folder."""
+    root = work_folder(spark, "content")
+    every = write_and_read(_whole_chunks(spark, sf), "chunks")
+    labelled = every.join(ad.table(spark, sf, "labels").select(F.col("doc_id").alias("document_id")).distinct(), "document_id", "left_semi")
+    write_and_read(reuse.embed_reusing(labelled, TEXT_MODEL, root, "1"), "first")
+    return labelled, every, reuse.embed_reusing(every, TEXT_MODEL, root, "2"), root
+
+
+@query("x1_reused_vectors", f"""WITH {sql.WHOLE_CHUNKS}, s AS {sql.slots('chunks', 'id', 'chunk_text', TEXT_DIM)}
+SELECT id, slot::INTEGER AS slot, n::DOUBLE AS value FROM s""")
+def x1_reused(spark, sf):
+    """Vectors of all chunks, some of them filed by an earlier batch."""
+    return _nonzero(_two_batches(spark, sf)[2].select("id", "embedding"), "id", "embedding")
+
+
+@query("x1_texts_sent", f"""WITH {sql.WHOLE_CHUNKS},
+first AS (SELECT * FROM chunks WHERE document_id IN (SELECT doc_id FROM labels))
+SELECT '1' AS batch, count(*) AS chunks, count(DISTINCT chunk_text) AS sent FROM first
+UNION ALL SELECT '2', count(*), count(DISTINCT chunk_text) FILTER (WHERE chunk_text NOT IN (SELECT chunk_text FROM first)) FROM chunks""")
+def x1_sent(spark, sf):
+    """Chunks of two batches, and how many texts the model was given for each."""
+    first, second, _, root = _two_batches(spark, sf)
+    sent = spark.read.schema(reuse.CONTENT).parquet(reuse.content_folder(root, MODEL)).groupBy(
+        F.split("batch_id", "-")[0].alias("batch")
+    ).agg(F.count(F.lit(1)).alias("sent"))
+    counts = first.select(F.lit("1").alias("batch")).unionByName(second.select(F.lit("2").alias("batch"))).groupBy("batch").agg(F.count(F.lit(1)).alias("chunks"))
+    return counts.join(sent, "batch", "left").na.fill(0, ["sent"]).select("batch", "chunks", "sent")
+
+
+@query("x1_moved_to_model", f"""WITH {sql.PAGED_CHUNKS}, s AS {sql.slots('chunks', 'id', 'chunk_text', 64)}
+SELECT id, 'smaller' AS model, slot::INTEGER AS slot, n::DOUBLE AS value FROM s JOIN chunks USING (id)
+WHERE document_id % 5 <> 0 AND document_id % 4 <> 3""")
+def x1_moved(spark, sf):
+    """Papers ingested with one model, then moved to another of fewer dimensions."""
+    root = work_folder(spark, "moved")
+    ingest_round(ad.papers(spark, sf), root, "first", _nested_loader(sf), TEXT_MODEL)
+    reuse.reembed(spark, root, "second", ingest.Embedding("smaller", token_hash_embedder(64), 64, reuse=True))
+    moved = reuse.vectors_of_model(spark, root, "smaller")
+    return _nonzero(moved, "id", "embedding").select("id", F.lit("smaller").alias("model"), "slot", "value")
+
+
 def _nonzero(df, key, column):
     entries = df.select(key, F.posexplode(column).alias("slot", "value"))
     return entries.where("value <> 0").withColumn("value", F.round(F.col("value").cast("double"), 5))
