@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pagewell.functions.messages import embedding_request
 from pagewell.operators.chunks import batch_documents, chunk_id_or_null
 from pagewell.operators.responses import keep_prefix, pair_vectors, parse_responses
-from pagewell.plans.ingest import document_status, with_completeness
+from pagewell.plans.ingest import UNNUMBERED, document_status, with_completeness
 from pagewell.schemas import CHUNK_COLUMNS
 from pagewell.session import write_and_read
 from pagewell.settings import BATCH_SIZE, EMBEDDING_DIM
@@ -95,4 +95,4 @@ def commit_responses(
     embedded = with_completeness(open_chunks.join(vectors.dropDuplicates(["id"]), "id", "left"), dim)
     replace_batch(embedded.select(*CHUNK_COLUMNS, "page_pos", "embedding", "complete"), folder, batch_id)
     written = read_batch(spark, folder, EMBEDDED, batch_id)
-    commit(document_status(documents, written), root, batch_id)
+    commit(document_status(documents, written, UNNUMBERED), root, batch_id)

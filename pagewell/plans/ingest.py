@@ -9,8 +9,8 @@
 Chunks and vectors share one Parquet folder: a reader of either column set
 scans only its own columns, and the embedding model runs once. A document is
 ``done`` if every kept chunk got a vector of the right dimension, ``empty`` if it
-has no kept chunk, ``unnumbered`` if the id scheme has no id for a chunk of it, and
-``incomplete`` otherwise. Which documents can be seen is
+has no kept chunk, and ``incomplete`` otherwise; the ledger calls it ``unnumbered`` if the
+id scheme has no id for a chunk of it. Which documents can be seen is
 decided by the ledger alone, see ``sources/ledger.py``.
 """
 
@@ -26,6 +26,8 @@ from pagewell.functions.vectors import has_dimension
 from pagewell.operators.chunks import SEQUENCE, chunk_documents, chunk_id_or_null, chunk_sequence
 from pagewell.settings import BATCH_SIZE, EMBEDDING_DIM, ID_STRIDE, MIN_CHUNK_CHARS
 
+UNNUMBERED = "unnumbered"
+
 
 @dataclass(frozen=True)
 class Embedding:
@@ -68,9 +70,10 @@ def with_completeness(embedded: DataFrame, dim: int = EMBEDDING_DIM) -> DataFram
     return embedded.withColumn("complete", usable & F.col("id").isNotNull() if "id" in embedded.columns else usable)
 
 
-def document_status(documents: DataFrame, embedded: DataFrame) -> DataFrame:
+def document_status(documents: DataFrame, embedded: DataFrame, without_ids: str = "incomplete") -> DataFrame:
     """``document_id, status, chunks, vectors`` for every document. Counts are
-    made before the shuffle; only they are joined."""
+    made before the shuffle; only they are joined. ``without_ids`` is the status of
+    documents with a chunk that has no id; in the ledger it is ``UNNUMBERED``, which is final."""
     without_id = F.col("id").isNull() if "id" in embedded.columns else F.lit(False)
     counts = embedded.groupBy("document_id").agg(
         F.count(F.lit(1)).alias("chunks"), F.count_if(F.col("complete")).alias("vectors"), F.count_if(without_id).alias("_without")
@@ -78,7 +81,7 @@ def document_status(documents: DataFrame, embedded: DataFrame) -> DataFrame:
     status = (
         F.when(F.col("chunks") == 0, "empty")
         .when(F.col("chunks") == F.col("vectors"), "done")
-        .when(F.col("_without") > 0, "unnumbered")
+        .when(F.col("_without") > 0, without_ids)
         .otherwise("incomplete")
     )
     return (

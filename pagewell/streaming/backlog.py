@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from pagewell.operators.chunks import SEQUENCE, chunk_id_or_null
 from pagewell.operators.papers import is_pending, split_by_source, without_processed
-from pagewell.plans.ingest import Embedding, document_status, plan_chunks
+from pagewell.plans.ingest import UNNUMBERED, Embedding, document_status, plan_chunks
 from pagewell.plans.reuse import ingest_vectors
 from pagewell.schemas import PAPERS
 from pagewell.session import write_and_read
@@ -77,7 +77,7 @@ def ingest_round(
     replace_batch(rows, os.path.join(root, "embedded"), batch_id)
     embedded = read_batch(spark, os.path.join(root, "embedded"), EMBEDDED, batch_id)
 
-    status = document_status(readable, embedded).withColumn("reason", F.lit(None).cast("string"))
+    status = document_status(readable, embedded, UNNUMBERED).withColumn("reason", F.lit(None).cast("string"))
     rejected = (
         paged.where(F.col("reason").isNotNull()).select("document_id", "reason")
         .unionByName(unknown.select(F.col("id").alias("document_id"), "reason"))
