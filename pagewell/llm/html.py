@@ -39,10 +39,17 @@ UNWANTED = frozenset(
 AROUND = frozenset("html body main article".split())
 NEUTRAL = frozenset("no has with without".split())
 WANTED = frozenset("article content main post entry story body text".split())
+# Elements that hold a text of their own: of a hyphenated name they have within an article, single words say nothing.
+TEXT_TAGS = frozenset("p pre blockquote h1 h2 h3 h4 h5 h6 li dt dd td th figcaption".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+# Words that are all there is, beside a number, in the heading over what readers wrote.
+COMMENT_HEADINGS = frozenset("comment comments reply replies responses kommentar kommentare commentaire commentaires comentario comentarios".split())
 
 # Log-odds of the classifier.
 BIAS, IN_ARTICLE, IN_MAIN, PARAGRAPH, HEADING, WANTED_NAME = -1.0, 4.0, 2.5, 1.2, 0.4, 1.5
 IN_OUTSIDE, UNWANTED_NAME, IN_HEADER, LINKED, LONG, SENTENCE = -12.0, -12.0, -3.0, -3.5, 1.6, 0.6
+# Links say less of a list within an article (references), and what is under a heading over comments is one.
+LINKED_INSIDE, UNDER_COMMENTS = -0.5, -12.0
 # Share of a page's text from which a name or a form around it says nothing.
 MOST_TEXT = 0.75
 # Capacities of the smoothness edges.
@@ -69,10 +76,10 @@ class Block:
         self.text, self.linked, self.odds, self.parent, self.inside = text, linked, odds, parent, inside
 
 
-def _name_words(value: str) -> set[str]:
-    """The words of class names, ids or roles, without those of neutral names."""
+def _name_words(value: str, single: bool = False) -> set[str]:
+    """The words of class names, ids or roles, without those of neutral names; with ``single`` of names of one word only."""
     split = [_WORD.findall(name) for name in value.lower().split()]
-    return {w for name in split if not (len(name) > 1 and name[0] in NEUTRAL) for w in name}
+    return {w for name in split if not (len(name) > 1 and (single or name[0] in NEUTRAL)) for w in name}
 
 
 def _own_odds(tag: str, attributes: str, parent: tuple[bool, float]) -> tuple[tuple[bool, float], float]:
@@ -95,7 +102,7 @@ def _own_odds(tag: str, attributes: str, parent: tuple[bool, float]) -> tuple[tu
         if _HIDDEN.search(attributes):
             odds += UNWANTED_NAME
         for _, a, b, c in _NAMES.findall(attributes):
-            words = _name_words(a or b or c)
+            words = _name_words(a or b or c, inside and tag in TEXT_TAGS)
             if words & UNWANTED and tag not in AROUND:
                 odds += UNWANTED_NAME
                 revocable += UNWANTED_NAME
@@ -122,12 +129,48 @@ def _revoke(blocks: list[Block], penalties: list[list]) -> None:
         b.odds += given
 
 
+def _over_comments(text: str) -> bool:
+    """Whether a heading says no more than that comments follow, and perhaps how many."""
+    words = [w for w in re.findall(r"\w+", text.lower()) if not w.isdecimal()]
+    return len(words) == 1 and words[0] in COMMENT_HEADINGS
+
+
+def _lower_comments(blocks: list[Block], headings: list[list]) -> None:
+    """Lowers the blocks under headings over comments. ``headings`` has of every heading its block, level,
+    the number of the element around it and the block at which that ends. A heading reaches to the next one in the same
+    element that is not below it, or to the end of the element. One that opens the page's
+    text, or its element, is a title like any other if all the article is under it."""
+    articles = [0]
+    for b in blocks:
+        articles.append(articles[-1] + b.inside)
+    change = [0.0] * (len(blocks) + 1)
+    for k, (first, level, around, end) in enumerate(headings):
+        if first == 0 or not _over_comments(blocks[first].text):
+            continue
+        for j in range(k + 1, len(headings)):
+            later, other, same, _ = headings[j]
+            if later >= end or (same == around and other <= level):
+                end = min(end, later)
+                break
+        if not articles[-1] or articles[end] - articles[first] < articles[-1]:
+            change[first] += UNDER_COMMENTS
+            change[end] -= UNDER_COMMENTS
+    given = 0.0
+    for b, step in zip(blocks, change):
+        given += step
+        b.odds += given
+
+
 def page_blocks(html: str) -> list[Block]:
     """The text blocks of a page in order. Broken markup is read as far as it
     goes: an end tag without a start is left out, open elements end with the page."""
     blocks: list[Block] = []
     # First block, end and log-odds of what may be taken back.
     penalties: list[list] = []
+    # Block, level, element around it and the block where that ends, of each heading.
+    headings: list[list] = []
+    # Those of the elements that are open, by element.
+    open_headings: dict[int, list[list]] = {}
     # tag, (inside, odds), number of the element, whether it breaks blocks, its penalty
     stack = [("", (False, BIAS), 0, True, None)]
     # Names without an end tag in the rest of the page.
@@ -141,7 +184,12 @@ def page_blocks(html: str) -> list[Block]:
             text = " ".join(unescape("".join(parts)).split())
             if text:
                 breaking = next(e for e in reversed(stack) if e[3])
-                blocks.append(Block(text, min(1.0, linked / len(text)), stack[-1][1][1] + _text_odds(breaking[0], text, linked), breaking[2], stack[-1][1][0]))
+                inside, odds = stack[-1][1]
+                if breaking[0] in HEADINGS:
+                    breakers = (e for e in reversed(stack) if e[3] and e[2] < breaking[2])
+                    headings.append([len(blocks), int(breaking[0][1]), next(breakers)[2], None])
+                    open_headings.setdefault(headings[-1][2], []).append(headings[-1])
+                blocks.append(Block(text, min(1.0, linked / len(text)), odds + _text_odds(breaking[0], text, linked, inside), breaking[2], inside))
             parts.clear()
         linked = 0
 
@@ -153,6 +201,8 @@ def page_blocks(html: str) -> list[Block]:
         for e in stack[at:]:
             if e[4]:
                 e[4][1] = len(blocks)
+            for heading in open_headings.pop(e[2], ()):
+                heading[3] = len(blocks)
         del stack[at:]
 
     at = 0
@@ -217,11 +267,12 @@ def page_blocks(html: str) -> list[Block]:
     close(1)
     flush()
     _revoke(blocks, penalties)
+    _lower_comments(blocks, [[*h[:3], len(blocks) if h[3] is None else h[3]] for h in headings])
     return blocks
 
 
-def _text_odds(tag: str, text: str, linked: int) -> float:
-    odds = LINKED * min(1.0, linked / len(text)) + LONG * min(1.0, len(text) / 200)
+def _text_odds(tag: str, text: str, linked: int, inside: bool) -> float:
+    odds = (LINKED_INSIDE if inside else LINKED) * min(1.0, linked / len(text)) + LONG * min(1.0, len(text) / 200)
     if tag in ("p", "pre", "blockquote"):
         odds += PARAGRAPH
     elif tag in ("h1", "h2", "h3", "h4", "h5", "h6"):

@@ -168,6 +168,36 @@ def test_main_text_of_pages_within_named_elements(page):
         assert LONG.strip() in html.main_text(page.format(inner + "<nav><a href=/>Home</a></nav>"))
 
 
+PROSE = "<article><h1>Title here</h1><p>" + LONG + "</p>"
+LINKS = "<p>See also:</p><ul><li><a href=/a>The first of them</a></li><li><a href=/b>Second</a></li></ul>"
+
+
+@pytest.mark.parametrize("inner, wanted, unwanted", [
+    (LINKS, "The first of them\n\nSecond", None),
+    ("<p class='search-results'>Found words.</p><p class='social-history comment-free'>Other words.</p>", "Found words.\n\nOther words.", None),
+    ("<div class='share-buttons'><p>Tell a friend.</p></div>", None, "Tell a friend"),
+    ("<p class='advert'>Buy this now.</p>", None, "Buy this"),
+    ("<section><h2>Comments (2)</h2><p>A reader thinks this is right.</p></section><p>The end of it.</p>", "The end of it.", "A reader"),
+    ("<h2>3 Kommentare</h2><div><h3>Anna</h3><p>Ein Leser schreibt das hier.</p></div><h2>Sources</h2><p>Named books.</p>", "Named books.", "Leser"),
+    ("<h2>Comments on the law</h2><p>What the judge wrote.</p>", "What the judge wrote.", None),
+])
+def test_parts_of_an_article(inner, wanted, unwanted):
+    text = html.main_text("<html><body><nav><a href=/>Home</a></nav>" + PROSE + inner + "</article><footer><p>Some rights.</p></footer></body></html>")
+    assert LONG.strip() in text and "Home" not in text and "rights" not in text
+    assert wanted is None or wanted in text
+    assert unwanted is None or unwanted not in text
+
+
+def test_comments_after_the_article():
+    page = "<body>" + PROSE + "</article><div><h3>Comments</h3><p>" + LONG.replace("word", "said") + "A reader.</p></div></body>"
+    assert "A reader" not in html.main_text(page) and LONG.strip() in html.main_text(page)
+
+
+def test_a_title_is_not_a_heading_over_comments():
+    for page in ("<article><h1>Comments</h1><p>{}</p></article>", "<nav><a href=/>Home</a></nav><article><h1>Replies</h1><p>{}</p></article>"):
+        assert LONG.strip() in html.main_text(page.format(LONG))
+
+
 def test_main_text_leaves_out_smaller_named_parts():
     page = f"<body><article><p>{LONG}</p></article><div class=comments><p>{LONG * 9}</p></div><form><p>{LONG}</p></form><svg><text>x</text></svg><select><option>y</select></body>"
     assert html.main_text(page) == LONG.strip()
