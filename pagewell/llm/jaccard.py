@@ -1,16 +1,19 @@
 """N-gram Jaccard join by vertical partitioning.
 
-The global order of n-grams (by hash) is cut into fragments. A document whose
-n-grams in the first fragment are already too often its own to leave room for a
-partner is done; that settles nearly all documents without one, from a third of
-the n-grams. The rest are ordered by frequency and joined on the rare prefix
-that two linked sets can't both miss; overlaps are counted fragment by fragment
-in that order (prefix, then remainder) and summed per pair.
+The global order of n-grams (by hash) is cut into fragments, and the overlap of
+two sets is counted in each fragment by itself, from the parts of both sets that lie
+in it; the partial counts are summed per pair and the sum decides, exactly.
+
+Pairs to count come from the n-grams by frequency: two linked sets can't
+both miss each other's rare prefix. Before that, a document whose n-grams in a first
+piece of the hash order are already too often its own to leave room for a partner is done;
+that settles nearly all documents without one, from a third of the n-grams.
 
 Groups of near copies are not expanded into pairs. Equal sets are one class.
 In each posting list the members are first compared with one hub of it, classes
 that are linked are merged, and only members of different components are ever
-compared again. A list whose members are one component is finished.
+compared again. A list whose members are one component is finished. Long
+posting lists are dealt in parts of bounded length.
 """
 
 from __future__ import annotations
@@ -28,7 +31,12 @@ from pagewell.llm.components import components
 
 SHINGLE_WORDS = 5
 THRESHOLD = 75  # in hundredths
-# The first fragment of the hash order, in 1/64; above 1/4, or it could settle nothing.
+# Overlaps are counted in this many fragments of the hash order (a power of two).
+FRAGMENTS = 4
+# A posting list is dealt in parts of about this many rows; with more than
+# LONG_LISTS times as many rows in all, in longer parts, so that there are never more long lists than that.
+LIST_ROWS, LONG_LISTS = 512, 100_000
+# The first piece of the hash order, in 1/64; above 1/4, or it could settle nothing.
 FRAGMENT = 22
 # Rounds of comparing with hubs before what is left is compared pair by pair.
 HUB_ROUNDS = 2
@@ -180,13 +188,28 @@ def _shared_grams(grams: DataFrame) -> DataFrame:
     return listed.select("doc", "n", F.transform("g", lambda x: x["gram"]).alias("grams"), prefix.cast("int").alias("prefix")).where("prefix > 0")
 
 
-def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` whose sets are similar enough, exactly."""
-    left = sets.select(F.col("doc").alias("a"), F.col("n").alias("na"), F.col("grams").alias("ga"))
-    right = sets.select(F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("grams").alias("gb"))
-    both = F.size(F.array_intersect("ga", "gb")).cast("bigint")
-    joined = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "na", "nb", both.alias("both"))
-    return joined.where(100 * F.col("both") >= THRESHOLD * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b")
+def _fragments(shared: DataFrame) -> DataFrame:
+    """``doc, n, fragment, grams``: each set cut at the borders of the fragments."""
+    bits = FRAGMENTS.bit_length() - 1
+
+    def inside(fragment: int) -> Column:
+        return F.filter("grams", lambda x: F.shiftrightunsigned(x, 64 - bits) == fragment) if bits else F.col("grams")
+
+    cut = shared.select("doc", "n", F.posexplode(F.array(*map(inside, range(FRAGMENTS)))).alias("fragment", "grams"))
+    return written(cut.where(F.size("grams") > 0), "fragments")
+
+
+def _linked(pairs: DataFrame, fragments: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` whose sets are similar enough: partial overlaps of each
+    fragment, summed per pair."""
+    left = fragments.select(F.col("doc").alias("a"), "fragment", F.col("n").alias("na"), F.col("grams").alias("ga"))
+    right = fragments.select(F.col("doc").alias("b"), "fragment", F.col("n").alias("nb"), F.col("grams").alias("gb"))
+    each = pairs.select("a", "b", F.explode(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1))).alias("fragment"))
+    partial = each.join(left, ["a", "fragment"]).join(right, ["b", "fragment"]).select(
+        "a", "b", "na", "nb", F.size(F.array_intersect("ga", "gb")).cast("bigint").alias("overlap")
+    )
+    summed = partial.groupBy("a", "b", "na", "nb").agg(F.sum("overlap").alias("both"))
+    return summed.where(100 * F.col("both") >= THRESHOLD * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b")
 
 
 def _fitting() -> Column:
@@ -196,14 +219,35 @@ def _fitting() -> Column:
     return (100 + THRESHOLD) * F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) >= THRESHOLD * (F.col("na") + F.col("nb"))
 
 
+def _each_part() -> Column:
+    """A row for each part of a list, ``last`` being the number of its last one."""
+    return F.explode(F.sequence(F.lit(0).cast("bigint"), "last")).alias("part")
+
+
+def _open_lists(prefix: DataFrame) -> DataFrame:
+    """The rows of the lists whose members are not yet one component, with the
+    ``part`` of its list each row belongs to. A list is dealt by its members' hash in parts of about
+    ``LIST_ROWS``, so that none of them is one task's; how many parts the long
+    lists have is broadcast, there being at most ``LONG_LISTS`` of them."""
+    counted = prefix.groupBy("gram").agg((F.min("component") != F.max("component")).alias("mixed"), F.count("*").alias("rows"))
+    mixed = written(counted.where("mixed").select("gram", "rows"), "mixed")
+    total = mixed.agg(F.sum("rows")).first()[0] or 0
+    length = max(LIST_ROWS, -(-total // LONG_LISTS))
+    parts = mixed.select("gram", F.expr(f"(rows - 1) div {length}").alias("last"))
+    long_lists = parts.where("last > 0").withColumnRenamed("last", "_last")
+    part = F.pmod(F.xxhash64("doc"), F.coalesce("_last", F.lit(0)) + 1)
+    dealt = prefix.join(F.broadcast(long_lists), "gram", "left").withColumn("part", part).drop("_last")
+    return written(dealt.join(parts.select("gram", _each_part()), ["gram", "part"]), "lists")
+
+
 def _hub_pairs(lists: DataFrame, seed: int) -> DataFrame:
     """For every document the hub of another component that it shares most prefix n-grams with."""
     early = F.when(F.lit(seed) % 2 == 0, F.col("place") / F.col("n")).otherwise(F.lit(0.0)).alias("early")
     order = F.struct(early, F.xxhash64("doc", F.lit(seed)).alias("o"), "doc", "n", "place", "component")
-    hubs = lists.groupBy("gram").agg(F.min(order).alias("h"))
-    hubs = hubs.select("gram", F.col("h.doc").alias("b"), F.col("h.n").alias("nb"), F.col("h.place").alias("pb"), F.col("h.component").alias("cb"))
+    hubs = lists.groupBy("gram").agg(F.min(order).alias("h"), F.max("part").alias("last"))
+    hubs = hubs.select("gram", _each_part(), F.col("h.doc").alias("b"), F.col("h.n").alias("nb"), F.col("h.place").alias("pb"), F.col("h.component").alias("cb"))
     hubs = written(hubs, "hubs")
-    rows = lists.withColumnsRenamed({"doc": "a", "n": "na", "place": "pa"}).join(hubs, "gram")
+    rows = lists.withColumnsRenamed({"doc": "a", "n": "na", "place": "pa"}).join(hubs, ["gram", "part"])
     counted = rows.where((F.col("component") != F.col("cb")) & _fitting()).groupBy("a", "b").agg(F.count("*").alias("shared"))
     return counted.groupBy("a").agg(F.max_by("b", F.struct("shared", "b")).alias("b"))
 
@@ -211,12 +255,13 @@ def _hub_pairs(lists: DataFrame, seed: int) -> DataFrame:
 def _open_pairs(lists: DataFrame) -> DataFrame:
     """All pairs of different components that share a prefix n-gram and fit in
     size. In each list the members of the largest component meet only the others."""
-    sizes = lists.groupBy("gram", "component").agg(F.count("*").alias("m"))
-    most = sizes.groupBy("gram").agg(F.max_by("component", F.struct("m", "component")).alias("most"))
-    fewer = written(lists.join(most, "gram").where("component <> most"), "fewer")
-    left = fewer.select("gram", F.col("doc").alias("a"), F.col("n").alias("na"), F.col("place").alias("pa"), F.col("component").alias("ca"))
-    right = lists.select("gram", F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"), F.col("component").alias("cb"))
-    met = left.join(right, "gram").where((F.col("ca") != F.col("cb")) & _fitting())
+    sizes = lists.groupBy("gram", "component").agg(F.count("*").alias("m"), F.max("part").alias("last"))
+    most = sizes.groupBy("gram").agg(F.max_by("component", F.struct("m", "component")).alias("most"), F.max("last").alias("last"))
+    fewer = lists.join(most.select("gram", "most", "last", _each_part()), ["gram", "part"]).where("component <> most").drop("part")
+    left = written(fewer, "fewer").select(
+        "gram", _each_part(), F.col("doc").alias("a"), F.col("n").alias("na"), F.col("place").alias("pa"), F.col("component").alias("ca"))
+    right = lists.select("gram", "part", F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"), F.col("component").alias("cb"))
+    met = left.join(right, ["gram", "part"]).where((F.col("ca") != F.col("cb")) & _fitting())
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -226,20 +271,20 @@ def _links(shared: DataFrame) -> DataFrame | None:
     prefix = written(placed.select(
         "doc", "n", (F.col("n") - F.size("grams") + F.col("at")).alias("place"), "gram", F.col("doc").alias("component"),
     ), "prefixes")
-    links, rounds = None, 0
+    links, rounds, fragments = None, 0, None
     while True:
-        mixed = prefix.groupBy("gram").agg((F.min("component") != F.max("component")).alias("mixed")).where("mixed").select("gram")
-        lists = written(prefix.join(mixed, "gram"), "lists")
+        lists = _open_lists(prefix)
         if lists.isEmpty():
             return links
         pairs = written(_hub_pairs(lists, rounds) if rounds < HUB_ROUNDS else _open_pairs(lists), "pairs")
-        found = written(_linked(pairs, shared), "links")
+        fragments = fragments or _fragments(shared)
+        found = written(_linked(pairs, fragments), "links")
         links = found if links is None else links.unionByName(found)
         if rounds == HUB_ROUNDS:
             return links
         rounds += 1
         named = components(links).select(F.col("node").alias("doc"), F.col("component").alias("_c"))
-        prefix = lists.join(named, "doc", "left").withColumn("component", F.coalesce("_c", "component")).drop("_c")
+        prefix = lists.drop("part").join(named, "doc", "left").withColumn("component", F.coalesce("_c", "component")).drop("_c")
 
 
 def near_copies(docs: DataFrame, size: int = SHINGLE_WORDS, fragment: int = FRAGMENT) -> DataFrame:

@@ -57,6 +57,32 @@ def test_jaccard_without_hub_rounds(spark, monkeypatch):
     assert plain(got.collect()) == plain(brute(docs))
 
 
+@pytest.mark.parametrize("rounds", [0, 2])
+def test_jaccard_in_fragments_and_parts_of_lists(spark, monkeypatch, rounds):
+    """Lists dealt in parts, and any number of fragments, give the same links."""
+    docs = corpus(seed=4, n=20)
+    want = plain(brute(docs))
+    for fragments, rows, many in [(1, 2, 100_000), (8, 3, 100_000), (4, 1, 3)]:
+        monkeypatch.setattr(jaccard, "HUB_ROUNDS", rounds)
+        monkeypatch.setattr(jaccard, "FRAGMENTS", fragments)
+        monkeypatch.setattr(jaccard, "LIST_ROWS", rows)
+        monkeypatch.setattr(jaccard, "LONG_LISTS", many)
+        got = jaccard.near_copies(documents(spark, docs)).select("doc_id", "n_shingles", "component_id")
+        assert plain(got.collect()) == want
+
+
+def test_jaccard_sums_partial_overlaps(spark):
+    """No fragment alone decides: each of a pair's has its own count, and their sum is the overlap."""
+    sets = {1: [-9, -8, 3, 4, 2**62 + 1, 2**62 + 2, -(2**63)], 2: [-9, -8, 3, 4, 2**62 + 1, 2**62 + 2, 5], 3: [-9, 3, 2**62 + 1]}
+    shared = spark.createDataFrame([(k, len(v), v) for k, v in sets.items()], "doc long, n long, grams array<long>")
+    fragments = jaccard._fragments(shared)
+    for row in fragments.collect():
+        assert row.grams and all((g % 2**64) >> 62 == row.fragment for g in row.grams)
+    assert sorted(g for r in fragments.where("doc = 1").collect() for g in r.grams) == sorted(sets[1])
+    pairs = spark.createDataFrame([(1, 2), (1, 3), (2, 3)], "a long, b long")
+    assert [tuple(r) for r in jaccard._linked(pairs, fragments).collect()] == [(1, 2)]
+
+
 def test_jaccard_edges(spark):
     assert jaccard.near_copies(documents(spark, [])).collect() == []
     rows = [(5, "a b c d e f"), (5, "q r s t u v"), (9, "Q r s t u v"), (3, "A b c d e f"), (None, "a b c d e f"), (8, None), (7, " ")]
