@@ -44,6 +44,12 @@ MAX_LISTS = 65_536
 LISTED_BATCHES = 10_000
 # Most rounds of papers that are planned at a time; one id each is held by the driver.
 ROUND_BOUNDS = 100_000
+# Steps a pass over the papers is taken in at most; a step takes its rounds side by side.
+PASS_STEPS = 8
+# Papers of a round whose rows one task writes, where a step has many rounds, and the
+# rounds up to which the rows of a step are written as they come.
+BATCH_FILE_PAPERS = 1_024
+UNGATHERED_BATCHES = 16
 # Most paths of landed files the driver lists for one read.
 LISTED_FILES = 10_000
 # Rows a caller may declare as an upper bound for a broadcast side.

@@ -28,7 +28,14 @@ from pagewell.schemas import CHUNK_COLUMNS
 from pagewell.session import write_and_read
 from pagewell.settings import BROADCAST_ROWS, LISTED_BATCHES
 from pagewell.sources.documents import NOT_LANDED
-from pagewell.sources.tables import batch_folder, read_batch, read_or_empty, replace_batch
+from pagewell.sources.tables import (
+    batch_folder,
+    read_batch,
+    read_batches,
+    read_or_empty,
+    replace_batch,
+    write_batches,
+)
 
 LEDGER = (
     "document_id long, status string, chunks long, vectors long, reason string, batch_id string"
@@ -96,6 +103,13 @@ def is_committed(spark: SparkSession, root: str, batch_id: str) -> bool:
     return not read_or_empty(spark, os.path.join(root, "commits"), COMMITS).where(F.col("batch_id") == batch_id).isEmpty()
 
 
+def committed(spark: SparkSession, root: str, batch_ids: list[str]) -> set[str]:
+    """Those of the batches that are committed."""
+    rows = read_or_empty(spark, os.path.join(root, "commits"), COMMITS).select("batch_id").distinct()
+    asked = spark.createDataFrame([(name,) for name in batch_ids], "batch_id string")
+    return {row.batch_id for row in asked.join(rows, "batch_id", "left_semi").collect()}
+
+
 def free_batch(spark: SparkSession, root: str, batch_id: str) -> str:
     """``batch_id``, or the first of its numbered names that is not committed."""
     names = read_or_empty(spark, os.path.join(root, "commits"), COMMITS).select("batch_id").where(
@@ -132,6 +146,30 @@ def commit(status: DataFrame, root: str, batch_id: str, last_id: int | None = No
     spark.createDataFrame([row], COMMITS).coalesce(1).write.mode("append").parquet(os.path.join(root, "commits"))
 
 
+def commit_batches(status: DataFrame, root: str, batch_ids: list[str], last_ids: DataFrame | None = None) -> None:
+    """:func:`commit` for many batches at once: ledger rows with their ``batch_id``, then one
+    file with a commit row for each batch, in order of their documents. ``last_ids`` has the
+    highest chunk id of each batch, where ids count up."""
+    spark, folder = status.sparkSession, os.path.join(root, "ledger")
+    again = committed(spark, root, batch_ids)
+    if again:
+        raise ValueError(f"batch {min(again)} is committed already")
+    last = read_or_empty(spark, os.path.join(root, "commits"), COMMITS).agg(F.max("version")).first()[0]
+    write_batches(status.select("document_id", "status", "chunks", "vectors", "reason", "batch_id"), folder, 1)
+    rows = read_batches(spark, folder, LEDGER, batch_ids).groupBy("batch_id").agg(
+        F.min("document_id").alias("low"), F.max("document_id").alias("high"), F.count(F.lit(1)).alias("documents")
+    )
+    if last_ids is None:
+        rows = rows.withColumn("last_id", F.lit(None).cast("long"))
+    else:
+        rows = rows.join(last_ids, "batch_id", "left")
+    # One row per batch of this call, no table.
+    place = F.row_number().over(Window.orderBy("low", "batch_id"))
+    numbered = rows.withColumn("version", F.lit(last or 0).cast("long") + place)
+    columns = ("batch_id", "version", "low", "high", "documents", "last_id")
+    numbered.select(*columns).coalesce(1).write.mode("append").parquet(os.path.join(root, "commits"))
+
+
 def hidden(ledger: DataFrame) -> DataFrame:
     """``batch_id, document_id`` of the ledger rows that show nothing: another row of
     the document counts, or it is not done."""

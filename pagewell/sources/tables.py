@@ -64,6 +64,38 @@ def replace_batch(rows: DataFrame, path: str, batch_id: str) -> None:
     rows.drop("batch_id").write.mode("overwrite").parquet(batch_folder(path, batch_id))
 
 
+def clear_batches(spark: SparkSession, path: str, batch_ids: list[str]) -> None:
+    """Delete what earlier attempts of these batches left in the table at ``path``."""
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+    files = path_of(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(path_of(path)):
+        for batch_id in batch_ids:
+            files.delete(path_of(batch_folder(path, batch_id)), True)
+
+
+def write_batches(rows: DataFrame, path: str, parts: int | None = None) -> None:
+    """Write the rows of many batches, told by ``batch_id``, each to its own folder, which
+    must be cleared. With ``parts`` the rows of a batch are first brought together in so
+    many tasks, by document; otherwise every task writes a file for each batch it has rows of.
+
+    Tasks move their files themselves: readers wait for the commit rows, not for the files."""
+    if parts is not None:
+        part = F.pmod(F.xxhash64("document_id"), F.lit(parts))
+        rows = rows.withColumn("_part", part).repartition("batch_id", "_part").drop("_part")
+    moving = "mapreduce.fileoutputcommitter.algorithm.version"
+    rows.write.mode("append").option(moving, "2").partitionBy("batch_id").parquet(path)
+
+
+def read_batches(spark: SparkSession, path: str, schema: str, batch_ids: list[str]) -> DataFrame:
+    """The rows of many batches, from their own folders."""
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+    files = path_of(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    folders = [folder for folder in (batch_folder(path, name) for name in batch_ids) if files.exists(path_of(folder))]
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*folders)
+
+
 def index_rows(vectors: DataFrame, *keep: str) -> DataFrame:
     """Index rows ``id, unit`` of stored vectors, and the columns in ``keep``. Gives what
     ``unit_vector`` gives, in less than half the time: array lambdas are interpreted

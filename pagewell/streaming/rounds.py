@@ -2,18 +2,23 @@
 
 A pass is planned by Spark: the ids of the papers that are open are numbered in order,
 and every n-th id bounds a round. The bounds are a streaming source whose offsets are
-paper ids; each micro-batch is one range of ids, read from the papers table with the
-range pushed down. Offsets are in the checkpoint, bounds in a table beside it, so a
+paper ids; each micro-batch is a range of ids, read from the papers table with the
+range pushed down. It is one round, or a step of many: a pass is taken in ``PASS_STEPS`` steps at
+most, so that tables are read a few times a pass, and not once for every round. The rounds of a
+step share one dataflow and are committed together, each as a batch of its own. Offsets are in the checkpoint, bounds in a table beside it, so a
 drain that is started again goes on with the same rounds under the same names.
 """
 
 from __future__ import annotations
 
 import json
+import math
 import os
 from bisect import bisect_right
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, SimpleDataSourceStreamReader
 
@@ -22,17 +27,18 @@ from pagewell.operators.numbering import with_position
 from pagewell.operators.papers import is_pending, without_processed
 from pagewell.plans.ingest import Embedding
 from pagewell.session import write_and_read
-from pagewell.settings import ROUND_BOUNDS, SLICE_SIZE, WORKERS
-from pagewell.sources.ledger import closed, read_ledger
+from pagewell.settings import PASS_STEPS, ROUND_BOUNDS, SLICE_SIZE, WORKERS
+from pagewell.sources.ledger import closed, committed, read_ledger
 from pagewell.sources.tables import read_or_empty
-from pagewell.streaming.backlog import DocumentLoader, ingest_round
+from pagewell.streaming.backlog import DocumentLoader, ingest_round, ingest_rounds
 
 PASSES = "number long, bounds array<long>"
 
 
 class PaperRounds(DataSource):
     """``low, high``: one row per round, for papers with ``low < id <= high``. Option
-    ``bounds`` is the ascending JSON list of the last ids of the rounds."""
+    ``bounds`` is the ascending JSON list of the last ids of the rounds, ``together`` how many
+    rounds a micro-batch has."""
 
     @classmethod
     def name(cls) -> str:
@@ -42,27 +48,31 @@ class PaperRounds(DataSource):
         return "low bigint, high bigint"
 
     def simpleStreamReader(self, schema) -> SimpleDataSourceStreamReader:
-        return RoundReader(json.loads(self.options["bounds"]))
+        return RoundReader(json.loads(self.options["bounds"]), int(self.options.get("together", 1)))
 
 
 class RoundReader(SimpleDataSourceStreamReader):
-    """Hands out one round at a time; the offset is the last id handed out."""
+    """Hands out ``together`` rounds at a time; the offset is the last id handed out."""
 
-    def __init__(self, bounds: list[int]):
-        self.bounds = bounds
+    def __init__(self, bounds: list[int], together: int = 1):
+        self.bounds, self.together = bounds, together
 
     def initialOffset(self) -> dict:
         return {"id": None}
 
+    def _after(self, low: int | None) -> int:
+        return 0 if low is None else bisect_right(self.bounds, low)
+
     def read(self, start: dict):
-        low = start["id"]
-        at = 0 if low is None else bisect_right(self.bounds, low)
-        if at == len(self.bounds):
+        taken = self.bounds[self._after(start["id"]) :][: self.together]
+        if not taken:
             return iter([]), start
-        return iter([(low, self.bounds[at])]), {"id": self.bounds[at]}
+        end = {"id": taken[-1]}
+        return self.readBetweenOffsets(start, end), end
 
     def readBetweenOffsets(self, start: dict, end: dict):
-        return iter([(start["id"], end["id"])])
+        taken = self.bounds[self._after(start["id"]) : self._after(end["id"])]
+        return iter(list(zip([start["id"], *taken], taken)))
 
 
 def round_bounds(papers: DataFrame, size: int, most: int = ROUND_BOUNDS) -> list[int]:
@@ -100,7 +110,8 @@ def drain_papers(
     ids=chunk_id_or_null,
 ) -> int:
     """Finish the pass that was interrupted, if any, then take every open paper in rounds
-    of at most ``round_papers``; returns the number of rounds planned now.
+    of at most ``round_papers``; returns the number of rounds planned now. Of a pass of more
+    than ``PASS_STEPS`` rounds, those of a step are taken side by side and lost together.
 
     A paper that can't be finished is tried once a call. Papers that arrive during a
     pass are left to the next one, whatever their ids: of a range that has grown past
@@ -125,15 +136,42 @@ def drain_papers(
         planned, last = planned + len(bounds), bounds[-1]
 
 
+def _round_names(number: int, bounds: list[int]):
+    """Column function: the name of the round a paper id falls into, for ids up to the last bound."""
+    names = pa.array([f"pass-{number}-to-{high}" for high in bounds])
+
+    def find(ids: pa.Array) -> pa.Array:
+        return names.take(pa.array(np.searchsorted(bounds, ids.to_numpy(zero_copy_only=False))))
+
+    return F.arrow_udf(find, "string")
+
+
 def _run_pass(spark, papers, root, checkpoint, number, bounds, load_documents, embedding, topic, round_papers, ids) -> None:
-    def take_round(batch: DataFrame, _) -> None:
-        for low, high in batch.collect():
+    def take_step(batch: DataFrame, _) -> None:
+        taken = sorted(batch.collect(), key=lambda row: row.high)
+        if len(taken) == 1:
+            low, high = taken[0]
             chosen = open_papers(papers, root, topic, ids, low, high).dropDuplicates(["id"]).orderBy("id").limit(round_papers)
             ingest_round(chosen, root, f"pass-{number}-to-{high}", load_documents, embedding, topic, ids)
-
-    stream = spark.readStream.format("paper_rounds").option("bounds", json.dumps(bounds)).load()
+        elif taken:
+            take_rounds(taken)
+
+    def take_rounds(taken: list) -> None:
+        done = committed(spark, root, [f"pass-{number}-to-{row.high}" for row in taken])
+        if len(done) == len(taken):
+            return
+        batch_of = _round_names(number, [row.high for row in taken])
+        chosen = open_papers(papers, root, topic, ids, taken[0].low, taken[-1].high).dropDuplicates(["id"])
+        chosen = chosen.withColumn("batch_id", batch_of(F.col("id"))).where(~F.col("batch_id").isin(done))
+        place = F.row_number().over(Window.partitionBy("batch_id").orderBy("id"))
+        chosen = chosen.withColumn("_place", place).where(F.col("_place") <= round_papers).drop("_place")
+        step = f"pass-{number}-to-{taken[-1].high}"
+        ingest_rounds(chosen, root, step, batch_of, load_documents, embedding, ids, round_papers)
+
+    together = math.ceil(len(bounds) / PASS_STEPS)
+    stream = spark.readStream.format("paper_rounds").option("bounds", json.dumps(bounds)).option("together", together).load()
     query = (
-        stream.writeStream.foreachBatch(take_round)
+        stream.writeStream.foreachBatch(take_step)
         .option("checkpointLocation", os.path.join(checkpoint, f"pass-{number}"))
         .trigger(processingTime="0 seconds")
         .start()

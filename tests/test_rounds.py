@@ -178,3 +178,57 @@ def test_sequence_cuts_texts_once(spark, tmp_path):
     assert got.exceptAll(wanted.select(*got.columns)).isEmpty() and got.count() == wanted.count()
 
 
+
+
+@pytest.mark.parametrize("ids, gathered", [(ch.chunk_id_or_null, 0), (ch.SEQUENCE, 1)])
+def test_rounds_of_a_step_end_as_single_rounds_do(spark, tmp_path, monkeypatch, ids, gathered):
+    """Four rounds in two steps, with steps lost, give what four rounds one by one give."""
+    monkeypatch.setattr(backlog, "UNGATHERED_BATCHES", gathered)
+    known = [paper(k) for k in (-4, 1, 2, 3, 5, 8, 8, 30)] + [paper(100, source="blog")]
+    table = papers(spark, *known, paper(50, processed=True))
+    load, loads = loader(missing=[2, 3], short=[5]), []
+
+    def counted(found):
+        loads.append(found.count())
+        return load(found)
+
+    def drain(name, steps, loader=counted):
+        root = str(tmp_path / name)
+        monkeypatch.setattr(rounds, "PASS_STEPS", steps)
+        try:
+            return rounds.drain_papers(spark, table, root, os.path.join(root, "cp"), loader, EMBEDDING, round_papers=2, ids=ids)
+        finally:
+            found = {t: lg.read_or_empty(spark, os.path.join(root, t), s).collect() for t, s in (("embedded", lg.EMBEDDED), ("ledger", lg.LEDGER), ("commits", lg.COMMITS))}
+            results[name] = {t: sorted(map(str, rows)) for t, rows in found.items()}
+
+    results = {}
+    assert drain("single", 100) == 4 and len(loads) == 4
+    loads.clear()
+    # The first attempt of a step is lost with its commits, the one after with its checkpoint.
+    real = backlog.commit_batches
+
+    def lose(*args):
+        raise RuntimeError("lost")
+
+    def lose_after(*args):
+        real(*args)
+        raise RuntimeError("lost")
+
+    # What is left of the lost attempt has pages of papers that are missing now.
+    for crash, wide in ((lose, loader()), (lose_after, counted)):
+        with monkeypatch.context() as patch:
+            patch.setattr(backlog, "commit_batches", crash)
+            with pytest.raises(Exception, match="lost"):
+                drain("steps", 2, wide)
+    assert drain("steps", 2) == 0
+    assert len(loads) == 2 and results["steps"] == results["single"]
+    assert len(results["steps"]["commits"]) == 4
+
+
+def test_reader_hands_out_steps():
+    reader = rounds.RoundReader([10, 20, 35], 2)
+    rows, offset = reader.read(reader.initialOffset())
+    assert list(rows) == [(None, 10), (10, 20)] and offset == {"id": 20}
+    assert list(reader.readBetweenOffsets({"id": None}, offset)) == [(None, 10), (10, 20)]
+    rows, offset = reader.read(offset)
+    assert list(rows) == [(20, 35)] and reader.read(offset)[1] == offset == {"id": 35}
