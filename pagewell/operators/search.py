@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagewell.session import work_folder
+from pagewell.session import work_folder, write_and_read
 from pagewell.settings import (
     GATHERED_BYTES,
     LISTED_LISTS,
@@ -37,6 +37,7 @@ from pagewell.settings import (
     SCAN_ENTRIES,
     SCORE_DECIMALS,
     TOP_K,
+    TRAINING_BYTES,
 )
 
 _TILE_SCORES = 4_000_000
@@ -389,12 +390,19 @@ def score_summary(
 
 
 def train_centroids(index: DataFrame, lists: int = NLIST, seed: int = 42) -> DataFrame:
-    """``list_id int, centroid array<float>`` from k-means over the whole index."""
+    """``list_id int, centroid array<float>`` from k-means over the whole index. The
+    vectors are written once, as training reads them several times, and dealt so that no
+    task has more than about ``TRAINING_BYTES`` of them, whatever files they came from."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
+    units = write_and_read(index.select("unit"), "training")
+    entries = units.agg(F.sum(F.size("unit").cast("long"))).first()[0] or 0
+    parts = math.ceil(8 * entries / TRAINING_BYTES)
+    if parts > units.rdd.getNumPartitions():
+        units = units.repartition(parts)
     model = KMeans(k=lists, seed=seed, featuresCol="features").fit(
-        index.select(array_to_vector("unit").alias("features"))
+        units.select(array_to_vector("unit").alias("features"))
     )
     centers = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
     return index.sparkSession.createDataFrame(centers, "list_id int, centroid array<float>")

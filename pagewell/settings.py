@@ -44,6 +44,10 @@ MAX_LISTS = 65_536
 LISTED_BATCHES = 10_000
 # Most rounds of papers that are planned at a time; one id each is held by the driver.
 ROUND_BOUNDS = 100_000
+# Vectors a task has to read when inverted lists are trained (bytes as float64), and
+# those of one file of a list (bytes as float32).
+TRAINING_BYTES = 64 * 1024 * 1024
+LIST_FILE_BYTES = 64 * 1024 * 1024
 # Steps a pass over the papers is taken in at most; a step takes its rounds side by side.
 PASS_STEPS = 8
 # Papers of a round whose rows one task writes, where a step has many rounds, and the

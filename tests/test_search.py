@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from pagewell.operators import search
 
@@ -195,3 +196,17 @@ def test_probes_are_chosen_for_recall(spark, sf_dir, data):
     few = search.probes_for_recall(listed, centroids, asked, 0.8)
     assert share(few) >= 0.8 and (few == 1 or share(few - 1) < 0.8)
     assert share(search.probes_for_recall(listed, centroids, asked, 1.0)) == 1.0
+
+
+def test_training_is_dealt_and_written_once(spark, monkeypatch):
+    """Training reads a table, in tasks of bounded size, and not the plan the vectors came from."""
+    from pyspark.ml.clustering import KMeans
+
+    seen, fit = [], KMeans.fit
+    monkeypatch.setattr(KMeans, "fit", lambda self, rows: seen.append(rows) or fit(self, rows))
+    monkeypatch.setattr(search, "TRAINING_BYTES", 8 * 2 * 10)
+    slow = F.udf(lambda i: [float(i % 3), 1.0], "array<float>")
+    index = spark.range(200).coalesce(1).select("id", slow("id").alias("unit"))
+    assert search.train_centroids(index, 3).count() == 3
+    assert seen[0].rdd.getNumPartitions() >= 20
+    assert "EvalPython" not in seen[0]._jdf.queryExecution().executedPlan().toString()

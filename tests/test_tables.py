@@ -151,3 +151,19 @@ def test_an_attempt_without_rows_replaces_the_earlier_one(spark, tmp_path):
     assert tb.read_batch(spark, root, "id long, batch_id string", "b:1").collect() == []
     assert [r.batch_id for r in tb.read_batch(spark, root, "id long, batch_id string", "b2").collect()] == ["b2"]
     assert tb.read_batch(spark, root, "id long, batch_id string", "b3").collect() == []
+
+
+def test_files_of_a_list_are_bounded_in_bytes(spark, root, monkeypatch):
+    """Whatever the partition count: no task has much more than one file's bytes of a list."""
+    monkeypatch.setattr(tb, "LIST_FILE_BYTES", 4 * 2 * 20)
+    rows = [(i, 0 if i < 290 else i, [1.0, float(i)]) for i in range(300)]
+    path = os.path.join(root, "lists")
+    tb.write_listed_index(spark.createDataFrame(rows, "id long, list_id int, unit array<float>"), path)
+    written = spark.read.parquet(path)
+    assert sorted((r.id, r.list_id, list(r.unit)) for r in written.collect()) == [(i, 0 if i < 290 else i, [1.0, float(i)]) for i in range(300)]
+    per_task = {}
+    for folder, _, files in os.walk(path):
+        for name in (f for f in files if f.endswith(".parquet")):
+            task = name.split("-")[1]
+            per_task[task] = per_task.get(task, 0) + spark.read.parquet(os.path.join(folder, name)).count()
+    assert len(per_task) >= 300 // 20 and max(per_task.values()) <= 2 * 20
