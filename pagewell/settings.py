@@ -44,6 +44,9 @@ MAX_LISTS = 65_536
 LISTED_BATCHES = 10_000
 # Most rounds of papers that are planned at a time; one id each is held by the driver.
 ROUND_BOUNDS = 100_000
+# Tokens whose slots a worker of the hash embedder keeps, and the longest of them.
+MEMO_TOKENS = 65_536
+MEMO_CHARS = 40
 # Vectors a task has to read when inverted lists are trained (bytes as float64), and
 # those of one file of a list (bytes as float32).
 TRAINING_BYTES = 64 * 1024 * 1024
