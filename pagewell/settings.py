@@ -53,6 +53,8 @@ TRAINING_BYTES = 64 * 1024 * 1024
 LIST_FILE_BYTES = 64 * 1024 * 1024
 # Steps a pass over the papers is taken in at most; a step takes its rounds side by side.
 PASS_STEPS = 8
+# Ranges of ids a table is laid out by where steps read one range after the other.
+KEY_RANGES = 32
 # Papers of a round whose rows one task writes, where a step has many rounds, and the
 # rounds up to which the rows of a step are written as they come.
 BATCH_FILE_PAPERS = 1_024

@@ -11,6 +11,8 @@ from __future__ import annotations
 import logging
 import math
 import os
+from bisect import bisect_left
+from dataclasses import dataclass
 from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
@@ -18,11 +20,12 @@ from pyspark.ml.feature import Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructType
 
 from pagewell.operators.chunks import dump_text
 from pagewell.schemas import CHUNK_COLUMNS, INDEX, INDEX_COLUMNS, VECTOR_COLUMNS
-from pagewell.session import write_and_read
-from pagewell.settings import BROADCAST_ROWS, EMBEDDING_DIM, LIST_FILE_BYTES
+from pagewell.session import work_folder, write_and_read
+from pagewell.settings import BROADCAST_ROWS, EMBEDDING_DIM, KEY_RANGES, LIST_FILE_BYTES
 
 log = logging.getLogger(__name__)
 
@@ -97,6 +100,41 @@ def read_batches(spark: SparkSession, path: str, schema: str, batch_ids: list[st
     return spark.read.schema(schema).option("basePath", path).parquet(*folders)
 
 
+@dataclass(frozen=True)
+class RangedTable:
+    """A table in the shared folder that is laid out by ranges of a key: ``bounds`` are the
+    last keys of all ranges but one. What is read of it is the files of the ranges asked for."""
+
+    spark: SparkSession
+    path: str
+    schema: StructType
+    key: str
+    bounds: list
+
+    def between(self, low, high) -> DataFrame:
+        """The rows with ``low <= key <= high``."""
+        rows = self.spark.read.schema(StructType([*self.schema.fields]).add("_range", IntegerType())).parquet(self.path)
+        met = F.col("_range").between(bisect_left(self.bounds, low), bisect_left(self.bounds, high))
+        return rows.where(met & F.col(self.key).between(low, high)).drop("_range")
+
+
+def even_bounds(rows: DataFrame, key: str, ranges: int = KEY_RANGES) -> list:
+    """Keys that part the rows into ranges of about the same number; reads one column."""
+    shares = [n / ranges for n in range(1, ranges)]
+    return sorted(set(rows.agg(F.percentile_approx(key, shares)).first()[0] or []))
+
+
+def write_ranges(rows: DataFrame, key: str, bounds: list, name: str) -> RangedTable:
+    """The rows by ranges of ``key``, for readers that take one range after the other: they
+    read the table once in all, however its rows are stored. Nothing is shuffled; a
+    task writes a file for each range it has rows of."""
+    spark, folder = rows.sparkSession, work_folder(rows.sparkSession, name)
+    # How many bounds are below the key.
+    place = sum(((F.col(key) > bound).cast("int") for bound in bounds), F.lit(0))
+    rows.withColumn("_range", place).write.partitionBy("_range").parquet(folder)
+    return RangedTable(spark, folder, rows.schema, key, bounds)
+
+
 def index_rows(vectors: DataFrame, *keep: str) -> DataFrame:
     """Index rows ``id, unit`` of stored vectors, and the columns in ``keep``. Gives what
     ``unit_vector`` gives, in less than half the time: array lambdas are interpreted

@@ -2,8 +2,8 @@
 
 A pass is planned by Spark: the ids of the papers that are open are numbered in order,
 and every n-th id bounds a round. The bounds are a streaming source whose offsets are
-paper ids; each micro-batch is a range of ids, read from the papers table with the
-range pushed down. It is one round, or a step of many: a pass is taken in ``PASS_STEPS`` steps at
+paper ids; each micro-batch is a range of ids. Papers of a pass of several steps are laid out by
+steps before the first, so the papers table is read once for all of them. A micro-batch is one round, or a step of many: a pass is taken in ``PASS_STEPS`` steps at
 most, so that tables are read a few times a pass, and not once for every round. The rounds of a
 step share one dataflow and are committed together, each as a batch of its own. Offsets are in the checkpoint, bounds in a table beside it, so a
 drain that is started again goes on with the same rounds under the same names.
@@ -29,7 +29,7 @@ from pagewell.plans.ingest import Embedding
 from pagewell.session import write_and_read
 from pagewell.settings import PASS_STEPS, ROUND_BOUNDS, SLICE_SIZE, WORKERS
 from pagewell.sources.ledger import closed, committed, read_ledger
-from pagewell.sources.tables import read_or_empty
+from pagewell.sources.tables import RangedTable, read_or_empty, write_ranges
 from pagewell.streaming.backlog import DocumentLoader, ingest_round, ingest_rounds
 
 PASSES = "number long, bounds array<long>"
@@ -90,12 +90,18 @@ def open_papers(
     """Pending papers the ledger has not closed: new ones, and those that may still be
     finished. With a range, papers with ``low < id <= high`` and only the part of
     the ledger that meets it."""
+    pending = _pending(papers, topic, low, high)
+    if high is not None and low is None:
+        low = -(2**63)
+    return without_processed(pending, closed(read_ledger(papers.sparkSession, root, low, high), ids))
+
+
+def _pending(papers: DataFrame, topic: str | None, low: int | None, high: int | None) -> DataFrame:
     pending = ~F.col("embedding_processed") if topic is None else is_pending(topic)
     if high is not None:
         pending = pending & (F.col("id") <= high)
         pending = pending if low is None else pending & (F.col("id") > low)
-        low = -(2**63) if low is None else low
-    return without_processed(papers.where(pending), closed(read_ledger(papers.sparkSession, root, low, high), ids))
+    return papers.where(pending)
 
 
 def drain_papers(
@@ -147,11 +153,23 @@ def _round_names(number: int, bounds: list[int]):
 
 
 def _run_pass(spark, papers, root, checkpoint, number, bounds, load_documents, embedding, topic, round_papers, ids) -> None:
+    together = math.ceil(len(bounds) / PASS_STEPS)
+    ends = bounds[together - 1 : -1 : together]
+    rest: list[RangedTable] = []
+
+    def papers_between(low: int | None, high: int) -> DataFrame:
+        """The papers of a step; those of all steps to come are laid out by the first one."""
+        if not rest and high == bounds[-1]:
+            return papers
+        if not rest:
+            rest.append(write_ranges(_pending(papers, topic, low, bounds[-1]), "id", ends, "pass-papers"))
+        return rest[0].between(-(2**63) if low is None else low + 1, high)
+
     def take_step(batch: DataFrame, _) -> None:
         taken = sorted(batch.collect(), key=lambda row: row.high)
         if len(taken) == 1:
             low, high = taken[0]
-            chosen = open_papers(papers, root, topic, ids, low, high).dropDuplicates(["id"]).orderBy("id").limit(round_papers)
+            chosen = open_papers(papers_between(low, high), root, topic, ids, low, high).dropDuplicates(["id"]).orderBy("id").limit(round_papers)
             ingest_round(chosen, root, f"pass-{number}-to-{high}", load_documents, embedding, topic, ids)
         elif taken:
             take_rounds(taken)
@@ -161,14 +179,14 @@ def _run_pass(spark, papers, root, checkpoint, number, bounds, load_documents, e
         if len(done) == len(taken):
             return
         batch_of = _round_names(number, [row.high for row in taken])
-        chosen = open_papers(papers, root, topic, ids, taken[0].low, taken[-1].high).dropDuplicates(["id"])
+        low, high = taken[0].low, taken[-1].high
+        chosen = open_papers(papers_between(low, high), root, topic, ids, low, high).dropDuplicates(["id"])
         chosen = chosen.withColumn("batch_id", batch_of(F.col("id"))).where(~F.col("batch_id").isin(done))
         place = F.row_number().over(Window.partitionBy("batch_id").orderBy("id"))
         chosen = chosen.withColumn("_place", place).where(F.col("_place") <= round_papers).drop("_place")
         step = f"pass-{number}-to-{taken[-1].high}"
         ingest_rounds(chosen, root, step, batch_of, load_documents, embedding, ids, round_papers)
 
-    together = math.ceil(len(bounds) / PASS_STEPS)
     stream = spark.readStream.format("paper_rounds").option("bounds", json.dumps(bounds)).option("together", together).load()
     query = (
         stream.writeStream.foreachBatch(take_step)

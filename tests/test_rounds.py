@@ -232,3 +232,50 @@ def test_reader_hands_out_steps():
     assert list(reader.readBetweenOffsets({"id": None}, offset)) == [(None, 10), (10, 20)]
     rows, offset = reader.read(offset)
     assert list(rows) == [(20, 35)] and reader.read(offset)[1] == offset == {"id": 35}
+
+
+@pytest.mark.parametrize("size", [1, 2])
+def test_steps_of_a_pass_read_the_papers_once(spark, tmp_path, monkeypatch, size):
+    """Eight papers in eight or four rounds and four steps: titles are read once for each paper, not once a step."""
+    monkeypatch.setattr(rounds, "PASS_STEPS", 4)
+    root, read = str(tmp_path), spark.sparkContext.accumulator(0)
+
+    def seen(titles):
+        read.add(len(titles))
+        return titles
+
+    # Filters stay above a column that may differ between calls, so it tells the rows that are scanned.
+    title = F.pandas_udf(seen, "string").asNondeterministic()(F.col("title"))
+    table = papers(spark, *[paper(k) for k in (-3, 0, 4, 9, 11, 25, 40, 2**62)]).withColumn("title", title)
+    drained = rounds.drain_papers(spark, table, root, os.path.join(root, "cp"), loader(), EMBEDDING, round_papers=size, ids=ch.SEQUENCE)
+    assert drained == 8 // size and visible_documents(spark, root) == [-3, 0, 4, 9, 11, 25, 40, 2**62]
+    assert read.value == 8
+    # A pass that is lost after its first step goes on with what is left, after the steps have changed too.
+    monkeypatch.setattr(rounds, "PASS_STEPS", 3)
+    with monkeypatch.context() as patch:
+        patch.setattr(backlog, "_ledger_rows", lambda *a, real=backlog._ledger_rows: real(*a) if not calls.append(1) and len(calls) == 1 else 1 / 0)
+        calls = []
+        more = papers(spark, *[paper(k) for k in range(100, 106)])
+        other = lambda: rounds.drain_papers(spark, more, root, os.path.join(root, "cp2"), loader(), EMBEDDING, round_papers=1)
+        with pytest.raises(Exception, match="division by zero"):
+            other()
+    monkeypatch.setattr(rounds, "PASS_STEPS", 2)
+    assert other() == 0 and visible_documents(spark, root)[-7:-1] == [*range(100, 106)]
+
+
+@pytest.mark.parametrize("far", [1, 900_000_000_000])
+def test_the_loader_of_the_drains_reads_the_ranges_it_meets(spark, sf_dir, far):
+    from workload import adapters as ad
+    from workload import queries
+
+    load = queries._range_loader(spark, sf_dir, far)
+    ids = ad.papers(spark, sf_dir).select("id")
+    for chosen in (ids.where("id between 20 and 29 and id % 3 = 0"), ids.where("id < 0")):
+        got = load(chosen.withColumn("id", F.col("id") * F.lit(far).cast("long")))
+        wanted = ad.nested_documents(spark, sf_dir).join(chosen.withColumnRenamed("id", "document_id"), "document_id", "left_semi")
+        wanted = wanted.withColumn("document_id", F.col("document_id") * F.lit(far).cast("long"))
+        assert got.columns == ["document_id", "pages", "reason"] and got.schema["document_id"].dataType.simpleString() == "bigint"
+        assert sorted(map(str, got.drop("reason").collect())) == sorted(map(str, wanted.collect()))
+        # Texts are joined to the papers before they are cut.
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.index("regexp_extract_all") < plan.index("LeftSemi") and "_range" in plan

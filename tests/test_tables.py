@@ -167,3 +167,22 @@ def test_files_of_a_list_are_bounded_in_bytes(spark, root, monkeypatch):
             task = name.split("-")[1]
             per_task[task] = per_task.get(task, 0) + spark.read.parquet(os.path.join(folder, name)).count()
     assert len(per_task) >= 300 // 20 and max(per_task.values()) <= 2 * 20
+
+
+def test_a_table_by_ranges_reads_the_ranges_asked_for(spark):
+    ids = [None, None, -7, 3, 3, *range(10, 40)]
+    rows = spark.createDataFrame([(i, f"text {n}") for n, i in enumerate(ids)], "id long, text string").repartition(3)
+    bounds = tb.even_bounds(rows, "id", 4)
+    stored = tb.write_ranges(rows, "id", bounds, "ranged")
+    assert len(bounds) == 3 and tb.even_bounds(rows.where("id > 99"), "id", 4) == []
+    whole = spark.read.schema(rows.schema).parquet(stored.path).drop("_range")
+    assert sorted(map(str, whole.collect())) == sorted(map(str, rows.collect()))
+    for low, high in ((-(2**63), 2**63 - 1), (3, 3), (4, 9), (bounds[0], bounds[1]), (bounds[0] + 1, bounds[1]), (12, 11), (39, 50)):
+        wanted = rows.where(F.col("id").between(low, high))
+        got = stored.between(low, high)
+        assert got.columns == rows.columns and sorted(map(str, got.collect())) == sorted(map(str, wanted.collect()))
+    assert {f.split("_range=")[1][0] for f in tb.write_ranges(rows, "id", [], "ranged").between(0, 99).inputFiles()} <= {"0", "_"}
+    scan = stored.between(bounds[0] + 1, bounds[1])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_range" in scan and "_range#" in scan.split("PartitionFilters")[1]
+    met = stored.between(bounds[0] + 1, bounds[1]).select(F.input_file_name().alias("f")).distinct().collect()
+    assert met and all("_range=1" in r.f for r in met)

@@ -53,7 +53,11 @@ def _slices(text: str):
 
 def nested_documents(spark, sf_dir) -> DataFrame:
     """``document_id, pages``: the text in pages of ``PAGE_CHARS`` characters."""
-    return documents(spark, sf_dir).select(F.col("doc_id").alias("document_id"), _pages().alias("pages"))
+    return nested_pages(documents(spark, sf_dir))
+
+
+def nested_pages(texts: DataFrame) -> DataFrame:
+    return texts.select(F.col("doc_id").alias("document_id"), _pages().alias("pages"))
 
 
 def _pages():

@@ -933,6 +933,22 @@ def _nested_loader(sf):
     return load
 
 
+def _range_loader(spark, sf, far: int = 1):
+    """For papers taken in ranges of ids, which are ``doc_id`` times ``far``: the texts are laid out by ids
+    first, each call reads the ranges it meets, and only texts that are wanted are cut into pages."""
+    texts = ad.documents(spark, sf).select("doc_id", "text")
+    stored = tb.write_ranges(texts, "doc_id", tb.even_bounds(texts, "doc_id"), "texts")
+
+    def load(papers):
+        wanted = papers.select(F.expr(f"id div {far}L").alias("doc_id"))
+        low, high = wanted.agg(F.min("doc_id"), F.max("doc_id")).first()
+        found = stored.between(low or 0, high or 0).join(wanted, "doc_id", "left_semi")
+        paged = ad.nested_pages(found).withColumn("document_id", F.col("document_id") * F.lit(far).cast("bigint"))
+        return paged.withColumn("reason", F.lit(None).cast("string"))
+
+    return load
+
+
 @query("i1_backlog_drain", f"""WITH {sql.PAGED_CHUNKS}
 SELECT id, document_id, chunk_index, md5(chunk_text) AS text_md5 FROM chunks
 WHERE document_id % 5 <> 0 AND document_id % 4 <> 3""")
@@ -960,7 +976,7 @@ def i1_rounds(spark, sf):
     root = work_folder(spark, "rounds")
     drain_papers(
         spark, ad.papers(spark, sf), os.path.join(root, "tables"), os.path.join(root, "checkpoint"),
-        _nested_loader(sf), TEXT_MODEL, round_papers=150,
+        _range_loader(spark, sf), TEXT_MODEL, round_papers=150,
     )
     ledger = lg.read_ledger(spark, os.path.join(root, "tables"))
     return ledger.groupBy("batch_id").agg(
@@ -977,14 +993,9 @@ def i1_hashed(spark, sf):
     """Document ids anywhere in 64 bits, in two calls of the drain: chunk ids count up."""
     root = work_folder(spark, "hashed")
     tables = os.path.join(root, "tables")
-    far = lambda c: F.col(c) * 900_000_000_000
-    papers = ad.papers(spark, sf).withColumn("id", far("id"))
-
-    def load(chosen):
-        pages = ad.nested_documents(spark, sf).withColumn("document_id", far("document_id"))
-        wanted = chosen.select(F.col("id").alias("document_id"))
-        return pages.join(wanted, "document_id", "left_semi").withColumn("reason", F.lit(None).cast("string"))
-
+    far = 900_000_000_000
+    papers = ad.papers(spark, sf).withColumn("id", F.col("id") * far)
+    load = _range_loader(spark, sf, far)
     for part in (papers.where("topic = 'en'"), papers):
         drain_papers(spark, part, tables, os.path.join(root, "checkpoint"), load, TEXT_MODEL, round_papers=100_000, ids=ch.SEQUENCE)
     seen = lg.visible_chunks(spark, tables)
