@@ -15,7 +15,8 @@ from pagewell.settings import CHUNK_OVERLAP, CHUNK_SIZE, LOOKAHEAD, MIN_CHUNK_CH
 
 # Printable ASCII, and the six ASCII blanks (TAB LF VT FF CR SPACE).
 UNPRINTABLE = r"[^\x09-\x0D\x20-\x7E]+"
-BLANK_RUN = r"[\x09-\x0D\x20]+"
+# Runs of blanks but for a single space, which most are.
+BLANK_RUN = r"[\x09-\x0D][\x09-\x0D\x20]*|\x20[\x09-\x0D\x20]+"
 FIRST_WORD_START = r"^[^\x09-\x0D\x20]*[\x09-\x0D\x20]*"
 
 

@@ -92,3 +92,17 @@ def test_authors(spark):
     ]
     assert column(spark, values, authors_from_json)[:4] == [["A", "B"], ["Smith, J."], [], []]
     assert column(spark, ["not json"], authors_from_json) == [[]]
+
+
+def test_blank_runs_fold_to_one_space_whatever_they_are_made_of(spark):
+    import itertools
+    import re
+
+    from pagewell.functions.text import BLANK_RUN
+
+    texts = ["".join(p) for n in range(6) for p in itertools.product(" \t\nx", repeat=n)]
+    texts += ["a\x01 \x02\x0b\x0c\r b\x85 c", " " * 200_000 + "x" + "\n " * 100_000]
+    wanted = [re.sub(r"[\x09-\x0D\x20]+", " ", re.sub(r"[^\x09-\x0D\x20-\x7E]+", "", t)) for t in texts]
+    assert column(spark, texts, clean_text) == wanted
+    # A single space, which most are, is not replaced by itself.
+    assert not re.search(BLANK_RUN, "only single spaces here ")
