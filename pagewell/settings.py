@@ -63,6 +63,8 @@ UNGATHERED_BATCHES = 16
 LISTED_FILES = 10_000
 # Rows a caller may declare as an upper bound for a broadcast side.
 BROADCAST_ROWS = 100_000
+# Most ids, with no other column, that are sent to the texts of a step (8 MB of numbers).
+BROADCAST_IDS = 1_000_000
 # Pages of one document that are numbered by one task on the flat route.
 PAGE_BLOCK = 1024
 # log2 of the id range numbered by one task (ids are unique integers, so a

@@ -279,3 +279,5 @@ def test_the_loader_of_the_drains_reads_the_ranges_it_meets(spark, sf_dir, far):
         # Texts are joined to the papers before they are cut.
         plan = got._jdf.queryExecution().optimizedPlan().toString()
         assert plan.index("regexp_extract_all") < plan.index("LeftSemi") and "_range" in plan
+        # Nor are they shuffled, whatever size Spark broadcasts by itself.
+        assert "strategy=broadcast" in plan

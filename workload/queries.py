@@ -19,7 +19,7 @@ from pagewell.operators import responses as rs
 from pagewell.operators import search
 from pagewell.plans import exchange, ingest, retrieve, reuse
 from pagewell.session import work_folder, write_and_read
-from pagewell.settings import EMBEDDING_DIM, QUERY_TASK
+from pagewell.settings import BROADCAST_IDS, EMBEDDING_DIM, QUERY_TASK
 from pagewell.sources import documents as docs
 from pagewell.sources import ledger as lg
 from pagewell.sources import tables as tb
@@ -941,7 +941,8 @@ def _range_loader(spark, sf, far: int = 1):
 
     def load(papers):
         wanted = papers.select(F.expr(f"id div {far}L").alias("doc_id"))
-        low, high = wanted.agg(F.min("doc_id"), F.max("doc_id")).first()
+        low, high, n = wanted.agg(F.min("doc_id"), F.max("doc_id"), F.count(F.lit(1))).first()
+        wanted = F.broadcast(wanted) if n <= BROADCAST_IDS else wanted
         found = stored.between(low or 0, high or 0).join(wanted, "doc_id", "left_semi")
         paged = ad.nested_pages(found).withColumn("document_id", F.col("document_id") * F.lit(far).cast("bigint"))
         return paged.withColumn("reason", F.lit(None).cast("string"))
